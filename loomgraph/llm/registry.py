@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 from loomgraph.llm.bpe import op7_bpe_roundtrip
+from loomgraph.llm.chat import OP10_SQL, op10_chat_rotation
+from loomgraph.llm.decontaminate import OP9_SQL, op9_decontaminate
+from loomgraph.llm.pii import op4_pii
 from loomgraph.llm.substring_dedup import op6_substring_dedup
+from loomgraph.llm.url_rules import OP2_SQL, op2_url_filter
 
 QUERIES = {
+    "op2_url_filter": op2_url_filter,
+    "op4_pii": op4_pii,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_bpe_roundtrip": op7_bpe_roundtrip,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_chat_rotation": op10_chat_rotation,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op9_decontaminate": OP9_SQL, "op10_chat_rotation": OP10_SQL}
