@@ -17,7 +17,8 @@ _rng = np.random.default_rng(20240229)
 _TABLE = _rng.integers(0, 2**63, 256, dtype=U) * U(2) + U(1)
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
-_TABLES = {False: _TABLE, True: _TABLE[_LOWER]}
+_TABLES = {False: _TABLE, True: _TABLE[_LOWER], "core": _TABLE[_LOWER]}
+_TABLES["core"][[b for b in range(33, 127) if not chr(b).isalnum()]] = 0
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _WORD = ~_BLANK
@@ -69,10 +70,10 @@ def slices(offsets: np.ndarray, limit: int = 4 << 20):
         at = min(to, n)
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words in order, and where each row's words begin (rows + 1)."""
+def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of all rows start and end."""
     if not len(data):
-        return np.zeros(0, U), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     word = _WORD[data]
     edge = np.empty(len(data), bool)
     edge[0] = True
@@ -83,11 +84,22 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarra
     edge[:-1] = ~word[1:]
     edge[-1] = True
     edge[inner - 1] = True
-    end = np.flatnonzero(word & edge) + 1
+    return start, np.flatnonzero(word & edge) + 1
+
+
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool | str, at=None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words in order, and where each row's words begin (rows + 1).
+
+    lower="core" also leaves out ASCII marks that follow a word's letters.
+    """
+    start, end = spans(data, offsets) if at is None else at
+    if not len(start):
+        return np.zeros(0, U), np.zeros(len(offsets), np.int64)
     total = np.empty(len(data) + 1, U)
     total[0] = 0
     np.cumsum(_TABLES[lower][data] * _power(_BASE, len(data)), dtype=U, out=total[1:])
-    hashes = mix((total[end] - total[start]) * _power(_BASE_INV, len(data))[start] + (end - start).astype(U))
+    hashes = (total[end] - total[start]) * _power(_BASE_INV, len(data))[start]
+    hashes = mix(hashes if lower == "core" else hashes + (end - start).astype(U))
     return hashes, np.searchsorted(start, offsets)
 
 
