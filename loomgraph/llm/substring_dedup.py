@@ -72,8 +72,8 @@ def symbols(hashes: np.ndarray, first: np.ndarray, rounds: int, window: int):
     return name, length, left, right
 
 
-def owners(hashes: np.ndarray, bounds: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS):
-    """Starts of all windows, the name that each owns and where that (first) stands, of rows whose words begin at `bounds`."""
+def owners(hashes: np.ndarray, bounds: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS, places: bool = True):
+    """Starts of all windows, the name that each owns and (if asked) where that first stands, of rows whose words begin at `bounds`."""
     n = len(hashes)
     inside = np.zeros(n + 1, np.int32)
     sizes = np.diff(bounds)
@@ -95,7 +95,7 @@ def owners(hashes: np.ndarray, bounds: np.ndarray, window: int = WINDOW, rounds:
             break
         np.maximum.at(best, left[take] - step, rank[take])
     place = np.full(n, n, np.int64)
-    for step in range(window):
+    for step in range(window if places else 0):
         take = np.flatnonzero((slack >= step) & (left - step >= 0))
         take = take[best[left[take] - step] == rank[take]]
         np.minimum.at(place, left[take] - step, left[take])
@@ -192,19 +192,20 @@ def _flags(replies: pa.Table, count: int, at: np.ndarray) -> np.ndarray:
 def _windows(table: pa.Table, replies: pa.Table, lay, window, rounds):
     """Windows that own a shared name: their keys, row in order, and start; in order of place."""
     ids, known, tie, data, offsets, order = _block(table)
-    names, _ = _names(table, lay, window, rounds)
-    shared = names[_flags(replies, len(names), cuts(names, lay.buckets, lay.bits))]
-    keys, rows, starts = [], [], []
+    pieces, names = [], []
     for a, b, hashes, bounds in _pieces(data, offsets, order):
-        at, name, _ = owners(hashes, bounds, window, rounds)
+        at, name, _ = owners(hashes, bounds, window, rounds, places=False)
         name >>= U(64 - lay.bits)
-        if len(shared) and len(at):
-            hit = shared[np.minimum(np.searchsorted(shared, name), len(shared) - 1)] == name
-            at = at[hit]
-        else:
-            at = at[:0]
+        pieces.append((a, bounds, at, name, grams(hashes, window)[at] if len(at) else np.zeros(0, U)))
+        names.append(np.unique(name))
+    names = np.unique(np.concatenate(names)) if names else np.zeros(0, U)
+    shared = names[_flags(replies, len(names), cuts(names, lay.buckets, lay.bits))]
+    keys, rows, starts = [], [], []
+    for a, bounds, at, name, key in pieces if len(shared) else ():
+        hit = shared[np.minimum(np.searchsorted(shared, name), len(shared) - 1)] == name
+        at = at[hit]
         row = np.searchsorted(bounds, at, "right") - 1
-        keys.append(grams(hashes, window)[at] if len(at) else np.zeros(0, U))
+        keys.append(key[hit])
         rows.append(row + a)
         starts.append(at - bounds[row])
     join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
