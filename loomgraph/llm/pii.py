@@ -20,7 +20,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.exchange import settle
+from loomgraph.storage import settle
 
 KINDS = ["email", "ip", "card", "phone", "secret"]
 BASE = KINDS[:4]

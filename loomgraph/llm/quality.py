@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.exchange import settle
 from loomgraph.llm.kernel import U, expand, mix, slices, spans, squeeze, texts, words
+from loomgraph.storage import settle
 
 #: Hashed n-grams are counted in so many cells.
 CELLS = 1 << 21

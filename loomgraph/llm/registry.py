@@ -5,6 +5,7 @@ from __future__ import annotations
 from loomgraph.llm.bpe import op7_bpe_roundtrip
 from loomgraph.llm.chat import OP10_SQL, op10_chat_rotation
 from loomgraph.llm.decontaminate import OP9_SQL, op9_decontaminate
+from loomgraph.llm.jaccard_join import op1_ngram_jaccard
 from loomgraph.llm.neighbours import op8_hash_prefix_forest
 from loomgraph.llm.ngram_lm import op5_ngram_score
 from loomgraph.llm.pii import op4_pii
@@ -13,6 +14,7 @@ from loomgraph.llm.substring_dedup import op6_substring_dedup
 from loomgraph.llm.url_rules import OP2_SQL, op2_url_filter
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_url_filter": op2_url_filter,
     "op3_quality_resample": op3_quality_resample,
     "op4_pii": op4_pii,
