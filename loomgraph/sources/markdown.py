@@ -17,7 +17,7 @@ def read_markdown(spark: SparkSession, folder: str) -> DataFrame:
     if not system.exists(path) or not system.getFileStatus(path).isDirectory():
         return spark.createDataFrame([], "filename string, text string")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.md").load(folder)
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"), F.decode("content", F.lit("UTF-8")).alias("text"))
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"), F.decode("content", "UTF-8").alias("text"))
 
 
 def list_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,7 +29,7 @@ def read_sidecars(spark: SparkSession, folder: str) -> DataFrame:
     """One row for each *_metadata.json of a folder; base is its file name without that ending."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*_metadata.json").load(folder)
     fields = ", ".join(f"{f} string" for f in _FIELDS)
-    parsed = files.select(F.regexp_extract("path", r"([^/]+)_metadata\.json$", 1).alias("base"), F.from_json(F.decode("content", F.lit("UTF-8")), fields).alias("m"))
+    parsed = files.select(F.regexp_extract("path", r"([^/]+)_metadata\.json$", 1).alias("base"), F.from_json(F.decode("content", "UTF-8"), fields).alias("m"))
     return parsed.select("base", "m.*")
 
 
