@@ -12,8 +12,15 @@ from pyspark.sql import SparkSession
 _sent: set[str] = set()
 
 
+#: Rows in an Arrow batch, where the session has Spark's default: long texts make large rows.
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Add the package to the application once; the driver serves it, so no folder needs to be shared."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(batch, "10000") == "10000":
+        spark.conf.set(batch, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app not in _sent:
         root = Path(__file__).resolve().parent
