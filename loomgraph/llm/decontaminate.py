@@ -60,7 +60,8 @@ def leaks(docs: DataFrame, items: DataFrame, *, id: str = "doc_id", text: str =
 def remove_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """docs without those that hold an item; rows with a null id stay if no null-id row holds one."""
     found = leaks(docs, items, **options).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(found, docs[options.get("id", "doc_id")].eqNullSafe(F.col("_leak")), "left_anti")
+    rows = docs.select(F.struct("*").alias("_row"), F.col(f"`{options.get('id', 'doc_id')}`").alias("_id"))
+    return rows.join(found, F.col("_id").eqNullSafe(F.col("_leak")), "left_anti").select("_row.*")
 
 
 def op9_decontaminate(spark, sf_dir):

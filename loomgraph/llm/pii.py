@@ -202,7 +202,7 @@ def joined(array: Column) -> Column:
 
 
 def detect(docs: DataFrame, *, text: str = "text", weights: dict[str, float] | None = None) -> DataFrame:
-    """docs with `_base` and `spans` (order, start, end, kind; end exclusive, in code points).
+    """docs with `_base` and `spans` (order, start, end, kind; end exclusive, in code points), which replace columns of these names.
 
     The classifier is trained on all of docs unless weights are given.  Null
     text is empty.  Rows are judged one by one, so repeated ones get equal spans.
@@ -220,18 +220,19 @@ def redact(docs: DataFrame, *, text: str = "text", weights: dict[str, float] | N
     kind of the one that starts first.  `n_chars`, if there is one, is the new
     length.
     """
-    found = detect(docs, text=text, weights=weights)
-    t = F.col(f"`{text}`")
+    # the rows go through as one struct, so that no column of theirs can clash
+    found = detect(docs.select(F.struct("*").alias("_row"), F.col(f"`{text}`").alias("_text")), text="_text", weights=weights)
+    t = F.col("_text")
     ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     step = lambda acc, s: F.struct(
         F.greatest(acc["at"], s["end"]).alias("at"),
         F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(F.substring(t, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))).otherwise(acc["out"]).alias("out"),
     )
     clean = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(t, acc["at"] + 1, F.length(t))))
-    out = found.withColumn(text, F.when(t.isNull() | (F.size("spans") == 0), t).otherwise(clean))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.coalesce(F.length(F.col(f"`{text}`")).cast(dict(docs.dtypes)["n_chars"]), F.col("n_chars")))
-    return out.select(*[f"`{c}`" for c in docs.columns])
+    new = {text: F.when(t.isNull() | (F.size("spans") == 0), t).otherwise(clean)}
+    if "n_chars" in docs.columns and text != "n_chars":
+        new["n_chars"] = F.coalesce(F.length(new[text]).cast(dict(docs.dtypes)["n_chars"]), F.col("_row.n_chars"))
+    return found.select(*[new[c].alias(c) if c in new else F.col(f"_row.`{c}`") for c in docs.columns])
 
 
 def op4_pii(spark, sf_dir):

@@ -107,13 +107,13 @@ def judge(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str
     string; of equal ones the one of the deeper host) wins; of two verdicts for
     one rule `block` does.  Without a rule, rule is null and verdict `default`.
     A null URL, or one without `://`, has empty host and path.  Rules with a
-    null in them are left out.  Equal rows are judged one by one.
+    null in them or an empty host are left out.  Equal rows are judged one by one.
     """
     spark = pages.sparkSession
     new = ["host", "path", "rule", "verdict"]
     names = [c for c in pages.columns if c not in new]
     u = F.col(f"`{url}`")
-    rows = pages.select(*[F.col(f"`{c}`") for c in names], host_of(u).alias("_host"), path_of(u).alias("_path"), F.xxhash64(*[f"`{c}`" for c in names if not dict(pages.dtypes)[c].startswith("map")]).alias("_salt"))
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), host_of(u).alias("_host"), path_of(u).alias("_path"), F.xxhash64(*[f"`{c}`" for c in names if not dict(pages.dtypes)[c].startswith("map")]).alias("_salt"))
     rows = rows.withColumns({"_turned": turned(F.col("_host")), "_kind": F.lit(1), "_rule": F.lit(None).cast("string"), "_verdict": F.lit(None).cast("string")})
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     count = rows.count()
@@ -124,7 +124,7 @@ def judge(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str
     borders = sorted({seen[k * len(seen) // ranges] for k in range(1, ranges)}) if seen else []
 
     host = F.translate("host", UPPER, LOWER)
-    given = rules.dropna(subset=["host", "path", "verdict"]).select(turned(host).alias("_turned"), F.col("path").alias("_path"), F.concat(host, "path").alias("_rule"), F.col("verdict").alias("_verdict"))
+    given = rules.dropna(subset=["host", "path", "verdict"]).where("host <> ''").select(turned(host).alias("_turned"), F.col("path").alias("_path"), F.concat(host, "path").alias("_rule"), F.col("verdict").alias("_verdict"))
 
     def deal(batches):
         for batch in batches:
@@ -148,7 +148,8 @@ def judge(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str
     spread_out = given.mapInArrow(spread, schema(given)).withColumn("_kind", F.lit(0))
     both = dealt.unionByName(spread_out, allowMissingColumns=True)
     swept = both.repartition(ranges, "_part").sortWithinPartitions("_part", "_turned", "_kind")
-    return swept.mapInArrow(_sweep(default, names), ", ".join([*(f"`{c}` {t}" for c, t in pages.select(*[f"`{c}`" for c in names]).dtypes), "host string, path string, rule string, verdict string"]))
+    judged = swept.mapInArrow(_sweep(default, ["_row"]), f"_row {dict(rows.dtypes)['_row']}, host string, path string, rule string, verdict string")
+    return judged.select("_row.*", *new)
 
 
 def op2_url_filter(spark, sf_dir):
