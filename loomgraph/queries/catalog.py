@@ -229,7 +229,7 @@ def chunk_backfill(t: Tables) -> DataFrame:
     none = F.lit(None).cast("string")
     stored = t.documents.select(F.col("doc_id").alias("chunk_id"), none.alias("filename"), "text", none.alias("header_path"), none.alias("section_role"), none.alias("from_section"), F.lit(None).cast("array<string>").alias("bae_roles"))
     nodes = t.benchmark.select(F.col("item_id").alias("ordinal"), F.lit("bench").alias("filename"), "text", F.concat(F.lit("path "), F.col("item_id").cast("string")).alias("header_path"), none.alias("section_role"), F.array().cast("array<string>").alias("bae_roles"))
-    return metadata.backfill_chunks(stored, F.broadcast(nodes))[0].select("chunk_id", "filename", "header_path")
+    return metadata.backfill_chunks(stored, nodes)[0].select("chunk_id", "filename", "header_path")
 
 
 def _chunk_rows(t: Tables) -> DataFrame:
