@@ -8,13 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which all executors share; a temporary one only where it is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="loomgraph-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
+    if where := spark.conf.get("spark.checkpoint.dir", None):
+        return where
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = "file://" + tempfile.mkdtemp(prefix="loomgraph-")
+    return _own[app]
 
 
 def settle(df: DataFrame) -> DataFrame:
