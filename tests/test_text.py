@@ -1,5 +1,3 @@
-import re
-
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -70,7 +68,7 @@ def test_default_title(spark):
 def test_blank_chunks_leave_gaps(spark):
     docs = spark.createDataFrame([("f", "x" * 900 + "\n\n" + " " * 900 + "\n\nend"), ("g", "")], "filename string, text string")
     rows = chunking.chunk_documents(docs).orderBy("chunk_id").collect()
-    assert [(r["filename"], r["chunk_id"]) for r in rows] == [("f", 0), ("f", 2)] or [(r["filename"], r["chunk_id"]) for r in rows] == [("f", 0), ("f", 1)]
+    assert [(r["filename"], r["chunk_id"]) for r in rows] == [("f", 0), ("f", 2)]
     assert all(r["chunk"].strip() for r in rows)
 
 
@@ -138,9 +136,9 @@ def test_strip_and_collapse_know_all_blanks(spark):
 def test_semantic_groups_with_windows(spark):
     vectors = [[1.0, 0.0], [1.0, 0.1], [0.0, 1.0], [0.1, 1.0], [1.0, 1.0]]
     rows = spark.createDataFrame([("d", k, v) for k, v in enumerate(vectors)], "doc string, k int, embedding array<float>")
-    group = lambda w: [r["group"] for r in chunking.semantic_groups(rows, by=["doc"], order=["k"], threshold=0.72, window=w).orderBy("k").collect()]
+    group = lambda w: [r["group"] for r in chunking.semantic_groups(rows, by=["doc"], order=["k"], threshold=0.76, window=w).orderBy("k").collect()]
     assert group(1) == [0, 0, 1, 1, 1]
-    assert group(2) == [0, 0, 1, 1, 2] or group(2) == [0, 0, 1, 2, 2] or group(2)[0] == 0
+    assert group(2) == [0, 0, 1, 1, 2]
     sentences = spark.createDataFrame([("A b. C d! 好。 E",)], "t string").select(chunking.split_sentences(F.col("t")).alias("s")).first()["s"]
     assert sentences == ["A b.", "C d!", "好。", "E"]
 
@@ -153,7 +151,3 @@ def test_join_text_orders_and_drops_blanks(spark):
 def test_cosine_edge_cases(spark):
     rows = spark.createDataFrame([(1, [1.0, 0.0], [0.0, 2.0]), (2, [0.0], [1.0]), (3, [1.0], [1.0, 2.0]), (4, None, [1.0]), (5, [3.0], [0.5])], "k int, a array<double>, b array<double>")
     assert [r["v"] for r in rows.select("k", text.cosine(F.col("a"), F.col("b")).alias("v")).orderBy("k").collect()] == [0.0, None, None, None, 1.0]
-
-
-def test_keywords_are_plain_text():
-    assert re.escape("p<0.") == "p<0\\."
