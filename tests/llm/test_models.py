@@ -9,7 +9,6 @@ from collections import Counter
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import functions as F
 
 from loomgraph.llm import neighbours, ngram_lm
 
@@ -58,10 +57,9 @@ def test_scores_of_odd_rows(spark):
     rng = random.Random(1)
     rows = [(k, " ".join(rng.choice("aBcDeé") for _ in range(rng.randint(0, 30)))) for k in range(80)] + [(None, "a b"), (None, None), (200, ""), (201, "zz " * 9000), (202, " \t"), (1, "same id")]
     frame = spark.createDataFrame([(*r, 0, b"x") for r in rows], "doc_id long, text string, block int, facts binary")
-    key = lambda x: tuple(map(str, x))
     got = sorted(ngram_lm.score(frame).collect(), key=lambda r: (str(r["doc_id"]), r["n_tokens"], r["base_score"]))
     want = sorted(zip(rows, scores(rows)), key=lambda x: (str(x[0][0]), x[1][1], x[1][4]))
-    assert len(got) == len(want) and key(["a"]) == ("a",)
+    assert len(got) == len(want)
     for g, (_, w) in zip(got, want):
         hold(g, w)
     assert ngram_lm.score(frame.where("false")).count() == 0
@@ -126,7 +124,7 @@ def test_ties_copies_and_blocks(spark):
     for r in neighbours.nearest(frame, frame.where("vec_id % 20 = 0"), block=70).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append(r["vec_id"])
     want = exact(list(range(300)), points, range(0, 300, 20))
-    assert got[0] == list(range(40, 60)) == want[0] or set(got[0]) == set(want[0])
+    assert got[0] == want[0] == list(range(40, 60))
     assert np.mean([len(set(got[q]) & set(want[q])) / 20 for q in want]) >= 0.9
 
 
@@ -137,4 +135,3 @@ def test_vectors_that_take_no_part(spark):
     got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in neighbours.nearest(frame, frame).where("query_id in (0, 20, 4)").orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 9, 2.0), (0, 2, 1, 0.5), (20, 1, 8, 2.0)]
     assert neighbours.nearest(frame.where("false"), frame).count() == 0 and neighbours.nearest(frame, frame.where("false")).count() == 0
-    assert F.lit(1) is not None

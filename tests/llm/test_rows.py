@@ -1,7 +1,6 @@
 """Operators that judge or rewrite single rows."""
 
 import hashlib
-import json
 import random
 import re
 
@@ -188,9 +187,7 @@ def test_pair_checks_equal_exact_merging():
     x, y = rng.integers(0, 50256, 4000), rng.integers(0, 2000, 4000)
     want = [merges.exact(merges.bytes[a] + merges.bytes[b]) == [a, b] for a, b in zip(x.tolist(), y.tolist())]
     assert merges.compatible(x, y).tolist() == want
-    word = b"ab" * 300 + b"a" * 500
-    short = [i for k in range(0, 0) for i in merges.exact(word[k : k + 1])]
-    assert merges._exact_long(b"internationalization" * 5) == merges.exact(b"internationalization" * 5) and short == []
+    assert merges._exact_long(b"internationalization" * 5) == merges.exact(b"internationalization" * 5)
 
 
 # --- chat ------------------------------------------------------------------
@@ -263,4 +260,4 @@ def test_kth_largest(spark):
     rows = spark.createDataFrame([(v,) for v in values], "x double")
     for k in (1, 10, 1500, 3000):
         assert quality.kth_largest(rows, "x", k, exact=50) == sorted(values, reverse=True)[k - 1]
-    assert quality.kth_largest(rows, "x", 0) == float("inf") and json.dumps(1) == "1"
+    assert quality.kth_largest(rows, "x", 0) == float("inf")
