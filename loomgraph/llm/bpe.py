@@ -19,12 +19,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from loomgraph.llm.kernel import slices, texts
+from loomgraph.llm.kernel import slices, texts, tidy
 
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 #: Words that a worker remembers; past it, it forgets all and starts again.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 
 def _byte_characters() -> dict[str, int]:
@@ -154,7 +154,7 @@ class Merges:
     def learn(self, words: set[str]) -> None:
         if len(self.words) + len(words) > REMEMBERED:
             self.words.clear()
-        if len(self.tested) > 4 * REMEMBERED:
+        if len(self.tested) > REMEMBERED:
             self.tested.clear()
         raw = {w: w.encode() for w in words}
         guess = {w: self.propose(b) for w, b in raw.items()}
@@ -229,6 +229,7 @@ def encode(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABULARY,
                     out["ids_sha256"] = [hashlib.sha256(x.encode()).hexdigest() for x in found]
                     out["decoded_sha256"] = [hashlib.sha256(merges.decode(x).encode()).hexdigest() for x in numbers]
                 yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in keep), *(pa.array(out[c], t) for c, t in new.items())], names=[*keep, *new])
+        tidy()
 
     schema = ", ".join([*(f"`{c}` {t}" for c, t in docs.select(*[f"`{c}`" for c in keep]).dtypes), *(f"{c} {sql[c]}" for c in new)])
     return docs.select(*[f"`{c}`" for c in keep]).mapInArrow(run, schema)

@@ -8,6 +8,8 @@ probability 2**-64, which the operators treat as never.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -28,6 +30,29 @@ _GRAM = [U(int(x) * 2 + 1) for x in _rng.integers(0, 2**63, 64, dtype=U)]
 _powers = {}
 
 
+def tidy() -> None:
+    """Give freed memory back to the system: a worker process outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
+_libc = ctypes.CDLL(None)
+
+
+def tidied(f):
+    """A function of Arrow tables that tidies up behind itself."""
+
+    def run(*args):
+        try:
+            return f(*args)
+        finally:
+            tidy()
+
+    # Spark counts the parameters of what it is given
+    return (lambda table: run(table)) if f.__code__.co_argcount == 1 else run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit (splitmix64)."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -41,7 +66,7 @@ def _power(base: int, n: int) -> np.ndarray:
         have = np.full(max(n, 1 << 16), U(base))
         have[0] = U(1)
         have = np.cumprod(have, dtype=U)
-        if n <= 1 << 23:
+        if n <= 1 << 21:  # longer texts make their own
             _powers[base] = have
     return have[:n]
 
@@ -61,7 +86,7 @@ def texts(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, limit: int = 4 << 20):
+def slices(offsets: np.ndarray, limit: int = 1 << 20):
     """(first, last) rows of pieces of about `limit` bytes; a row is never cut."""
     at, n = 0, len(offsets) - 1
     while at < n:

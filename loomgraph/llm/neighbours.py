@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomgraph.llm.kernel import tidied
+
 BLOCK = 8192
 TREES = 48
 BITS = 48
@@ -87,6 +89,7 @@ def _matrix(column) -> np.ndarray:
     return np.asarray(column.flatten().cast(pa.float64())).reshape(len(column), -1)
 
 
+@tidied
 def _search(base: pa.Table, queries: pa.Table, k: int, trees: int, bits: int, share: float) -> pa.Table:
     if not base.num_rows or not queries.num_rows:
         return _FOUND.empty_table()

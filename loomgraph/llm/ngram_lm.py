@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from loomgraph.llm import exchange
-from loomgraph.llm.kernel import U, cuts, expand, pack, slices, squeeze, texts, unpack, words
+from loomgraph.llm.kernel import U, cuts, expand, pack, slices, squeeze, texts, tidied, unpack, words
 
 DISCOUNT = 0.75
 _START, _END = U(0x243F6A8885A308D3), U(0x13198A2E03707344)
@@ -204,6 +204,7 @@ _SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_token
 _SCORES_SQL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
+@tidied
 def _send_words(table: pa.Table, buckets: int) -> pa.Table:
     *_, vocabulary, _, count = _vocabulary(table)
     at = cuts(vocabulary, buckets, 64)
@@ -211,6 +212,7 @@ def _send_words(table: pa.Table, buckets: int) -> pa.Table:
     return pa.table({"bucket": list(range(buckets)), "block": [table["block"][0].as_py()] * buckets, "keys": [pack(vocabulary[a:b]) for a, b in zip(at, at[1:])], "count": [squeeze(count[a:b]) for a, b in zip(at, at[1:])]}, schema=_WORDS)
 
 
+@tidied
 def _count_words(table: pa.Table) -> pa.Table:
     parts = [unpack(x) for x in table["keys"].to_pylist()]
     counts = np.concatenate([expand(x, np.int64) for x in table["count"].to_pylist()])
@@ -224,6 +226,7 @@ def _count_words(table: pa.Table) -> pa.Table:
 _UNIGRAM_STEP = 0.04  # of the logarithm to base 10, in which unigram probabilities travel as one byte
 
 
+@tidied
 def _send_pairs(table: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
     if not table.num_rows:
         return _PAIRS.empty_table()
@@ -261,6 +264,7 @@ def _send_pairs(table: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
     return pa.table(out, schema=_PAIRS)
 
 
+@tidied
 def _score_pairs(table: pa.Table, discount: float) -> pa.Table:
     get = lambda c, kind: [expand(x, kind) for x in table[c].to_pylist()]
     contexts, successors, unigrams, times, docs = [unpack(x) for x in table["context"].to_pylist()], get("successor", np.uint32), get("unigram", np.uint8), get("times", np.uint32), get("docs", np.uint32)
@@ -290,6 +294,7 @@ def _score_pairs(table: pa.Table, discount: float) -> pa.Table:
     return pa.table({"block": table["block"], "sums": sums, "facts": table["facts"]}, schema=_SUMS)
 
 
+@tidied
 def _add_up(table: pa.Table) -> pa.Table:
     facts = next(x for x in table["facts"].to_pylist() if x is not None)
     rows = pa.ipc.open_stream(facts).read_all()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.kernel import U, expand, mix, slices, spans, squeeze, texts, words
+from loomgraph.llm.kernel import U, expand, mix, slices, spans, squeeze, texts, tidied, tidy, words
 from loomgraph.storage import settle
 
 #: Hashed n-grams are counted in so many cells.
@@ -71,25 +71,27 @@ def _pieces(column):
 
 def _count(batches):
     """Document counts of cells, of all rows and of the good ones."""
-    raw, good = np.zeros(CELLS, np.int64), np.zeros(CELLS, np.int64)
+    raw, good = np.zeros(CELLS, np.int32), np.zeros(CELLS, np.int32)  # of one partition
     n_raw = n_good = 0
     for batch in batches:
         is_good = np.asarray(batch.column("good").fill_null(False))
         n_raw, n_good = n_raw + len(is_good), n_good + int(is_good.sum())
         for a, b, row, cell in _pieces(batch.column("text")):
-            raw += np.bincount(cell, minlength=CELLS)
-            good += np.bincount(cell[is_good[a:b][row]], minlength=CELLS)
+            np.add.at(raw, cell, 1)
+            np.add.at(good, cell[is_good[a:b][row]], 1)
     if n_raw:
         parts = np.array_split(np.arange(CELLS), _SLOTS)
         yield pa.RecordBatch.from_pydict({"slot": list(range(_SLOTS)), "raw": [squeeze(raw[p]) for p in parts], "good": [squeeze(good[p]) for p in parts], "n_raw": [n_raw] + [0] * (_SLOTS - 1), "n_good": [n_good] + [0] * (_SLOTS - 1)}, schema=_COUNTS)
+    tidy()
 
 
 _COUNTS = pa.schema([("slot", pa.int32()), ("raw", pa.binary()), ("good", pa.binary()), ("n_raw", pa.int64()), ("n_good", pa.int64())])
 _COUNTS_SQL = "slot int, raw binary, good binary, n_raw long, n_good long"
 
 
+@tidied
 def _total(table: pa.Table) -> pa.Table:
-    add = lambda c: squeeze(sum(expand(x, np.int64) for x in table[c].to_pylist()))
+    add = lambda c: squeeze(sum(expand(x, np.int32).astype(np.int64) for x in table[c].to_pylist()))
     return pa.table({"slot": table["slot"][:1], "raw": [add("raw")], "good": [add("good")], "n_raw": [sum(table["n_raw"].to_pylist())], "n_good": [sum(table["n_good"].to_pylist())]}, schema=_COUNTS)
 
 
@@ -139,17 +141,18 @@ def _best_cut(bins: list[tuple[float, bool, int]]) -> float:
 
 def _weights(df: DataFrame, ratios: np.ndarray, text: str, extra: str = "weight") -> DataFrame:
     cells = np.flatnonzero(ratios)
-    sent = df.sparkSession.sparkContext.broadcast((cells, ratios[cells]))  # CELLS at most
+    sent = df.sparkSession.sparkContext.broadcast((cells.astype(np.int32), ratios[cells].astype(np.float32)))  # CELLS at most
 
     def run(batches):
         cell_of, value = sent.value
-        own = np.zeros(CELLS)
+        own = np.zeros(CELLS, np.float32)
         own[cell_of] = value
         for batch in batches:
             weight = np.zeros(batch.num_rows)
             for a, b, row, cell in _pieces(batch.column(text)):
                 weight[a:b] = np.bincount(row, own[cell], minlength=b - a)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weight)], names=[*batch.schema.names, extra])
+        tidy()
 
     return df.mapInArrow(run, ", ".join([*(f"`{c}` {t}" for c, t in df.dtypes), f"{extra} double"]))
 
@@ -203,7 +206,9 @@ def resample(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: st
 def keep_good(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of docs that are drawn, with the columns of docs."""
     model, _, least = resample(docs, labels, id=id, text=text, **options)
-    return scored(docs, model, id=id, text=text).where(F.col("_key") >= least).select(*[f"`{c}`" for c in docs.columns])
+    temperature = options.get("temperature", TEMPERATURE)
+    rows = docs.select(F.struct("*").alias("_row"), F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    return scored(rows, model, id="id", text="text", temperature=temperature).where(F.col("_key") >= least).select("_row.*")
 
 
 def op3_quality_resample(spark, sf_dir):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from loomgraph.llm import exchange
-from loomgraph.llm.kernel import U, cuts, expand, grams, mix, pack, slices, squeeze, texts, unpack, words
+from loomgraph.llm.kernel import U, cuts, expand, grams, mix, pack, slices, squeeze, texts, tidied, unpack, words
 
 WINDOW = 20
 ROUNDS = 5
@@ -157,6 +157,7 @@ def _names(table: pa.Table, lay: exchange.Layout, window: int, rounds: int):
     return np.unique(found >> U(64 - lay.bits), return_counts=True)
 
 
+@tidied
 def _send_names(table: pa.Table, lay, window, rounds) -> pa.Table:
     keys, count = _names(table, lay, window, rounds)
     return pa.table(_messages(table["block"][0].as_py(), keys, lay, lay.bits, [np.minimum(count, 2).astype(np.uint8)]), schema=_SENT)
@@ -173,6 +174,7 @@ def _answer(blocks, bucket, parts, flags) -> pa.Table:
     return pa.table({"block": blocks, "bucket": [bucket] * len(blocks), "flags": [squeeze(np.packbits(flags[a:b])) for a, b in zip(ends[:-1], ends[1:])]}, schema=_REPLY)
 
 
+@tidied
 def _share_names(table: pa.Table) -> pa.Table:
     parts = [unpack(x) for x in table["keys"].to_pylist()]
     counts = np.concatenate([expand(x, np.uint8) for x in table["c0"].to_pylist()])
@@ -216,6 +218,7 @@ _PLACES_SQL = "bucket int, block int, keys binary, c0 binary, c1 binary, c2 bina
 _PLACES = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("c0", pa.binary()), ("c1", pa.binary()), ("c2", pa.binary())])
 
 
+@tidied
 def _send_places(table: pa.Table, replies: pa.Table, lay, window, rounds) -> pa.Table:
     if not table.num_rows:
         return _PLACES.empty_table()
@@ -225,6 +228,7 @@ def _send_places(table: pa.Table, replies: pa.Table, lay, window, rounds) -> pa.
     return pa.table(_messages(table["block"][0].as_py(), keys, lay, 64, [ids[rows], tie[rows], starts.astype(np.uint32)]), schema=_PLACES)
 
 
+@tidied
 def _first_places(table: pa.Table) -> pa.Table:
     parts = [unpack(x) for x in table["keys"].to_pylist()]
     keys = np.concatenate(parts)
@@ -241,6 +245,7 @@ _KEPT_SQL = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
 
+@tidied
 def _cut(table: pa.Table, replies: pa.Table, lay, window, rounds, with_text) -> pa.Table:
     if not table.num_rows:
         return _KEPT.empty_table()
