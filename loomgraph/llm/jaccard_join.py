@@ -6,16 +6,16 @@ share a shingle among the first n - ceil(t n) + 1 of each: their prefixes.
 Shingles that no other class holds cannot be shared and are left out of the
 prefix, so most texts have an empty one and are done.
 
-Classes with equal prefix and size form a *group*.  Candidate pairs are of
-groups that meet under a prefix shingle and pass the size and position bounds;
-they are expanded to classes and verified on the whole sets.  As links are
-wanted for components, pairs inside a component known by then are not needed.
-First, each group is verified against its best hub: of the groups that are most
-central (whose shingles are the most frequent) under one of its shingles, the
-one under most of them; and each class against the centre of its group.  Then
-every remaining pair of different components is generated, verified and
-linked, so no link between components is lost and a group of thousands of near
-copies does not become all its pairs.
+Classes with equal prefix and size form a *group*, which its most central class
+leads (the one whose shingles are the most frequent).  Candidate pairs are of
+groups that meet under a prefix shingle and pass the size and position bounds.
+As links are wanted for components, pairs inside a component known by then are
+not needed.  First, each group's leader is verified on the whole sets against
+its best hub: of the leaders that are most central under one of its shingles,
+the one under most of them; and each class against its leader.  Then groups are
+expanded to their classes, and every pair of classes of different components
+that meets the bounds is verified, so no link between components is lost and a
+group of thousands of near copies does not become all its pairs.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.graph.components import connected_components
 from loomgraph.llm import exchange
-from loomgraph.llm.kernel import U, cuts, expand, grams, mix, pack, slices, squeeze, texts, unpack, words
+from loomgraph.llm.kernel import U, cuts, expand, grams, mix, pack, slices, squeeze, texts, tidied, tidy, unpack, words
 from loomgraph.storage import drop_settled, settle
 
 WORDS = 5
@@ -67,6 +67,7 @@ _CLASS = pa.schema([("class", pa.int64()), ("n", pa.int32()), ("doc_ids", pa.lis
 _CLASS_SQL = "class long, n int, doc_ids array<long>, tokens array<long>, places array<int>, centre float, members binary"
 
 
+@tidied
 def _send(table: pa.Table, lay: exchange.Layout, n: int) -> pa.Table:
     members, *_ = _sets(table, n)
     keys, count = np.unique(members >> U(64 - lay.bits), return_counts=True)
@@ -75,6 +76,7 @@ def _send(table: pa.Table, lay: exchange.Layout, n: int) -> pa.Table:
     return pa.table({"bucket": full, "block": [table["block"][0].as_py()] * len(full), "keys": [pack(keys[at[b] : at[b + 1]]) for b in full], "count": [squeeze(count[at[b] : at[b + 1]].astype(np.uint32)) for b in full]}, schema=_SENT)
 
 
+@tidied
 def _frequencies(table: pa.Table) -> pa.Table:
     """Level 0 for a shingle of one class, else a byte that grows with the logarithm of their number."""
     parts = [unpack(x) for x in table["keys"].to_pylist()]
@@ -85,6 +87,7 @@ def _frequencies(table: pa.Table) -> pa.Table:
     return pa.table({"block": table["block"], "bucket": table["bucket"], "level": [squeeze(level[a:b]) for a, b in zip(ends, ends[1:])]}, schema=_REPLY)
 
 
+@tidied
 def _classes(table: pa.Table, replies: pa.Table, lay: exchange.Layout, n: int, percent: int) -> pa.Table:
     if not table.num_rows:
         return _CLASS.empty_table()
@@ -139,6 +142,7 @@ def _verified(percent: int):
                     a.append(x)
                     b.append(y)
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        tidy()
 
     return run
 
@@ -178,21 +182,22 @@ def near_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     heads = classes.groupBy("group").agg(F.max_by(F.struct("class", "n", "centre"), F.struct("centre", "class")).alias("h")).select("group", F.col("h.class").alias("head"))
     grouped = classes.select("class", "group").join(heads, "group")
     in_group = grouped.where(F.col("class") != F.col("head")).select(F.col("class").alias("a"), F.col("head").alias("b"))
-    posted = classes.join(heads.select(F.col("head").alias("class")), "class", "left_semi").select("class", "n", "centre", F.explode(F.arrays_zip("tokens", "places")).alias("t")).select("class", "n", "centre", F.col("t.tokens").alias("token"), F.col("t.places").alias("place"))
+    led = classes.join(heads, "group").select("class", "n", "centre", (F.col("class") == F.col("head")).alias("is_head"), F.explode(F.arrays_zip("tokens", "places")).alias("t"))
+    posted = settle(led.select("class", "n", "centre", "is_head", F.col("t.tokens").alias("token"), F.col("t.places").alias("place")))
 
     # each group against its best hub
-    hubs = posted.groupBy("token").agg(F.max(F.struct("centre", "class", "n", "place")).alias("hub"), F.count("*").alias("met")).where(F.col("met") > 1).select("token", "hub")
-    listed = settle(posted.join(hubs, "token"))
-    with_hub = listed.where((F.col("class") != F.col("hub.class")) & _may(F.col("n"), F.col("place"), F.col("hub.n"), F.col("hub.place"), percent))
+    lead = posted.where("is_head").drop("is_head")
+    hubs = lead.groupBy("token").agg(F.max(F.struct("centre", "class", "n", "place")).alias("hub"), F.count("*").alias("met")).where(F.col("met") > 1).select("token", "hub")
+    with_hub = lead.join(hubs, "token").where((F.col("class") != F.col("hub.class")) & _may(F.col("n"), F.col("place"), F.col("hub.n"), F.col("hub.place"), percent))
     voted = with_hub.groupBy("class", F.col("hub.class").alias("b")).agg(F.count("*").alias("votes"), F.max("hub.centre").alias("centre"))
     best = voted.groupBy("class").agg(F.max_by("b", F.struct("votes", "centre", "b")).alias("b")).select(F.col("class").alias("a"), "b")
     sets = classes.select("class", "members")
     stars = settle(verify(best.unionByName(in_group), sets, percent))
-    known = settle(connected_components(stars, "a", "b").select(F.col("node").alias("class"), "component"))
+    known = connected_components(stars, "a", "b").select(F.col("node").alias("class"), "component")
 
-    # whatever else may link different components
-    named = listed.join(known, "class", "left").withColumn("component", F.coalesce("component", "class")).drop("hub", "centre")
-    named = settle(named)
+    # whatever else may link different components, now with every class of the groups
+    named = settle(posted.select("class", "n", "token", "place").join(known, "class", "left").withColumn("component", F.coalesce("component", "class")))
+    drop_settled(posted)
     sizes = named.groupBy("token", "component").agg(F.count("*").alias("c"))
     main = sizes.groupBy("token").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("kinds")).where(F.col("kinds") > 1).select("token", "main")
     split = named.join(main, "token")
@@ -200,10 +205,6 @@ def near_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     other = split.select("token", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"), F.col("component").alias("component_b"), (F.col("component") == F.col("main")).alias("is_main"))
     met = minor.join(other, "token").where((F.col("component_a") != F.col("component_b")) & (F.col("is_main") | (F.col("a") < F.col("b"))) & _may(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), percent))
     rest = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    # a class of a group beside its head stands for itself here
-    loose = grouped.join(known, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    loose = loose.join(known.select(F.col("class").alias("head"), F.col("component").alias("head_component")), "head", "left").withColumn("head_component", F.coalesce("head_component", "head")).where(F.col("component") != F.col("head_component"))
-    rest = rest.unionByName(_expand(rest, loose)).unionByName(_inside(loose)).distinct()
     links = settle(stars.unionByName(verify(rest, sets, percent)))
     whole = connected_components(links, "a", "b").select(F.col("node").alias("class"), "component")
 
@@ -213,21 +214,6 @@ def near_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
-def _expand(pairs: DataFrame, loose: DataFrame) -> DataFrame:
-    """For pairs of group heads, the pairs of the heads' classes that are not linked to them."""
-    own = loose.select(F.col("head"), F.col("class").alias("member"))
-    a = pairs.join(own.withColumnRenamed("head", "a"), "a").select(F.col("member").alias("a"), "b")
-    b = pairs.join(own.withColumnRenamed("head", "b"), "b").select("a", F.col("member").alias("b"))
-    ab = a.join(own.withColumnRenamed("head", "b"), "b").select("a", F.col("member").alias("b"))
-    return a.unionByName(b).unionByName(ab)
-
-
-def _inside(loose: DataFrame) -> DataFrame:
-    """Pairs of classes of one group that are not linked to its head."""
-    own = loose.select("group", F.col("class").alias("a"))
-    return own.join(own.withColumnRenamed("a", "b"), "group").where(F.col("a") < F.col("b")).select("a", "b")
-
-
 def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """docs with one row of each component: the one whose id is the component's; blank texts all stay.
 
@@ -235,7 +221,8 @@ def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text", n: int
     """
     found = near_components(docs, id=id, text=text, n=n, percent=percent)
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(f"`{id}`").eqNullSafe(F.col("_gone")), "left_anti")
+    rows = docs.select(F.struct("*").alias("_row"), F.col(f"`{id}`").cast("long").alias("_id"))
+    return rows.join(gone, F.col("_id").eqNullSafe(F.col("_gone")), "left_anti").select("_row.*")
 
 
 def op1_ngram_jaccard(spark, sf_dir):
