@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomgraph.functions.text import strip
+from loomgraph.functions.text import let, record, strip
 from loomgraph.ontology import SECTION_ALIASES
 
 # Rules in order; the first that matches wins.  Keywords are plain substrings.
@@ -74,10 +74,14 @@ def evidence_sentence(chunk: Column, source: Column, target: Column) -> Column:
 
     An empty or null name is held by every sentence.
     """
-    text = F.coalesce(chunk, F.lit(""))
-    a, b = (F.lower(F.coalesce(x, F.lit(""))) for x in (source, target))
-    hit = F.get(F.filter(F.split(F.replace(text, F.lit("。"), F.lit(".")), r"\.", -1), lambda s: F.contains(F.lower(s), a) & F.contains(F.lower(s), b)), F.lit(0))
-    return F.coalesce(F.nullif(F.left(strip(hit), F.lit(300)), F.lit("")), F.concat(strip(F.left(text, F.lit(200))), F.lit("...")))
+    told = record(text=F.coalesce(chunk, F.lit("")), a=F.lower(F.coalesce(source, F.lit(""))), b=F.lower(F.coalesce(target, F.lit(""))))
+
+    def sentence(x):
+        sentences = F.split(F.replace(x["text"], F.lit("。"), F.lit(".")), r"\.", -1)
+        hit = F.get(F.filter(sentences, lambda s: let(F.lower(s), lambda l: F.contains(l, x["a"]) & F.contains(l, x["b"]))), F.lit(0))
+        return F.coalesce(F.nullif(F.left(strip(hit), F.lit(300)), F.lit("")), F.concat(strip(F.left(x["text"], F.lit(200))), F.lit("...")))
+
+    return let(told, sentence)
 
 
 def relation_name(name: Column, rel_type: Column) -> Column:

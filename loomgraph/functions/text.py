@@ -11,6 +11,11 @@ def record(**fields: Column) -> Column:
     return F.named_struct(*[x for name, value in fields.items() for x in (F.lit(name), value)])
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value worked out once, however often the body uses it, also inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Without any Unicode white space at the ends."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -85,7 +90,8 @@ def default_title(text: Column) -> Column:
 
 def path_at(found: Column, position: Column, default: Column) -> Column:
     """As-of lookup: the path of the last heading at or before the position."""
-    return F.coalesce(F.try_element_at(F.filter(found, lambda h: h["offset"] <= position), F.lit(-1))["path"], default)
+    last = let(position, lambda p: F.try_element_at(F.filter(found, lambda h: h["offset"] <= p), F.lit(-1)))
+    return F.coalesce(last["path"], default)
 
 
 def chunk_position(text: Column, chunk: Column, compat: bool = False) -> Column:

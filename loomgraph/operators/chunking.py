@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.functions.rules import canonical_section, role_from_answer, section_role
-from loomgraph.functions.text import chunk_position, cosine, default_title, headings, path_at, record, split_by_structure, strip
+from loomgraph.functions.text import chunk_position, cosine, default_title, headings, let, path_at, record, split_by_structure, strip
 
 
 def chunk_documents(docs: DataFrame, *, text: str = "text", chunk_size: int = 800, heading_size: int = 200, header_paths: bool = False, compat: bool = False) -> DataFrame:
@@ -24,11 +24,12 @@ def chunk_documents(docs: DataFrame, *, text: str = "text", chunk_size: int = 80
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
     if not header_paths:
         return docs.select(*rest, F.posexplode(chunks).alias("chunk_id", "chunk")).where(strip(F.col("chunk")) != "")
-    # the positions are found while the text is at hand, so it is not copied to each chunk
-    placed = F.transform(chunks, lambda c: record(chunk=c, position=chunk_position(t, c, compat)))
-    rows = docs.select(*rest, headings(t).alias("_headings"), default_title(t).alias("_default"), F.posexplode(placed).alias("chunk_id", "_c"))
-    path = F.when(F.col("_c.position") >= 0, path_at(F.col("_headings"), F.col("_c.position"), F.col("_default"))).otherwise(F.col("_default"))
-    return rows.select(*rest, "chunk_id", F.col("_c.chunk").alias("chunk"), path.alias("header_path")).where(strip(F.col("chunk")) != "")
+    # all of it inside one expression, so that neither text nor headings are copied to, or worked out for, each chunk
+    heads = record(found=headings(t), default=default_title(t))
+    path = lambda x, c: let(chunk_position(t, c, compat), lambda p: F.when(p >= 0, path_at(x["found"], p, x["default"])).otherwise(x["default"]))
+    placed = let(heads, lambda x: F.transform(chunks, lambda c: record(chunk=c, header_path=path(x, c))))
+    rows = docs.select(*rest, F.posexplode(placed).alias("chunk_id", "_c"))
+    return rows.select(*rest, "chunk_id", "_c.chunk", "_c.header_path").where(strip(F.col("chunk")) != "")
 
 
 def document_headings(docs: DataFrame, *, text: str = "text") -> DataFrame:
