@@ -23,8 +23,11 @@ from loomgraph.llm.kernel import slices, texts, tidy
 
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
-#: Words that a worker remembers; past it, it forgets all and starts again.
-REMEMBERED = 250_000
+#: Words that a worker remembers, in two generations: when the younger one has half of them, it
+#: becomes the older one, and words met again move to the new younger one.
+REMEMBERED = 400_000
+#: Pairs of tokens whose test a worker remembers.
+TESTED = 250_000
 
 
 def _byte_characters() -> dict[str, int]:
@@ -44,6 +47,7 @@ class Merges:
         self.id = {raw(t): i for t, i in spec["model"]["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes = {i: t for t, i in self.id.items()} | {i: t.encode() for t, i in self.special.items()}
+        self.written = {str(i): t for i, t in self.bytes.items()}
         size = max(self.bytes) + 1
         self.left, self.right, self.rank = np.full(size, -1), np.full(size, -1), np.full(size, -1)
         # of a pair: its merge's rank, and in the low 20 bits the id that it becomes
@@ -58,11 +62,12 @@ class Merges:
         codes = np.fromiter(self.merge, np.int64, len(self.merge))
         order = np.argsort(codes)
         self.size, self.codes, self.ranks = size, codes[order], (np.fromiter(self.merge.values(), np.int64, len(codes)) >> 20)[order]
-        self.longest = max(map(len, self.id))
         self.single = [self.id.get(bytes([k]), -1) for k in range(256)]
         # greedy match may only propose tokens that encode to themselves
-        self.proposable = {t for t, i in self.id.items() if len(t) == 1 or self.exact(t) == [i]}
+        self.proposable = {t: i for t, i in self.id.items() if len(t) == 1 or self.exact(t) == [i]}
+        self.begun = {t[:k] for t in self.proposable for k in range(2, len(t) + 1)}
         self.words: dict[str, str] = {}
+        self.older: dict[str, str] = {}
         self.tested: dict[int, bool] = {}
         self.merged = 0
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -109,13 +114,20 @@ class Merges:
         return [i for i in ids if i >= 0]
 
     def propose(self, word: bytes) -> list[int]:
-        ids, at = [], 0
-        while at < len(word):
-            for to in range(min(len(word), at + self.longest), at, -1):
-                if word[at:to] in self.proposable:
+        """Greedy longest match: extend while some token begins so, and take the last whole one."""
+        ids, at, n, get, begun = [], 0, len(word), self.proposable.get, self.begun
+        while at < n:
+            to = best = at + 1
+            found = self.single[word[at]]
+            while to < n:
+                to += 1
+                piece = word[at:to]
+                if piece not in begun:
                     break
-            ids.append(self.id[word[at:to]])
-            at = to
+                if (token := get(piece)) is not None:
+                    found, best = token, to
+            ids.append(found)
+            at = best
         return ids
 
     def compatible(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -152,9 +164,7 @@ class Merges:
         return good
 
     def learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > REMEMBERED:
-            self.words.clear()
-        if len(self.tested) > REMEMBERED:
+        if len(self.tested) > TESTED:
             self.tested.clear()
         raw = {w: w.encode() for w in words}
         guess = {w: self.propose(b) for w, b in raw.items()}
@@ -172,17 +182,23 @@ class Merges:
         """The comma-joined ids of each text."""
         pieces = [[(p, p in self.special) for p in self.splitter.split(t) if p] if self.splitter and any(s in t for s in self.special) else [(t, False)] for t in batch]
         cut = [[([p], True) if special else (PATTERN.findall(p), False) for p, special in text] for text in pieces]
-        unknown = {w for text in cut for found, special in text if not special for w in found} - self.words.keys()
+        needed = {w for text in cut for found, special in text if not special for w in found}
+        unknown = needed - self.words.keys()
         if unknown:
-            known = self.words
-            if len(known) + len(unknown) > REMEMBERED:  # all of this batch must be known at once
-                unknown = {w for text in cut for found, special in text if not special for w in found}
-            self.learn(unknown)
+            if len(self.words) + len(unknown) > REMEMBERED // 2:
+                self.older, self.words, unknown = self.words, {}, needed
+            again = unknown & self.older.keys()
+            self.words.update((w, self.older[w]) for w in again)
+            self.learn(unknown - again)
         return [",".join(str(self.special[w[0]]) if special else ",".join(map(self.words.__getitem__, w)) for w, special in text if w) for text in cut]
 
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
+    def decode_joined(self, ids: str) -> str:
+        """The text of comma-joined ids."""
+        return b"".join(map(self.written.__getitem__, ids.split(","))).decode("utf-8", "replace") if ids else ""
+
 
 _loaded: dict[str, Merges] = {}
 
@@ -221,13 +237,11 @@ def encode(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABULARY,
             for piece, batch_texts in _small(batch, text):
                 found = merges.encode(batch_texts)
                 out = {"n_tokens": [x.count(",") + 1 if x else 0 for x in found]}
-                if ids or digests:
-                    numbers = [list(map(int, x.split(","))) if x else [] for x in found]
                 if ids:
-                    out["ids"] = numbers
+                    out["ids"] = [list(map(int, x.split(","))) if x else [] for x in found]
                 if digests:
                     out["ids_sha256"] = [hashlib.sha256(x.encode()).hexdigest() for x in found]
-                    out["decoded_sha256"] = [hashlib.sha256(merges.decode(x).encode()).hexdigest() for x in numbers]
+                    out["decoded_sha256"] = [hashlib.sha256(merges.decode_joined(x).encode()).hexdigest() for x in found]
                 yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in keep), *(pa.array(out[c], t) for c, t in new.items())], names=[*keep, *new])
         tidy()
 
