@@ -58,7 +58,7 @@ def infer_roles(chunks: DataFrame, ask: Callable[[str, str], str] | None = None,
 
 
 def view_roles(chunks: DataFrame, priors: DataFrame, *, role: str = "section_role", views: tuple[str, ...] = ("MPU", "EBM", "EEM")) -> DataFrame:
-    """chunks with the canonical role and bae_roles: the role's prior views, else those of Other.
+    """chunks with the canonical role and view_roles: the role's prior views, else those of Other.
 
     priors (section_role, roles) is as small as the ontology and is broadcast.
     """
@@ -67,7 +67,7 @@ def view_roles(chunks: DataFrame, priors: DataFrame, *, role: str = "section_rol
     named = chunks.withColumn(role, canonical_section(F.col(role)))
     joined = named.join(F.broadcast(table), F.col(role) == F.col("_role"), "left").crossJoin(F.broadcast(fallback))
     allowed = F.array(*map(F.lit, views))
-    return joined.withColumn("bae_roles", F.array_intersect(F.coalesce("_roles", "_other", F.array().cast("array<string>")), allowed)).drop("_role", "_roles", "_other")
+    return joined.withColumn("view_roles", F.array_intersect(F.coalesce("_roles", "_other", F.array().cast("array<string>")), allowed)).drop("_role", "_roles", "_other")
 
 
 def semantic_groups(sentences: DataFrame, *, by: list[str], order: list[str], embedding: str = "embedding", threshold: float = 0.72, window: int = 1) -> DataFrame:

@@ -115,7 +115,7 @@ class Build:
         chunks = chunking.chunk_documents(docs.select("filename", "text"), chunk_size=self.settings.chunk_size, header_paths=True)
         chunks = chunking.infer_roles(chunks.withColumnRenamed("chunk", "text"), self.ask_role)
         chunks = settle(chunking.view_roles(chunks, self.frames["section_prior"]))
-        chunks = chunks.select(F.concat_ws("#", "filename", "chunk_id").alias("chunk_id"), "filename", F.col("chunk_id").alias("index"), "text", "header_path", "section_role", "bae_roles")
+        chunks = chunks.select(F.concat_ws("#", "filename", "chunk_id").alias("chunk_id"), "filename", F.col("chunk_id").alias("index"), "text", "header_path", "section_role", "view_roles")
         templates = extraction.usable_templates(self.frames["triple_template"], self.frames["entity_def"], self.frames["relation_def"])
         graph = KnowledgeGraph.empty(self.spark)
         status = docs.select("filename").withColumn("ok", F.lit(True))

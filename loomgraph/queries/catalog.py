@@ -141,10 +141,10 @@ def section_role(t: Tables) -> DataFrame:
     return chunking.infer_roles(_headed(t)).select("doc_id", "section_role")
 
 
-@query(with_views("v_priors", f"select r.doc_id, r.section_role, p.roles as bae_roles from (select doc_id, {_role_sql('header_path', 'text')} as section_role from (select doc_id, {_HEAD_SQL} as header_path, text from documents)) r join v_priors p on p.section_role = r.section_role"))
+@query(with_views("v_priors", f"select r.doc_id, r.section_role, p.roles as view_roles from (select doc_id, {_role_sql('header_path', 'text')} as section_role from (select doc_id, {_HEAD_SQL} as header_path, text from documents)) r join v_priors p on p.section_role = r.section_role"))
 def role_prior(t: Tables) -> DataFrame:
     rows = chunking.view_roles(chunking.infer_roles(_headed(t)), t.priors())
-    return rows.select("doc_id", "section_role", F.array_join("bae_roles", ",").alias("bae_roles"))
+    return rows.select("doc_id", "section_role", F.array_join("view_roles", ",").alias("view_roles"))
 
 
 @query("""
@@ -227,8 +227,8 @@ select d.doc_id as chunk_id, case when h.ordinal is null then null else 'bench'
 def chunk_backfill(t: Tables) -> DataFrame:
     """Benchmark items play the nodes, documents without a file the stored chunks."""
     none = F.lit(None).cast("string")
-    stored = t.documents.select(F.col("doc_id").alias("chunk_id"), none.alias("filename"), "text", none.alias("header_path"), none.alias("section_role"), none.alias("from_section"), F.lit(None).cast("array<string>").alias("bae_roles"))
-    nodes = t.benchmark.select(F.col("item_id").alias("ordinal"), F.lit("bench").alias("filename"), "text", F.concat(F.lit("path "), F.col("item_id").cast("string")).alias("header_path"), none.alias("section_role"), F.array().cast("array<string>").alias("bae_roles"))
+    stored = t.documents.select(F.col("doc_id").alias("chunk_id"), none.alias("filename"), "text", none.alias("header_path"), none.alias("section_role"), none.alias("from_section"), F.lit(None).cast("array<string>").alias("view_roles"))
+    nodes = t.benchmark.select(F.col("item_id").alias("ordinal"), F.lit("bench").alias("filename"), "text", F.concat(F.lit("path "), F.col("item_id").cast("string")).alias("header_path"), none.alias("section_role"), F.array().cast("array<string>").alias("view_roles"))
     return metadata.backfill_chunks(stored, nodes)[0].select("chunk_id", "filename", "header_path")
 
 

@@ -22,7 +22,7 @@ def _named(items) -> dict[str, dict[str, str]]:
     return {x["label"]: {p["name"]: p.get("type", "STRING") for p in x.get("properties", [])} for x in items}
 
 
-def load_ontology(spark: SparkSession, folder: str, base: Ontology, *, entities="entity.json", relations="relation.json", triples="potential_schema.json", views="subgraph_mapping.json", sections="table3_section_bae.json", paths="metapath_relations.json") -> Ontology:
+def load_ontology(spark: SparkSession, folder: str, base: Ontology, *, entities="entities.json", relations="relations.json", triples="triples.json", views="views.json", sections="sections.json", paths="paths.json") -> Ontology:
     """base with the parts of those files; a name given as None keeps base's part.
 
     entities and relations are lists of objects with `label` and `properties`

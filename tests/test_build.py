@@ -140,15 +140,15 @@ def test_ontology_is_sound():
 
 
 def test_ontology_files(spark, tmp_path):
-    parts = {"entity.json": [{"label": "A", "properties": [{"name": "p", "type": "FLOAT"}]}, {"label": "B"}], "relation.json": [{"label": "r"}], "potential_schema.json": [["A", "r", "B", ["All"], "low"]], "subgraph_mapping.json": {"MPU": ["A"], "EBM": ["B"], "EEM": ["A"]}, "table3_section_bae.json": {"mappings": {"Other": {"doco_deo_type": None, "roles": []}}}, "metapath_relations.json": {"MPU": [["A", "r", "B"]], "rank": "x"}}
+    parts = {"entities.json": [{"label": "A", "properties": [{"name": "p", "type": "FLOAT"}]}, {"label": "B"}], "relations.json": [{"label": "r"}], "triples.json": [["A", "r", "B", ["All"], "low"]], "views.json": {"MPU": ["A"], "EBM": ["B"], "EEM": ["A"]}, "sections.json": {"mappings": {"Other": {"doco_deo_type": None, "roles": []}}}, "paths.json": {"MPU": [["A", "r", "B"]], "rank": "x"}}
     for name, value in parts.items():
         (tmp_path / name).write_text(json.dumps(value))
     o = load_ontology(spark, str(tmp_path), default_ontology())
     assert o.entities["A"] == {"p": "FLOAT"} and o.triples == [("A", "r", "B", ["All"], "low")] and o.paths == [("MPU", "A", "r", "B")]
-    for name in ("entity.json", "table3_section_bae.json"):
-        (tmp_path / name).write_text("[]" if name == "entity.json" else "{}")
+    for name in ("entities.json", "sections.json"):
+        (tmp_path / name).write_text("[]" if name == "entities.json" else "{}")
         with pytest.raises(ValueError):
-            load_ontology(spark, str(tmp_path), default_ontology(), **({"entities": None} if name != "entity.json" else {}))
+            load_ontology(spark, str(tmp_path), default_ontology(), **({"entities": None} if name != "entities.json" else {}))
 
 
 def test_settings(tmp_path):

@@ -229,8 +229,8 @@ def test_metadata_flows_down_once(spark):
 
 
 def test_backfill_last_node_wins_and_counts_matches(spark):
-    stored = spark.createDataFrame([("c1", None, "say hello world", None, None, None, None), ("c2", "g", "hello", None, None, None, None), ("c3", "f", "hello", None, None, None, None)], "chunk_id string, filename string, text string, header_path string, section_role string, from_section string, bae_roles array<string>")
-    nodes = spark.createDataFrame([(0, "f", " hello ", "P0", "Results", ["MPU"]), (1, "f", "hello", None, None, []), (2, "f", " ", "P", "Results", [])], "ordinal int, filename string, text string, header_path string, section_role string, bae_roles array<string>")
+    stored = spark.createDataFrame([("c1", None, "say hello world", None, None, None, None), ("c2", "g", "hello", None, None, None, None), ("c3", "f", "hello", None, None, None, None)], "chunk_id string, filename string, text string, header_path string, section_role string, from_section string, view_roles array<string>")
+    nodes = spark.createDataFrame([(0, "f", " hello ", "P0", "Results", ["MPU"]), (1, "f", "hello", None, None, []), (2, "f", " ", "P", "Results", [])], "ordinal int, filename string, text string, header_path string, section_role string, view_roles array<string>")
     out, count = metadata.backfill_chunks(stored, nodes)
     got = {r["chunk_id"]: (r["filename"], r["header_path"], r["from_section"]) for r in out.collect()}
     assert got == {"c1": ("f", "Unknown", "Other"), "c2": ("g", None, None), "c3": ("f", "Unknown", "Other")} and count.first()["matches"] == 4

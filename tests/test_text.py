@@ -100,7 +100,7 @@ def test_canonical_section(spark, name, want):
 def test_prior_roles_fall_back_to_other(spark):
     priors = spark.createDataFrame([("Results", ["EBM", "XXX", "MPU"]), ("Other", [])], "section_role string, roles array<string>")
     rows = chunking.view_roles(spark.createDataFrame([("results",), ("strange",), (None,)], "section_role string"), priors).collect()
-    assert {(r["section_role"], tuple(r["bae_roles"])) for r in rows} == {("Results", ("EBM", "MPU")), ("strange", ()), ("Other", ())}
+    assert {(r["section_role"], tuple(r["view_roles"])) for r in rows} == {("Results", ("EBM", "MPU")), ("strange", ()), ("Other", ())}
 
 
 SENTENCES = [
