@@ -599,9 +599,12 @@ lnk as (select distinct m.anchor_id as mid_anchor, l.rel_id from (select distinc
 """
 
 
-def _links(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+_LINK_WHOLE = _LINK.replace(" where l_suppkey < 20", "")
+
+
+def _links(t: Tables, which: str = "l_suppkey < 20") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Some suppliers play the anchors; the low paths are the suppliers' nations."""
-    mid = t.lineitem.where("l_suppkey < 20").select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("anchor_id")).distinct().select(F.col("anchor_id").alias("mp_id"), F.lit("SUPPLY").alias("view"), "anchor_id")
+    mid = t.lineitem.where(which).select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("anchor_id")).distinct().select(F.col("anchor_id").alias("mp_id"), F.lit("SUPPLY").alias("view"), "anchor_id")
     low = t.edges().where("rel_type = 'located_in' and src like 'S%'").select(F.col("rel_id").alias("mp_id"), F.lit("SUPPLY").alias("view"), "src", "dst")
     return low, mid, paths.link_paths(mid, low, t.from_chunk())
 
@@ -616,6 +619,17 @@ def path_counts(t: Tables) -> DataFrame:
     return paths.path_counts(*_links(t))
 
 
+@query(with_views("v_edges v_from_chunk", "select mid_anchor as mid_id, rel_id as low_id from lnk", _LINK_WHOLE))
+def path_links_whole(t: Tables) -> DataFrame:
+    """path_links with every supplier as an anchor."""
+    return _links(t, "l_suppkey is not null")[2]
+
+
+@query(with_views("v_edges v_from_chunk", "select (select count(*) from v_edges where rel_type = 'located_in' and src like 'S%') as low_paths, (select count(distinct l_suppkey) from lineitem) as mid_paths, (select count(*) from lnk) as has_detail_path", _LINK_WHOLE))
+def path_counts_whole(t: Tables) -> DataFrame:
+    return paths.path_counts(*_links(t, "l_suppkey is not null"))
+
+
 @query("""
 with q as (select vec_id as query_id, embedding::double[] as q from embeddings where vec_id % 50 = 0),
 s as (select q.query_id, e.vec_id as id, list_cosine_similarity(e.embedding::double[], q.q) as s from q join embeddings e on e.vec_id <> q.query_id)
