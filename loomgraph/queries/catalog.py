@@ -459,6 +459,11 @@ def pagerank_cyclic(t: Tables) -> DataFrame:
     return central.pagerank(*t.cyclic()).select("id", F.round(F.col("pagerank") + 1e-9, 6).alias("pagerank"))
 
 
+@query(_pagerank_sql("v_cycw_nodes", "v_cycw_edges", "v_cycw_nodes v_cycw_edges"))
+def pagerank_cyclic_whole(t: Tables) -> DataFrame:
+    return central.pagerank(*t.cyclic_whole()).select("id", F.round(F.col("pagerank") + 1e-9, 6).alias("pagerank"))
+
+
 _WALKS = """
 walk as (select id as src, id as dst, 0 as d, 1.0::double as sigma from {n}
   union all select w.src, e.dst, w.d + 1, sum(w.sigma) from walk w join {e} e on e.src = w.dst where w.d < {bound} group by w.src, e.dst, w.d),
@@ -493,6 +498,19 @@ def betweenness(t: Tables) -> DataFrame:
     return central.betweenness(nodes, settle(central.shortest_paths(nodes, edges))).select("id", F.round("betweenness", 6).alias("betweenness"))
 
 
+@query(with_views("v_geo_nodes v_geo_edges", _BETWEEN.format(n="v_geo_nodes"), _walks("v_geo_nodes", "v_geo_edges", 4), recursive=True))
+def betweenness_whole(t: Tables) -> DataFrame:
+    """Of the whole supplier, nation and region view."""
+    nodes, edges = t.geography()
+    return central.betweenness(nodes, settle(central.shortest_paths(nodes, edges))).select("id", F.round("betweenness", 6).alias("betweenness"))
+
+
+@query(with_views("v_cycw_nodes v_cycw_edges", _CLOSE.format(n="v_cycw_nodes"), _walks("v_cycw_nodes", "v_cycw_edges", 8), recursive=True))
+def closeness_cyclic_whole(t: Tables) -> DataFrame:
+    nodes, edges = t.cyclic_whole()
+    return central.closeness(nodes, central.shortest_paths(nodes, edges)).select("id", F.round("closeness", 6).alias("closeness"))
+
+
 @query(with_views("v_geo_nodes v_degree", """
 select id, round(dn, 6) as degree_norm, round(vn, 6) as size_norm, round((dn + vn) / 2, 6) as combined from (
   select id, (degree - lo) / (hi - lo + 1e-10) as dn, (v - vlo) / (vhi - vlo + 1e-10) as vn

@@ -90,6 +90,11 @@ class Tables:
         edges = few.select((F.col("l_partkey") % 60).alias("src"), ((F.col("l_suppkey") * 7 + 3) % 60).alias("dst")).where("src <> dst").distinct()
         return self.spark.range(60).select("id"), edges
 
+    def cyclic_whole(self) -> tuple[DataFrame, DataFrame]:
+        """A graph with cycles of all lines: from the node of the part's key to that of the supplier's."""
+        edges = self.lineitem.select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst")).where("src <> dst").distinct()
+        return self.lineitem.select(F.explode(F.array("l_partkey", "l_suppkey")).alias("id")).distinct(), edges
+
 
 _VALUES = lambda rows: ", ".join("(" + ", ".join(repr(x) for x in r) + ")" for r in rows)
 
@@ -108,6 +113,8 @@ SQL = {
     "v_geo_edges": "select src, dst from v_edges where rel_type in ('located_in', 'in_region') and src in (select id from v_geo_nodes) and dst in (select id from v_geo_nodes)",
     "v_cyc_edges": "select distinct l_partkey % 60 as src, (l_suppkey * 7 + 3) % 60 as dst from lineitem where l_orderkey < 25 and l_partkey % 60 <> (l_suppkey * 7 + 3) % 60",
     "v_cyc_nodes": "select range as id from range(60)",
+    "v_cycw_edges": "select distinct l_partkey as src, l_suppkey as dst from lineitem where l_partkey <> l_suppkey",
+    "v_cycw_nodes": "select l_partkey as id from lineitem union select l_suppkey from lineitem",
     "v_degree": "select n.id, count(e.src)::double as degree from v_geo_nodes n left join v_geo_edges e on e.src = n.id group by n.id",
 }
 _NEEDS = {"v_lines": ["v_md"], "v_edges": ["v_edges0"], "v_geo_nodes": ["v_nodes"], "v_geo_edges": ["v_edges", "v_geo_nodes"], "v_degree": ["v_geo_nodes", "v_geo_edges"]}

@@ -12,3 +12,12 @@ def test_every_supplier_is_linked(spark, same):
     used = spark.read.parquet(f"{MORE}/lineitem.parquet").selectExpr("concat('S', l_suppkey)").distinct().collect()
     linked = QUERIES["path_links_whole"](spark, MORE).select("mid_id").distinct().collect()
     assert {r[0] for r in linked} == {r[0] for r in used} and len(used) > 19
+
+
+def test_centrality_of_whole_graphs(spark, same):
+    for name in ("betweenness_whole", "pagerank_cyclic_whole", "closeness_cyclic_whole"):
+        same(spark, QUERIES[name], ORACLES[name], MORE)
+    suppliers = spark.read.parquet(f"{MORE}/supplier.parquet").count()
+    assert QUERIES["betweenness_whole"](spark, MORE).where("id like 'S%'").count() == suppliers
+    parts = spark.read.parquet(f"{MORE}/lineitem.parquet").select("l_partkey").distinct().count()
+    assert QUERIES["pagerank_cyclic_whole"](spark, MORE).count() >= parts > 60
