@@ -268,6 +268,13 @@ def meta_entity(t: Tables) -> DataFrame:
     return metadata.entity_metadata(entities, t.from_chunk(), chunks)
 
 
+def _relation_meta(t: Tables, edges: DataFrame) -> DataFrame:
+    none = F.lit(None).cast("string")
+    relations = edges.select("rel_id", "src", "dst", none.alias("dc_title"), none.alias("from_section"))
+    chunks = metadata.chunk_metadata(_chunk_rows(t), _chunk_docs(t))
+    return metadata.relation_metadata(relations, t.from_chunk(), chunks).select("rel_id", "dc_title", "from_section")
+
+
 @query(with_views("v_edges v_from_chunk", """
 select e.rel_id, b.r.dc_title as dc_title, b.r.from_section as from_section from v_edges e
 left join (select x.rel_id, arg_min({'dc_title': m.dc_title, 'from_section': m.from_section}, m.idx) as r
@@ -275,10 +282,17 @@ left join (select x.rel_id, arg_min({'dc_title': m.dc_title, 'from_section': m.f
 where e.rel_type <> 'contains'
 """, _META))
 def meta_relation(t: Tables) -> DataFrame:
-    none = F.lit(None).cast("string")
-    relations = t.edges().where("rel_type <> 'contains'").select("rel_id", "src", "dst", none.alias("dc_title"), none.alias("from_section"))
-    chunks = metadata.chunk_metadata(_chunk_rows(t), _chunk_docs(t))
-    return metadata.relation_metadata(relations, t.from_chunk(), chunks).select("rel_id", "dc_title", "from_section")
+    return _relation_meta(t, t.edges().where("rel_type <> 'contains'"))
+
+
+@query(with_views("v_edges v_from_chunk", """
+select e.rel_id, b.r.dc_title as dc_title, b.r.from_section as from_section from v_edges e
+left join (select x.rel_id, arg_min({'dc_title': m.dc_title, 'from_section': m.from_section}, m.idx) as r
+  from (select rel_id, src as entity_id from v_edges union all select rel_id, dst from v_edges) x join v_from_chunk f on f.entity_id = x.entity_id join m on m.chunk_id = f.chunk_id group by x.rel_id) b on b.rel_id = e.rel_id
+""", _META))
+def meta_relation_whole(t: Tables) -> DataFrame:
+    """meta_relation with the `contains` relations."""
+    return _relation_meta(t, t.edges())
 
 
 @query("""
@@ -591,6 +605,12 @@ def path_max_rank(t: Tables) -> DataFrame:
     return _low(t).where("view <> 'SALES'").select("mp_id", "max_pagerank")
 
 
+@query(with_views("v_nodes v_edges v_views v_templates", "select l.mp_id, greatest(a.rank, b.rank) as max_pagerank from low l left join br a on a.view = l.view and a.entity_id = l.src left join br b on b.view = l.view and b.entity_id = l.dst", _LOW))
+def path_max_rank_whole(t: Tables) -> DataFrame:
+    """path_max_rank of all three views."""
+    return _low(t).select("mp_id", "max_pagerank")
+
+
 _MID = """
 mid as (select sha256('SALES|mid|' || o.src) as mp_id, 'SALES' as view, row_number() over (order by o.src) as counter, o.src as anchor_id, count(*) as n_members, s.name || ': ' || string_agg(p.name, ', ' order by p.name, o.dst) as text
   from v_edges o join v_nodes s on s.id = o.src join v_nodes p on p.id = o.dst where o.rel_type = 'contains' group by o.src, s.name)

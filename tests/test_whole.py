@@ -21,3 +21,11 @@ def test_centrality_of_whole_graphs(spark, same):
     assert QUERIES["betweenness_whole"](spark, MORE).where("id like 'S%'").count() == suppliers
     parts = spark.read.parquet(f"{MORE}/lineitem.parquet").select("l_partkey").distinct().count()
     assert QUERIES["pagerank_cyclic_whole"](spark, MORE).count() >= parts > 60
+
+
+def test_every_relation_and_low_path_counts(spark, same):
+    for name in ("meta_relation_whole", "path_max_rank_whole"):
+        same(spark, QUERIES[name], ORACLES[name], MORE)
+    lines = spark.read.parquet(f"{MORE}/lineitem.parquet").select("l_orderkey", "l_partkey").distinct().count()
+    assert QUERIES["meta_relation_whole"](spark, MORE).where("rel_id like '%|contains|%'").count() == lines
+    assert QUERIES["path_max_rank_whole"](spark, MORE).count() == QUERIES["paths_low"](spark, MORE).count()
