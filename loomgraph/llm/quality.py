@@ -6,7 +6,9 @@ count is the number of documents that hold it.  A document's log importance
 weight is the sum over its n-grams of the log ratio of the two models, where
 ratios that the counts do not bear out (within `dead` of 0) and ratios in its
 favour count as 0: a document is as good as the target until its n-grams say
-otherwise, whatever its length.  n-grams are words (A-Z lower-cased, without closing marks), and pairs of word *shapes*
+otherwise, whatever its length.  The ratios are smoothed for what is expected of
+frequent n-grams; a rarer one counts with a light prior if, by the exact test,
+the labelled documents that hold it are bad ones by less than chance `rare`.  n-grams are words (A-Z lower-cased, without closing marks), and pairs of word *shapes*
 (capitals, digits, marks, repetition), so noise shows even in new words.
 
 The sample is drawn without replacement by Gumbel top-k: the k documents of
@@ -17,6 +19,7 @@ tells good from bad among the labelled ones.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +37,8 @@ LABELLED = 200_000
 #: A good document lost counts as this many bad ones kept, where the cut is chosen.
 CARE = 3.0
 PRIOR, DEAD, TEMPERATURE = 3.0, 1.0, 0.1
+#: The prior of n-grams too rare for PRIOR, and the chance below which they count.
+LIGHT, RARE = 0.5, 0.001
 _SLOTS = 64
 _UPPER, _LOWERS, _DIGIT, _MARK = (np.zeros(256, np.uint8) for _ in range(4))
 _UPPER[65:91] = 1
@@ -70,29 +75,30 @@ def _pieces(column):
 
 
 def _count(batches):
-    """Document counts of cells, of all rows and of the good ones."""
-    raw, good = np.zeros(CELLS, np.int32), np.zeros(CELLS, np.int32)  # of one partition
-    n_raw = n_good = 0
+    """Document counts of cells, of all rows, the good and the bad ones."""
+    raw, good, bad = (np.zeros(CELLS, np.int32) for _ in range(3))  # of one partition
+    n_raw = n_good = n_bad = 0
     for batch in batches:
-        is_good = np.asarray(batch.column("good").fill_null(False))
-        n_raw, n_good = n_raw + len(is_good), n_good + int(is_good.sum())
+        is_good, is_bad = np.asarray(batch.column("good").fill_null(False)), ~np.asarray(batch.column("good").fill_null(True))
+        n_raw, n_good, n_bad = n_raw + len(is_good), n_good + int(is_good.sum()), n_bad + int(is_bad.sum())
         for a, b, row, cell in _pieces(batch.column("text")):
             np.add.at(raw, cell, 1)
             np.add.at(good, cell[is_good[a:b][row]], 1)
+            np.add.at(bad, cell[is_bad[a:b][row]], 1)
     if n_raw:
         parts = np.array_split(np.arange(CELLS), _SLOTS)
-        yield pa.RecordBatch.from_pydict({"slot": list(range(_SLOTS)), "raw": [squeeze(raw[p]) for p in parts], "good": [squeeze(good[p]) for p in parts], "n_raw": [n_raw] + [0] * (_SLOTS - 1), "n_good": [n_good] + [0] * (_SLOTS - 1)}, schema=_COUNTS)
+        yield pa.RecordBatch.from_pydict({"slot": list(range(_SLOTS)), "raw": [squeeze(raw[p]) for p in parts], "good": [squeeze(good[p]) for p in parts], "bad": [squeeze(bad[p]) for p in parts], "n_raw": [n_raw] + [0] * (_SLOTS - 1), "n_good": [n_good] + [0] * (_SLOTS - 1), "n_bad": [n_bad] + [0] * (_SLOTS - 1)}, schema=_COUNTS)
     tidy()
 
 
-_COUNTS = pa.schema([("slot", pa.int32()), ("raw", pa.binary()), ("good", pa.binary()), ("n_raw", pa.int64()), ("n_good", pa.int64())])
-_COUNTS_SQL = "slot int, raw binary, good binary, n_raw long, n_good long"
+_COUNTS = pa.schema([("slot", pa.int32()), ("raw", pa.binary()), ("good", pa.binary()), ("bad", pa.binary()), ("n_raw", pa.int64()), ("n_good", pa.int64()), ("n_bad", pa.int64())])
+_COUNTS_SQL = "slot int, raw binary, good binary, bad binary, n_raw long, n_good long, n_bad long"
 
 
 @tidied
 def _total(table: pa.Table) -> pa.Table:
     add = lambda c: squeeze(sum(expand(x, np.int32).astype(np.int64) for x in table[c].to_pylist()))
-    return pa.table({"slot": table["slot"][:1], "raw": [add("raw")], "good": [add("good")], "n_raw": [sum(table["n_raw"].to_pylist())], "n_good": [sum(table["n_good"].to_pylist())]}, schema=_COUNTS)
+    return pa.table({"slot": table["slot"][:1], "raw": [add("raw")], "good": [add("good")], "bad": [add("bad")], **{c: [sum(table[c].to_pylist())] for c in ("n_raw", "n_good", "n_bad")}}, schema=_COUNTS)
 
 
 @dataclass(frozen=True)
@@ -120,16 +126,29 @@ def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "
     totals = rows.mapInArrow(_count, _COUNTS_SQL).groupBy("slot").applyInArrow(_total, _COUNTS_SQL).orderBy("slot").collect()
     if not totals:
         return Model(np.zeros(CELLS), -np.inf)
-    raw, good = (np.concatenate([expand(bytes(r[c]), np.int64) for r in totals]).astype(float) for c in ("raw", "good"))
-    n_raw, n_good = (sum(r[c] for r in totals) for c in ("n_raw", "n_good"))
+    raw, good, bad = (np.concatenate([expand(bytes(r[c]), np.int64) for r in totals]).astype(float) for c in ("raw", "good", "bad"))
+    n_raw, n_good, n_bad = (sum(r[c] for r in totals) for c in ("n_raw", "n_good", "n_bad"))
     ratios = np.log((good + prior) / (raw * (n_good / n_raw) + prior))
     ratios[ratios > -dead] = 0
     if not n_good:
         return Model(np.zeros(CELLS), -np.inf)
+    light = np.log((good + LIGHT) / (raw * (n_good / n_raw) + LIGHT))
+    seen = np.flatnonzero((ratios == 0) & (light <= -dead) & (bad > 0))
+    kinds, kind_of = np.unique(np.stack([bad[seen], good[seen]]).astype(int), axis=1, return_inverse=True)
+    rare = np.array([_chance(b, g, n_bad, n_good) < RARE for b, g in kinds.T.tolist()], bool)
+    told = seen[rare[kind_of.ravel()]]
+    ratios[told] = light[told]
     bins = _weights(rows.where(F.col("good").isNotNull()), ratios, "text").groupBy("good", F.floor(F.col("weight") * 4).alias("bin")).count().collect()
     return Model(ratios, _best_cut([(r["bin"] / 4, r["good"], r["count"]) for r in bins]))
 
 
+def _chance(b: int, g: int, n_bad: int, n_good: int) -> float:
+    """Of b + g documents drawn from n_bad and n_good, the chance that b or more are bad (Fisher's exact test)."""
+    ways = lambda n, k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+    drawn = b + g
+    return sum(math.exp(ways(n_bad, k) + ways(n_good, drawn - k) - ways(n_bad + n_good, drawn)) for k in range(b, min(drawn, n_bad) + 1) if drawn - k <= n_good)
+
+
 def _best_cut(bins: list[tuple[float, bool, int]]) -> float:
     """The lowest weight kept: of all, that with the least CARE * share of good below + share of bad above."""
     n_good, n_bad = sum(n for _, g, n in bins if g), sum(n for _, g, n in bins if not g)
