@@ -8,7 +8,7 @@ return the columns of documents.
 from __future__ import annotations
 
 from loomgraph.llm.bpe import encode
-from loomgraph.llm.decontaminate import remove_leaks
+from loomgraph.llm.decontaminate import remove_leaking_rows
 from loomgraph.llm.jaccard_join import keep_one
 from loomgraph.llm.pii import redact
 from loomgraph.llm.quality import keep_good
@@ -29,7 +29,7 @@ def near_duplicates(spark, docs, sf_dir):
 
 def decontamination(spark, docs, sf_dir):
     """Drop the documents that hold a benchmark item."""
-    return remove_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return remove_leaking_rows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark, docs, sf_dir):

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomgraph.llm.exchange import row_key
+
 WORDS = 5
 THRESHOLD = 0.75
 #: Item shingles up to which the index is broadcast (16 bytes each, and overhead); beyond it, the join is shuffled.
@@ -64,6 +66,14 @@ def remove_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     return rows.join(found, F.col("_id").eqNullSafe(F.col("_leak")), "left_anti").select("_row.*")
 
 
+def remove_leaking_rows(docs: DataFrame, items: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """docs without the rows that hold an item, decided row by row: a row stays though another of its id, or of none, goes."""
+    keyed = docs.select(row_key(id, text).alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    found = leaks(keyed, items, **options).select(F.col("doc_id").alias("_leak")).distinct()
+    rows = docs.select(F.struct("*").alias("_row"), row_key(id, text).alias("_key"))
+    return rows.join(found, F.col("_key") == F.col("_leak"), "left_anti").select("_row.*")
+
+
 def op9_decontaminate(spark, sf_dir):
     return leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 

@@ -39,3 +39,8 @@ def layout(docs: DataFrame, text: str = "text", block_chars: int = 4_000_000, bu
 def blocked(docs: DataFrame, blocks: int, id: str = "doc_id", text: str = "text") -> DataFrame:
     """block, doc_id, text; equal rows share a block, and null ids are spread by their texts."""
     return docs.select(F.pmod(F.xxhash64(id, text), F.lit(blocks)).cast("int").alias("block"), F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+
+
+def row_key(id: str, text: str):
+    """64 bits of a row's id and text: rows of one id, or of none, that differ in text have different keys."""
+    return F.xxhash64(F.col(f"`{id}`"), F.col(f"`{text}`"))

@@ -215,14 +215,18 @@ def near_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """docs with one row of each component: the one whose id is the component's; blank texts all stay.
+    """docs with one row of each component: the one of least id, null last, then of least key; blank texts all stay.
 
-    Of rows that share that id, all stay; rows of null id stay only in components without another id.
+    Rows are told apart by id and text, so null ids and an id of several texts
+    are decided text by text; rows equal in both stay together.
     """
-    found = near_components(docs, id=id, text=text, n=n, percent=percent)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.col(f"`{id}`").cast("long").alias("_id"))
-    return rows.join(gone, F.col("_id").eqNullSafe(F.col("_gone")), "left_anti").select("_row.*")
+    key = exchange.row_key(id, text)
+    found = settle(near_components(docs.select(key.alias("doc_id"), F.col(f"`{text}`").alias("text")), n=n, percent=percent).where("n_shingles > 0").select(F.col("doc_id").alias("_key"), "component_id").distinct())
+    ids = docs.select(key.alias("_key"), F.col(f"`{id}`").cast("long").alias("_id")).distinct()
+    first = found.join(ids, "_key").groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_key")).alias("x"))
+    gone = found.select("_key").join(first.select(F.col("x._key").alias("_key")), "_key", "left_anti").select(F.col("_key").alias("_gone"))
+    rows = docs.select(F.struct("*").alias("_row"), key.alias("_key"))
+    return rows.join(gone, F.col("_key") == F.col("_gone"), "left_anti").select("_row.*")
 
 
 def op1_ngram_jaccard(spark, sf_dir):
