@@ -105,31 +105,46 @@ def combine(measures: DataFrame, columns: list[str] = MEASURES) -> DataFrame:
 
 
 def centrality(nodes: DataFrame, edges: DataFrame, *, iterations: int = 20, damping: float = 0.85, max_exact: int = 2000, seed: int = 7) -> DataFrame:
-    """id, the four measures and combined of every node.
+    """id, the four measures and combined of every node, exact at every size.
 
-    Over max_exact nodes, as all pairs do not fit, betweenness is estimated and
-    closeness taken from max_exact nodes drawn by a hash with the seed; the
-    others stay exact.
+    Sources are taken in blocks of about max_exact, dealt by a hash with the
+    seed, and what each block adds to closeness and betweenness is summed.
     """
     nodes, edges = settle(nodes.select("id").distinct()), settle(edges.select("src", "dst"))
     n = nodes.count()
-    drawn = None if n <= max_exact else nodes.orderBy(F.xxhash64(F.lit(seed), "id")).limit(max_exact)
-    paths = settle(shortest_paths(nodes, edges, drawn))
-    if drawn is None:
-        between = betweenness(nodes, paths)
-    else:
-        # both halves of a path must start at a drawn node, as must the whole
-        back = settle(shortest_paths(nodes, edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), drawn)).select(F.col("dst").alias("src"), F.col("src").alias("dst"), "d", "sigma")
-        pairs = paths.join(drawn.select(F.col("id").alias("dst")), "dst", "left_semi").select("src", "dst", "d", "sigma")
-        first = paths.select("src", F.col("dst").alias("id"), F.col("d").alias("d1"), F.col("sigma").alias("s1")).where("d1 > 0")
-        second = back.select(F.col("src").alias("id"), F.col("dst").alias("end"), F.col("d").alias("d2"), F.col("sigma").alias("s2")).where("d2 > 0")
-        on = first.join(second, "id").join(pairs.select("src", F.col("dst").alias("end"), "d", "sigma"), ["src", "end"]).where(F.col("d1") + F.col("d2") == F.col("d"))
-        got = on.groupBy("id").agg((F.sum(F.col("s1") * F.col("s2") / F.col("sigma")) * (n / max_exact) ** 2).alias("betweenness"))
-        between = nodes.join(got, "id", "left").select("id", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"))
-    out = degree(nodes, edges).join(pagerank(nodes, edges, iterations, damping), "id").join(between, "id").join(closeness(nodes, paths), "id")
+    blocks = max(1, -(-n // max_exact))
+    adjacent = settle(edges.where(F.col("src") != F.col("dst")).distinct())
+    total = None
+    for k in range(blocks):
+        paths = settle(shortest_paths(nodes, edges, nodes.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(blocks)) == k)))
+        near = paths.where("d > 0").groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("n"), F.sum("d").alias("d"), F.lit(0.0).alias("b"))
+        both = near.unionByName(passed(adjacent, paths).select("id", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("d"), "b"))
+        both = both if total is None else both.unionByName(total)
+        added = settle(both.groupBy("id").agg(F.sum("n").alias("n"), F.sum("d").alias("d"), F.sum("b").alias("b")))
+        for old in (paths, total):
+            if old is not None:
+                drop_settled(old)
+        total = added
+    far = nodes.join(total, "id", "left").select("id", F.coalesce("b", F.lit(0.0)).alias("betweenness"), F.coalesce(F.when(F.col("d") > 0, F.col("n") / F.col("d")), F.lit(0.0)).alias("closeness"))
+    out = degree(nodes, edges).join(pagerank(nodes, edges, iterations, damping), "id").join(far, "id")
     return combine(settle(out)).select("id", *MEASURES, "combined")
 
 
+def passed(adjacent: DataFrame, paths: DataFrame) -> DataFrame:
+    """id, b: over the sources in paths, the shares of their shortest paths that pass a node, from the farthest level back (Brandes)."""
+    deepest = paths.agg(F.max("d")).first()[0] or 0
+    later, out = None, paths.where("false").select(F.col("dst").alias("id"), F.lit(0.0).alias("b"))
+    for depth in range(deepest, 1, -1):
+        level = paths.where(F.col("d") == depth).select("src", "dst", "sigma")
+        level = level.withColumn("b", F.lit(0.0)) if later is None else level.join(later, ["src", "dst"], "left").withColumn("b", F.coalesce("b", F.lit(0.0)))
+        back = level.select(F.col("src").alias("s"), F.col("dst").alias("to"), ((1 + F.col("b")) / F.col("sigma")).alias("share")).join(adjacent.select(F.col("src").alias("at"), F.col("dst").alias("to")), "to")
+        before = paths.where(F.col("d") == depth - 1).select("src", "dst", "sigma")
+        met = before.join(back, (before["src"] == back["s"]) & (before["dst"] == back["at"]))
+        later = settle(met.groupBy("src", "dst").agg(F.sum(F.col("share") * F.col("sigma")).alias("b")))
+        out = out.unionByName(later.groupBy(F.col("dst").alias("id")).agg(F.sum("b").alias("b")))
+    return out
+
+
 def view_counts(views: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """view, nodes, relationships of projected views."""
     rows = None
