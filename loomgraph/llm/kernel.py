@@ -2,13 +2,17 @@
 
 Words are the runs of bytes outside ``[\\x20\\x09-\\x0D]`` (optionally after
 A-Z are lower-cased), which are the bytes ``bytes.split()`` splits at.  Words
-and shingles are identified by 64-bit hashes: two different ones agree with
-probability 2**-64, which the operators treat as never.
+and shingles are identified by 64-bit hashes.  A word's hash folds its bytes in
+eight at a time through a non-linear bijection (longer words than LONG are
+hashed by blake2b), so no pattern of letters makes words collide; two given
+ones agree with probability 2**-64.  Where a corpus has so many that some pair
+would agree by chance, callers take a second hash of another seed beside it.
 """
 
 from __future__ import annotations
 
 import ctypes
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -16,18 +20,15 @@ import zstandard
 
 U = np.uint64
 _rng = np.random.default_rng(20240229)
-_TABLE = _rng.integers(0, 2**63, 256, dtype=U) * U(2) + U(1)
-_LOWER = np.arange(256)
+_LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_TABLES = {False: _TABLE, True: _TABLE[_LOWER], "core": _TABLE[_LOWER]}
-_TABLES["core"][[b for b in range(33, 127) if not chr(b).isalnum()]] = 0
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _WORD = ~_BLANK
-_BASE = int(_rng.integers(0, 2**62)) * 4 + 1
-_BASE_INV = pow(_BASE, -1, 2**64)
-_GRAM = [U(int(x) * 2 + 1) for x in _rng.integers(0, 2**63, 64, dtype=U)]
-_powers = {}
+_SEEDS = _rng.integers(0, 2**63, 4, dtype=U)
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=U)
+#: Bytes up to which a word is hashed together with others.
+LONG = 256
 
 
 def tidy() -> None:
@@ -60,17 +61,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        have = np.full(max(n, 1 << 16), U(base))
-        have[0] = U(1)
-        have = np.cumprod(have, dtype=U)
-        if n <= 1 << 21:  # longer texts make their own
-            _powers[base] = have
-    return have[:n]
-
-
 def texts(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and int64 offsets of a string column; null is the empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -112,30 +102,52 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, np.flatnonzero(word & edge) + 1
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool | str, at=None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words in order, and where each row's words begin (rows + 1).
+def hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the byte ranges [start, end)."""
+    size = end - start
+    out = mix(size.astype(U) * U(0x9E3779B97F4A7C15) ^ _SEEDS[seed])
+    padded = np.append(data, np.zeros(8, np.uint8))
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+    left = None  # all, at first
+    for at in range(0, LONG, 8):
+        if at:
+            left = np.flatnonzero((size > at) & (size <= LONG)) if left is None else left[size[left] > at]
+            if not len(left):
+                break
+        own = slice(None) if left is None else left
+        out[own] = mix((out[own] ^ (eight[start[own] + at] & _KEEP[np.minimum(size[own] - at, 8)])) * U(0xD6E8FEB86659FD93))
+    for k in np.flatnonzero(size > LONG):
+        digest = hashlib.blake2b(data[start[k] : end[k]], digest_size=8, salt=bytes([seed])).digest()
+        out[k] = int.from_bytes(digest, "little")
+    return out
+
+
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words in order, and where each row's words begin (rows + 1)."""
+    start, end = spans(data, offsets)
+    return hashed(_LOWER[data] if lower else data, start, end, seed), np.searchsorted(start, offsets)
+
 
-    lower="core" also leaves out ASCII marks that follow a word's letters.
-    """
-    start, end = spans(data, offsets) if at is None else at
-    if not len(start):
-        return np.zeros(0, U), np.zeros(len(offsets), np.int64)
-    total = np.empty(len(data) + 1, U)
-    total[0] = 0
-    np.cumsum(_TABLES[lower][data] * _power(_BASE, len(data)), dtype=U, out=total[1:])
-    hashes = (total[end] - total[start]) * _power(_BASE_INV, len(data))[start]
-    hashes = mix(hashes if lower == "core" else hashes + (end - start).astype(U))
-    return hashes, np.searchsorted(start, offsets)
+def fold(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of what a and b stand for, one behind the other."""
+    return mix(a * U(0xD6E8FEB86659FD93) + b)
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of the n-word runs that begin at each word but the last n - 1."""
-    if len(hashes) < n:
+    """Hashes of the n-word runs that begin at each word but the last n - 1, folded from runs of 1, 2, 4 and so on."""
+    m = len(hashes) - n + 1
+    if m <= 0 or n <= 0:
         return np.zeros(0, U)
-    out = hashes[: len(hashes) - n + 1] * _GRAM[0]
-    for k in range(1, n):
-        out += hashes[k : len(hashes) - n + 1 + k] * _GRAM[k]
-    return mix(out)
+    out, covered, run, width = None, 0, hashes, 1
+    while True:
+        if n & width:
+            part = run[covered : covered + m]
+            out = part if out is None else fold(out, part)
+            covered += width
+        if covered == n:
+            return mix(out + U(n))
+        run = fold(run[:-width], run[width:])
+        width *= 2
 
 
 def shingles(hashes: np.ndarray, n: int) -> np.ndarray:

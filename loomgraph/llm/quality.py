@@ -1,20 +1,27 @@
 """Quality classifier by importance resampling.
 
 Two generative models over hashed n-grams are compared: the target's, from
-documents labelled good, and the raw one, from all documents.  An n-gram's
-count is the number of documents that hold it.  A document's log importance
-weight is the sum over its n-grams of the log ratio of the two models, where
+documents labelled good, and the raw one, from all documents.
+
+*Resampling* (`importance`, `draw`).  n-grams are single words and word pairs,
+counted as often as they occur.  A document's log importance weight is the sum
+over its n-grams of the log ratio of the two models, of either sign.  A sample of
+a given size is drawn without replacement by Gumbel top-k: the rows of largest
+weight / temperature + Gumbel noise, where the noise is a hash of the row.
+
+*Rejection* (`fit`, `resample`, `keep_good`).  A sum of both signs grows with
+the length of a text, and a long toxic document wins by its clean part (README
+has figures), so for rejecting documents an n-gram counts once a document,
 ratios that the counts do not bear out (within `dead` of 0) and ratios in its
 favour count as 0: a document is as good as the target until its n-grams say
 otherwise, whatever its length.  The ratios are smoothed for what is expected of
 frequent n-grams; a rarer one counts with a light prior if, by the exact test,
-the labelled documents that hold it are bad ones by less than chance `rare`.  n-grams are words (A-Z lower-cased, without closing marks), and pairs of word *shapes*
-(capitals, digits, marks, repetition), so noise shows even in new words.
-
-The sample is drawn without replacement by Gumbel top-k: the k documents of
-largest weight / temperature + Gumbel noise, where the noise is a hash of the
-row.  k is the number of documents whose weight reaches the cut that best
-tells good from bad among the labelled ones.
+the labelled documents that hold it are bad ones by less than chance `rare`.
+n-grams here are words (A-Z lower-cased, without marks around them), and pairs
+of word *shapes* (capitals, digits, marks, repetition), so noise shows even in
+new words.  These weights go through a Gumbel top-k too; k is the number of
+documents whose weight reaches the cut that best tells good from bad among the
+labelled ones.
 """
 
 from __future__ import annotations
@@ -24,10 +31,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.kernel import U, expand, mix, slices, spans, squeeze, texts, tidied, tidy, words
+from loomgraph.llm.kernel import U, expand, fold, hashed, mix, slices, spans, squeeze, texts, tidied, tidy
 from loomgraph.storage import settle
 
 #: Hashed n-grams are counted in so many cells.
@@ -39,7 +47,9 @@ CARE = 3.0
 PRIOR, DEAD, TEMPERATURE = 3.0, 1.0, 0.1
 #: The prior of n-grams too rare for PRIOR, and the chance below which they count.
 LIGHT, RARE = 0.5, 0.001
-_SLOTS = 64
+#: The prior of the two models of the resampling, in occurrences, and the share of all rows that op3 draws by it.
+ALPHA, SAMPLE = 1.0, 0.5
+_SLOTS, _FAN_IN = 64, 512
 _UPPER, _LOWERS, _DIGIT, _MARK = (np.zeros(256, np.uint8) for _ in range(4))
 _UPPER[65:91] = 1
 _LOWERS[97:123] = 1
@@ -47,15 +57,29 @@ _DIGIT[48:58] = 1
 _MARK[[b for b in range(33, 127) if not chr(b).isalnum()]] = 1
 
 
+_PLAIN = np.arange(256, dtype=np.uint8)
+_PLAIN[65:91] += 32
+
+
+def _cores(data: np.ndarray, offsets: np.ndarray):
+    """Where words start and end, the hashes of what is left of them without the marks around it, and each word's row."""
+    start, end = spans(data, offsets)
+    row = np.searchsorted(offsets, start, "right") - 1
+    if not len(start):
+        return start, end, np.zeros(0, U), row
+    place, mark = np.arange(len(data)), _MARK[data] > 0
+    first = np.minimum.accumulate(np.where(mark, len(data), place)[::-1])[::-1]
+    last = np.maximum.accumulate(np.where(mark, -1, place))
+    begin = np.minimum(first[start], end)
+    return start, end, hashed(_PLAIN[data], begin, np.maximum(last[end - 1] + 1, begin)), row
+
+
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and cell of every distinct n-gram of every row, sorted."""
-    at = spans(data, offsets)
-    hashes, bounds = words(data, offsets, "core", at)
+    """Row and cell of every distinct word and pair of shapes of every row, sorted."""
+    start, end, hashes, row = _cores(data, offsets)
     n = len(hashes)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    start, end = at
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
     count = lambda table: (total := np.append(0, np.cumsum(table[data], dtype=np.int64)))[end] - total[start]
     upper, lower, digit, mark = (count(t) for t in (_UPPER, _LOWERS, _DIGIT, _MARK))
     same = np.zeros(n, np.int64)
@@ -68,45 +92,80 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return both >> 21, both & (CELLS - 1)
 
 
+def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and cell of every word and every pair of neighbouring words, as often as they occur."""
+    *_, hashes, row = _cores(data, offsets)
+    inner = np.flatnonzero(row[1:] == row[:-1])
+    pairs = fold(hashes[inner], hashes[inner + 1])
+    return np.concatenate([row, row[inner]]), (np.concatenate([mix(hashes + U(1)), pairs]) % U(CELLS)).astype(np.int64)
+
+
 def _pieces(column):
     data, offsets = texts(column)
     for a, b in slices(offsets):
-        yield a, b, *features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
-def _count(batches):
-    """Document counts of cells, of all rows, the good and the bad ones."""
-    raw, good, bad = (np.zeros(CELLS, np.int32) for _ in range(3))  # of one partition
-    n_raw = n_good = n_bad = 0
-    for batch in batches:
-        is_good, is_bad = np.asarray(batch.column("good").fill_null(False)), ~np.asarray(batch.column("good").fill_null(True))
-        n_raw, n_good, n_bad = n_raw + len(is_good), n_good + int(is_good.sum()), n_bad + int(is_bad.sum())
-        for a, b, row, cell in _pieces(batch.column("text")):
-            np.add.at(raw, cell, 1)
-            np.add.at(good, cell[is_good[a:b][row]], 1)
-            np.add.at(bad, cell[is_bad[a:b][row]], 1)
-    if n_raw:
-        parts = np.array_split(np.arange(CELLS), _SLOTS)
-        yield pa.RecordBatch.from_pydict({"slot": list(range(_SLOTS)), "raw": [squeeze(raw[p]) for p in parts], "good": [squeeze(good[p]) for p in parts], "bad": [squeeze(bad[p]) for p in parts], "n_raw": [n_raw] + [0] * (_SLOTS - 1), "n_good": [n_good] + [0] * (_SLOTS - 1), "n_bad": [n_bad] + [0] * (_SLOTS - 1)}, schema=_COUNTS)
-    tidy()
+#: Counts by cell: of documents for rejection (all, good, bad), of occurrences for resampling (all, in good).
+_KINDS = ("raw", "good", "bad", "raw_times", "good_times")
+_SUMS = ("n_raw", "n_good", "n_bad")
+_COUNTS = pa.schema([("slot", pa.int32()), ("part", pa.int64()), *((c, pa.binary()) for c in _KINDS), *((c, pa.int64()) for c in _SUMS)])
+_COUNTS_SQL = "slot int, part long, " + ", ".join([*(f"{c} binary" for c in _KINDS), *(f"{c} long" for c in _SUMS)])
 
 
-_COUNTS = pa.schema([("slot", pa.int32()), ("raw", pa.binary()), ("good", pa.binary()), ("bad", pa.binary()), ("n_raw", pa.int64()), ("n_good", pa.int64()), ("n_bad", pa.int64())])
-_COUNTS_SQL = "slot int, raw binary, good binary, bad binary, n_raw long, n_good long, n_bad long"
+def _counter(times: bool):
+    """One partition's counts, cut into slots of cells; occurrences only if asked."""
+
+    def run(batches):
+        counts = {c: np.zeros(CELLS, np.int32) for c in _KINDS}
+        sums = dict.fromkeys(_SUMS, 0)
+        for batch in batches:
+            is_good, is_bad = np.asarray(batch.column("good").fill_null(False)), ~np.asarray(batch.column("good").fill_null(True))
+            for c, n in zip(_SUMS, (len(is_good), int(is_good.sum()), int(is_bad.sum()))):
+                sums[c] += n
+            for a, b, data, offsets in _pieces(batch.column("text")):
+                row, cell = features(data, offsets)
+                np.add.at(counts["raw"], cell, 1)
+                np.add.at(counts["good"], cell[is_good[a:b][row]], 1)
+                np.add.at(counts["bad"], cell[is_bad[a:b][row]], 1)
+                if times:
+                    row, cell = ngrams(data, offsets)
+                    np.add.at(counts["raw_times"], cell, 1)
+                    np.add.at(counts["good_times"], cell[is_good[a:b][row]], 1)
+        if sums["n_raw"]:
+            parts = np.array_split(np.arange(CELLS), _SLOTS)
+            own = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_pydict({"slot": list(range(_SLOTS)), "part": [own] * _SLOTS, **{c: [squeeze(counts[c][p].astype(np.int64)) for p in parts] for c in _KINDS}, **{c: [n] + [0] * (_SLOTS - 1) for c, n in sums.items()}}, schema=_COUNTS)
+        tidy()
+
+    return run
 
 
 @tidied
 def _total(table: pa.Table) -> pa.Table:
-    add = lambda c: squeeze(sum(expand(x, np.int32).astype(np.int64) for x in table[c].to_pylist()))
-    return pa.table({"slot": table["slot"][:1], "raw": [add("raw")], "good": [add("good")], "bad": [add("bad")], **{c: [sum(table[c].to_pylist())] for c in ("n_raw", "n_good", "n_bad")}}, schema=_COUNTS)
+    def add(c):
+        total = 0
+        for blob in table[c]:
+            total = total + expand(blob.as_py(), np.int64)
+        return squeeze(total)
+
+    return pa.table({"slot": table["slot"][:1], "part": table["part"][:1], **{c: [add(c)] for c in _KINDS}, **{c: [sum(table[c].to_pylist())] for c in _SUMS}}, schema=_COUNTS)
+
+
+def _totals(rows: DataFrame, times: bool) -> list:
+    """The counts of all partitions by slot, added up in two steps, so that no task sees more than a few hundred messages."""
+    parts = rows.mapInArrow(_counter(times), _COUNTS_SQL)
+    some = parts.groupBy("slot", F.floor(F.col("part") / _FAN_IN).alias("group")).applyInArrow(_total, _COUNTS_SQL)
+    return some.groupBy("slot").applyInArrow(_total, _COUNTS_SQL).orderBy("slot").collect()
 
 
 @dataclass(frozen=True)
 class Model:
-    """Log ratios by cell, and the cut."""
+    """By cell, the ratios that reject and the log ratios of the two models; the cut of the former."""
 
     ratios: np.ndarray
     cut: float
+    logs: np.ndarray
 
 
 def labelled(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", limit: int = LABELLED) -> DataFrame:
@@ -117,29 +176,38 @@ def labelled(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: st
     return left.join(F.broadcast(marks), left["doc_id"] == marks["_labelled"], "left").select("text", "good")
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", limit: int = LABELLED, prior: float = PRIOR, dead: float = DEAD) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", limit: int = LABELLED, prior: float = PRIOR, dead: float = DEAD, alpha: float = ALPHA, times: bool = False) -> Model:
     """Two passes over docs: the models, then the cut.  The driver gets CELLS counts and two short histograms.
 
-    Without good or without bad labelled documents nothing is cut.
+    Without good or without bad labelled documents nothing is cut.  The log
+    ratios of the resampling are 0 unless `times` asks for the occurrences.
     """
     rows = labelled(docs, labels, id=id, text=text, limit=limit)
-    totals = rows.mapInArrow(_count, _COUNTS_SQL).groupBy("slot").applyInArrow(_total, _COUNTS_SQL).orderBy("slot").collect()
+    totals = _totals(rows, times)
+    none = np.zeros(CELLS)
     if not totals:
-        return Model(np.zeros(CELLS), -np.inf)
-    raw, good, bad = (np.concatenate([expand(bytes(r[c]), np.int64) for r in totals]).astype(float) for c in ("raw", "good", "bad"))
-    n_raw, n_good, n_bad = (sum(r[c] for r in totals) for c in ("n_raw", "n_good", "n_bad"))
+        return Model(none, -np.inf, none)
+    raw, good, bad, raw_times, good_times = (np.concatenate([expand(bytes(r[c]), np.int64) for r in totals]).astype(float) for c in _KINDS)
+    n_raw, n_good, n_bad = (sum(r[c] for r in totals) for c in _SUMS)
+    if not n_good:
+        return Model(none, -np.inf, none)
+    logs = log_ratios(raw_times, good_times, alpha)
     ratios = np.log((good + prior) / (raw * (n_good / n_raw) + prior))
     ratios[ratios > -dead] = 0
-    if not n_good:
-        return Model(np.zeros(CELLS), -np.inf)
     light = np.log((good + LIGHT) / (raw * (n_good / n_raw) + LIGHT))
     seen = np.flatnonzero((ratios == 0) & (light <= -dead) & (bad > 0))
     kinds, kind_of = np.unique(np.stack([bad[seen], good[seen]]).astype(int), axis=1, return_inverse=True)
     rare = np.array([_chance(b, g, n_bad, n_good) < RARE for b, g in kinds.T.tolist()], bool)
     told = seen[rare[kind_of.ravel()]]
     ratios[told] = light[told]
-    bins = _weights(rows.where(F.col("good").isNotNull()), ratios, "text").groupBy("good", F.floor(F.col("weight") * 4).alias("bin")).count().collect()
-    return Model(ratios, _best_cut([(r["bin"] / 4, r["good"], r["count"]) for r in bins]))
+    bins = _weights(rows.where(F.col("good").isNotNull()), {"weight": (ratios, features)}, "text").groupBy("good", F.floor(F.col("weight") * 4).alias("bin")).count().collect()
+    return Model(ratios, _best_cut([(r["bin"] / 4, r["good"], r["count"]) for r in bins]), logs)
+
+
+def log_ratios(raw: np.ndarray, target: np.ndarray, alpha: float = ALPHA) -> np.ndarray:
+    """log(p_target / p_raw) by cell from counts of occurrences, where alpha occurrences are added to both, in proportion."""
+    share = target.sum() / raw.sum() if raw.sum() else 1.0
+    return np.log((target + alpha) / (raw * share + alpha))
 
 
 def _chance(b: int, g: int, n_bad: int, n_good: int) -> float:
@@ -158,29 +226,57 @@ def _best_cut(bins: list[tuple[float, bool, int]]) -> float:
     return min(sorted({w for w, _, _ in bins}), key=lambda c: (loss(c), c))
 
 
-def _weights(df: DataFrame, ratios: np.ndarray, text: str, extra: str = "weight") -> DataFrame:
-    cells = np.flatnonzero(ratios)
-    sent = df.sparkSession.sparkContext.broadcast((cells.astype(np.int32), ratios[cells].astype(np.float32)))  # CELLS at most
+def _weights(df: DataFrame, by: dict, text: str) -> DataFrame:
+    """df with a column for each of by, {name: (value of every cell, function to rows and cells)}: the sum over a row's cells."""
+    cells = {c: np.flatnonzero(values) for c, (values, _) in by.items()}
+    sent = df.sparkSession.sparkContext.broadcast({c: (at.astype(np.int32), by[c][0][at].astype(np.float32)) for c, at in cells.items()})  # CELLS each at most
+    kinds = {c: f for c, (_, f) in by.items()}
 
     def run(batches):
-        cell_of, value = sent.value
-        own = np.zeros(CELLS, np.float32)
-        own[cell_of] = value
+        own = {}
+        for c, (cell_of, value) in sent.value.items():
+            own[c] = np.zeros(CELLS, np.float32)
+            own[c][cell_of] = value
         for batch in batches:
-            weight = np.zeros(batch.num_rows)
-            for a, b, row, cell in _pieces(batch.column(text)):
-                weight[a:b] = np.bincount(row, own[cell], minlength=b - a)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weight)], names=[*batch.schema.names, extra])
+            out = {c: np.zeros(batch.num_rows) for c in kinds}
+            for a, b, data, offsets in _pieces(batch.column(text)):
+                for c, f in kinds.items():
+                    row, cell = f(data, offsets)
+                    out[c][a:b] = np.bincount(row, own[c][cell], minlength=b - a)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x) for x in out.values())], names=[*batch.schema.names, *out])
         tidy()
 
-    return df.mapInArrow(run, ", ".join([*(f"`{c}` {t}" for c, t in df.dtypes), f"{extra} double"]))
+    return df.mapInArrow(run, ", ".join([*(f"`{c}` {t}" for c, t in df.dtypes), *(f"{c} double" for c in by)]))
 
 
-def scored(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str = "text", temperature: float = TEMPERATURE, seed: int = 11) -> DataFrame:
-    """docs with `_weight` and `_key`, the key of the Gumbel top-k; rows equal in id and text have equal keys."""
-    weighed = _weights(docs, model.ratios, text, "_weight")
+def gumbel(id: str, text: str, seed: int = 11):
+    """Standard Gumbel noise, a hash of the row."""
     uniform = (F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{id}`"), F.col(f"`{text}`")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    return weighed.withColumn("_key", F.col("_weight") / temperature - F.log(-F.log(uniform)))
+    return -F.log(-F.log(uniform))
+
+
+def scored(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str = "text", temperature: float = TEMPERATURE) -> DataFrame:
+    """docs with `_weight` and `_key`, the key of the Gumbel top-k that rejects; rows equal in id and text have equal keys."""
+    weighed = _weights(docs, {"_weight": (model.ratios, features)}, text)
+    return weighed.withColumn("_key", F.col("_weight") / temperature + gumbel(id, text))
+
+
+def importance(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str = "text", temperature: float = 1.0) -> DataFrame:
+    """docs with `_importance`, the log importance weight, and `_draw`, the key of the resampling."""
+    weighed = _weights(docs, {"_importance": (model.logs, ngrams)}, text)
+    return weighed.withColumn("_draw", F.col("_importance") / temperature + gumbel(id, text, 23))
+
+
+def draw(docs: DataFrame, labels: DataFrame, size: int, *, id: str = "doc_id", text: str = "text", temperature: float = 1.0) -> DataFrame:
+    """The `size` rows of docs that importance resampling draws, with the columns of docs.
+
+    Rows of equal id and text are drawn together, so there can be more; all
+    rows where there are no more than size, or no good labelled one.
+    """
+    model = fit(docs, labels, id=id, text=text, times=True)
+    rows = docs.select(F.struct("*").alias("_row"), F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    keyed = settle(importance(rows, model, id="id", temperature=temperature).select("_row", "_draw"))
+    return keyed.where(F.col("_draw") >= kth_largest(keyed, "_draw", size)).select("_row.*")
 
 
 def kth_largest(df: DataFrame, column: str, k: int, exact: int = 20_000) -> float:
@@ -231,6 +327,11 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: s
 
 
 def op3_quality_resample(spark, sf_dir):
+    """doc_id; weight, key and kept of the rejection; importance, draw_key and drawn of a resample of SAMPLE of all rows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    _, keys, least = resample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return keys.withColumn("kept", F.col("key") >= least)
+    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), times=True)
+    both = _weights(docs, {"weight": (model.ratios, features), "importance": (model.logs, ngrams)}, "text")
+    keys = settle(both.select("doc_id", "weight", (F.col("weight") / TEMPERATURE + gumbel("doc_id", "text")).alias("key"), "importance", (F.col("importance") + gumbel("doc_id", "text", 23)).alias("draw_key")))
+    sizes = keys.agg(F.count_if(F.col("weight") >= model.cut).alias("good"), F.count("*").alias("all")).first()
+    least, drawn = kth_largest(keys, "key", sizes["good"]), kth_largest(keys, "draw_key", round(SAMPLE * sizes["all"]))
+    return keys.withColumn("kept", F.col("key") >= least).withColumn("drawn", F.col("draw_key") >= drawn)
