@@ -7,15 +7,22 @@ Shingles that no other class holds cannot be shared and are left out of the
 prefix, so most texts have an empty one and are done.
 
 Classes with equal prefix and size form a *group*, which its most central class
-leads (the one whose shingles are the most frequent).  Candidate pairs are of
-groups that meet under a prefix shingle and pass the size and position bounds.
-As links are wanted for components, pairs inside a component known by then are
-not needed.  First, each group's leader is verified on the whole sets against
-its best hub: of the leaders that are most central under one of its shingles,
-the one under most of them; and each class against its leader.  Then groups are
-expanded to their classes, and every pair of classes of different components
-that meets the bounds is verified, so no link between components is lost and a
-group of thousands of near copies does not become all its pairs.
+leads (the one whose shingles are the most frequent).  Everything that the
+prefix filter asks is asked of groups: a group stands for its classes in the
+postings, and the size and position bounds filter pairs of groups.
+
+1. *Stars.*  Each class is verified against its leader, and each leader against
+   the hub that it meets under most of its shingles.  This joins most near
+   copies into components at a cost linear in the classes.
+2. *Group pairs.*  Groups that meet under a prefix shingle and are not known to
+   be in one component are filtered by the bounds, expanded to their classes,
+   and the pairs of classes of different components verified on whole sets.
+   No link between components is lost.
+3. *Links inside components*, if their number is asked for: a component's
+   classes are cut into pieces of a bounded size, and every two pieces are
+   counted by a product of their membership matrices; only sums leave a task.
+   This is quadratic in a component's different texts, which any exact count of
+   its links is; copies of one text are one class.
 """
 
 from __future__ import annotations
@@ -28,7 +35,7 @@ from pyspark.sql import functions as F
 from loomgraph.graph.components import connected_components
 from loomgraph.llm import exchange
 from loomgraph.llm.kernel import U, cuts, expand, grams, mix, pack, slices, squeeze, texts, tidied, tidy, unpack, words
-from loomgraph.storage import drop_settled, settle
+from loomgraph.storage import settle
 
 WORDS = 5
 #: The similarity, in hundredths.
@@ -112,18 +119,11 @@ def _classes(table: pa.Table, replies: pa.Table, lay: exchange.Layout, n: int, p
     rows = np.argsort(row_set, kind="stable")
     docs = table["doc_id"].combine_chunks().take(pa.array(rows))
     docs = pa.ListArray.from_arrays(pa.array(np.searchsorted(row_set[rows], np.arange(len(sizes) + 1)), pa.int32()), docs)
-    # 48 bits a member are kept for verifying, of the sets that can be in a pair
-    raw = np.ascontiguousarray(members >> U(16)).view(np.uint8).reshape(-1, 8)[:, :6]
-    blobs = [raw[a:b].tobytes() if x < y else None for a, b, x, y in zip(bounds, bounds[1:], cut, cut[1:])]
+    # whole sets are kept for verifying, of the classes that can be in a pair
+    blobs = [members[a:b].tobytes() if x < y else None for a, b, x, y in zip(bounds, bounds[1:], cut, cut[1:])]
     return pa.table({"class": ids.view(np.int64), "n": sizes.astype(np.int32), "doc_ids": docs, "tokens": tokens, "places": places, "centre": centre.astype(np.float32), "members": pa.array(blobs, pa.binary())}, schema=_CLASS)
 
 
-def _unpacked(blob: bytes) -> np.ndarray:
-    wide = np.zeros((len(blob) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
-    return wide.view(U).ravel()
-
-
 def _verified(percent: int):
     """Keeps rows (a, b, set_a, set_b) whose sets are similar enough."""
 
@@ -133,8 +133,8 @@ def _verified(percent: int):
             last, right = None, None
             for x, y, p, q in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "set_a", "set_b"))):
                 if y != last:
-                    last, right = y, _unpacked(q)
-                left = _unpacked(p)
+                    last, right = y, np.frombuffer(q, U)
+                left = np.frombuffer(p, U)
                 at = np.searchsorted(right, left)
                 at[at == len(right)] = 0
                 shared = int((right[at] == left).sum())
@@ -160,58 +160,133 @@ def _may(n, place, other_n, other_place, percent):
     return F.least(n - place, other_n - other_place) >= need
 
 
-def near_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of docs.
+#: Bytes of members in a piece of a component, and columns multiplied at once, where links are counted.
+PIECE_BYTES, COLUMNS = 1 << 23, 4096
+#: Rows of a hot class or component are dealt to so many tasks.
+SALTS = 16
+_COUNTED = pa.schema([("class", pa.int64()), ("links", pa.int64())])
+
+
+@tidied
+def _count_links(table: pa.Table, percent: int) -> pa.Table:
+    """For each class of two pieces of a component, the documents that it links with in the other one (or in its own, if they are one)."""
+    piece, docs = np.asarray(table["piece"]), np.asarray(table["docs"])
+    sets = [np.frombuffer(x.as_buffer(), U) for x in table["members"]]
+    sizes = np.array([len(x) for x in sets])
+    members = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, column, count = np.unique(members, return_inverse=True, return_counts=True)
+    met = count[column] > 1  # what one class alone holds is not shared
+    owner, column = owner[met], column[met]
+    kept, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+    left, right, one = np.flatnonzero(piece == lo), np.flatnonzero(piece == hi), lo == hi
+    if not len(left) or not len(right):
+        return _COUNTED.empty_table()
+    shared = np.zeros((len(left), len(right)), np.float64)
+    for at in range(0, len(kept), COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        held = np.zeros((len(sets), min(COLUMNS, len(kept) - at)), np.float32)
+        held[owner[a:b], column[a:b] - at] = 1
+        shared += held[left] @ held[right].T
+    shared = np.rint(shared).astype(np.int64)
+    linked = 100 * shared >= percent * (sizes[left][:, None] + sizes[right][None, :] - shared)
+    if one:
+        np.fill_diagonal(linked, False)
+    ids, links = [np.asarray(table["class"])[left]], [linked @ docs[right]]
+    if not one:
+        ids.append(np.asarray(table["class"])[right])
+        links.append(linked.T @ docs[left])
+    return pa.table({"class": np.concatenate(ids), "links": np.concatenate(links)}, schema=_COUNTED)
+
+
+def count_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(class, links) of sets (class, component, docs, members): the documents of other classes of the component that a class links with."""
+    size = sets.groupBy("component").agg(F.ceil(F.sum(F.length("members")) / PIECE_BYTES).cast("int").alias("pieces"), F.count("*").alias("many")).where("many > 1").select("component", "pieces")
+    dealt = sets.join(size, "component").withColumn("piece", F.pmod(F.xxhash64("class"), F.col("pieces")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
+    dealt = dealt.select("component", "class", "docs", "members", "piece", other.alias("other"))
+    dealt = dealt.select("component", F.least("piece", "other").alias("lo"), F.greatest("piece", "other").alias("hi"), "class", "docs", "members", "piece")
+    counted = dealt.groupBy("component", "lo", "hi").applyInArrow(lambda t: _count_links(t, percent), "class long, links long")
+    return counted.groupBy("class").agg(F.sum("links").alias("links"))
+
+
+def _salted(df: DataFrame) -> DataFrame:
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def near_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT, links: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id of every row of docs, and n_links if `links`.
 
     A text's set holds its distinct shingles of n words (runs of bytes but
     blanks, A-Z lower-cased); a shorter text is one shingle.  Rows link if
     100 * intersection >= percent * union; component_id is the least doc_id
-    that links reach.  Null and blank texts have empty sets and are their own
-    component.  A null id takes part, but is no component_id unless its
-    component has no other id.  Repeated rows link like any equal texts.
+    that links reach.  Rows of equal sets have one class_id (64 bits of a hash
+    of the set), n_links counts the other rows that a row links with, those of
+    its class included.  Null and blank texts have empty sets and are their own
+    component, without links.  A null id takes part, but is no component_id
+    unless its component has no other id.  Repeated rows link like any equal
+    texts.
     """
     lay = exchange.layout(docs, text)
     blocks = exchange.blocked(docs, lay.blocks, id, text)
     replies = blocks.groupBy("block").applyInArrow(lambda t: _send(t, lay, n), _SENT_SQL).groupBy("bucket").applyInArrow(_frequencies, _REPLY_SQL)
     local = settle(blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(lambda a, b: _classes(a, b, lay, n, percent), _CLASS_SQL))
 
-    # one row a class, of those that can be in a pair
+    # one row a class, of those that can be in a pair, and one a group
     full = local.where(F.size("tokens") > 0)
     one = F.struct("n", F.xxhash64("n", "tokens").alias("group"), "tokens", "places", "centre", "members")
     classes = settle(full.groupBy("class").agg(F.first(one).alias("x")).select("class", "x.*"))
-    heads = classes.groupBy("group").agg(F.max_by(F.struct("class", "n", "centre"), F.struct("centre", "class")).alias("h")).select("group", F.col("h.class").alias("head"))
-    grouped = classes.select("class", "group").join(heads, "group")
-    in_group = grouped.where(F.col("class") != F.col("head")).select(F.col("class").alias("a"), F.col("head").alias("b"))
-    led = classes.join(heads, "group").select("class", "n", "centre", (F.col("class") == F.col("head")).alias("is_head"), F.explode(F.arrays_zip("tokens", "places")).alias("t"))
-    posted = settle(led.select("class", "n", "centre", "is_head", F.col("t.tokens").alias("token"), F.col("t.places").alias("place")))
-
-    # each group against its best hub
-    lead = posted.where("is_head").drop("is_head")
-    hubs = lead.groupBy("token").agg(F.max(F.struct("centre", "class", "n", "place")).alias("hub"), F.count("*").alias("met")).where(F.col("met") > 1).select("token", "hub")
-    with_hub = lead.join(hubs, "token").where((F.col("class") != F.col("hub.class")) & _may(F.col("n"), F.col("place"), F.col("hub.n"), F.col("hub.place"), percent))
-    voted = with_hub.groupBy("class", F.col("hub.class").alias("b")).agg(F.count("*").alias("votes"), F.max("hub.centre").alias("centre"))
-    best = voted.groupBy("class").agg(F.max_by("b", F.struct("votes", "centre", "b")).alias("b")).select(F.col("class").alias("a"), "b")
+    groups = classes.groupBy("group").agg(F.max(F.struct("centre", "class")).alias("h"), F.first(F.struct("n", F.arrays_zip("tokens", "places").alias("prefix"))).alias("g"))
+    groups = settle(groups.select("group", F.col("h.class").alias("head"), F.col("h.centre").alias("centre"), "g.n", "g.prefix"))
+    posted = groups.select("group", "head", "centre", "n", F.explode("prefix").alias("t")).select("group", "head", "centre", "n", F.col("t.tokens").alias("token"), F.col("t.places").alias("place"))
+
+    # 1. stars
+    in_group = classes.select("class", "group").join(groups.select("group", "head"), "group").where(F.col("class") != F.col("head")).select(F.col("class").alias("a"), F.col("head").alias("b"))
+    hubs = posted.groupBy("token").agg(F.max(F.struct("centre", "head", "n", "place")).alias("hub"), F.count("*").alias("met")).where(F.col("met") > 1).select("token", "hub")
+    with_hub = posted.join(hubs, "token").where((F.col("head") != F.col("hub.head")) & _may(F.col("n"), F.col("place"), F.col("hub.n"), F.col("hub.place"), percent))
+    voted = with_hub.groupBy("head", F.col("hub.head").alias("b")).agg(F.count("*").alias("votes"), F.max("hub.centre").alias("centre"))
+    best = voted.groupBy("head").agg(F.max_by("b", F.struct("votes", "centre", "b")).alias("b")).select(F.col("head").alias("a"), "b")
     sets = classes.select("class", "members")
     stars = settle(verify(best.unionByName(in_group), sets, percent))
     known = connected_components(stars, "a", "b").select(F.col("node").alias("class"), "component")
 
-    # whatever else may link different components, now with every class of the groups
-    named = settle(posted.select("class", "n", "token", "place").join(known, "class", "left").withColumn("component", F.coalesce("component", "class")))
-    drop_settled(posted)
-    sizes = named.groupBy("token", "component").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("token").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("kinds")).where(F.col("kinds") > 1).select("token", "main")
+    # 2. pairs of groups; a group whose classes are in several components is its own kind, and meets itself too
+    member = settle(classes.select("class", "group").join(known, "class", "left").withColumn("component", F.coalesce("component", "class")))
+    kind = member.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).select("group", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("kind"), (F.col("lo") < F.col("hi")).alias("mixed"))
+    named = settle(posted.select("group", "n", "token", "place").join(kind, "group").withColumn("kind", F.coalesce("kind", F.xxhash64("group", F.lit("mixed")))))
+    counts = named.groupBy("token", "kind").agg(F.count("*").alias("c"))
+    main = counts.groupBy("token").agg(F.max_by("kind", F.struct("c", "kind")).alias("main"), F.count("*").alias("kinds")).where(F.col("kinds") > 1).select("token", "main")
     split = named.join(main, "token")
-    minor = split.where(F.col("component") != F.col("main")).select("token", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"), F.col("component").alias("component_a"))
-    other = split.select("token", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"), F.col("component").alias("component_b"), (F.col("component") == F.col("main")).alias("is_main"))
-    met = minor.join(other, "token").where((F.col("component_a") != F.col("component_b")) & (F.col("is_main") | (F.col("a") < F.col("b"))) & _may(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), percent))
-    rest = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = settle(stars.unionByName(verify(rest, sets, percent)))
-    whole = connected_components(links, "a", "b").select(F.col("node").alias("class"), "component")
-
-    found = local.join(whole, "class", "left").withColumn("component", F.coalesce("component", "class")).select("component", "n", "doc_ids")
-    least = found.where(F.col("n") > 0).groupBy("component").agg(F.min(F.array_min("doc_ids")).alias("least"))
-    out = found.join(least, "component", "left").select(F.explode("doc_ids").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "least")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    minor = split.where(F.col("kind") != F.col("main")).select("token", F.col("group").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"), F.col("kind").alias("kind_a"))
+    other = split.select("token", F.col("group").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"), F.col("kind").alias("kind_b"), (F.col("kind") == F.col("main")).alias("is_main"))
+    met = minor.join(other, "token").where((F.col("kind_a") != F.col("kind_b")) & (F.col("is_main") | (F.col("a") < F.col("b"))) & _may(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), percent))
+    itself = kind.where("mixed").select(F.col("group").alias("a"), F.col("group").alias("b"))
+    group_pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().unionByName(itself)
+    left = member.select(F.col("group").alias("a"), F.col("class").alias("class_a"), F.col("component").alias("component_a"))
+    right = member.select(F.col("group").alias("b"), F.col("class").alias("class_b"), F.col("component").alias("component_b"))
+    expanded = group_pairs.join(left, "a").join(right, "b").where((F.col("component_a") != F.col("component_b")) & ((F.col("a") != F.col("b")) | (F.col("class_a") < F.col("class_b"))))
+    verified = settle(verify(expanded.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")), sets, percent))
+    whole = connected_components(stars.unionByName(verified), "a", "b").select(F.col("node").alias("class"), "component")
+
+    # every class's least id and number of rows; components and classes may hold most rows, so joins by them are salted
+    facts = local.groupBy("class").agg(F.min(F.array_min("doc_ids")).alias("own"), F.sum(F.size("doc_ids")).alias("docs"))
+    linked = settle(whole.join(facts, "class"))
+    least = linked.groupBy("component").agg(F.min("own").alias("least"))
+    least = linked.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALTS)).cast("int")).join(_salted(least), ["component", "salt"]).select("class", "least")
+    facts = facts.join(least, "class", "left").withColumn("least", F.coalesce("least", "own"))
+    if links:
+        counted = count_links(linked.select("class", "component", "docs").join(sets, "class"), percent)
+        facts = facts.join(counted, "class", "left").withColumn("n_links", F.col("docs") - 1 + F.coalesce("links", F.lit(0)))
+    else:
+        facts = facts.withColumn("n_links", F.lit(0))
+    found = local.select("class", "n", "doc_ids", F.pmod(F.xxhash64("doc_ids"), F.lit(SALTS)).cast("int").alias("salt")).join(_salted(facts.select("class", "least", "n_links")), ["class", "salt"])
+    out = found.select(F.explode("doc_ids").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "least", F.col("class").alias("class_id"), "n_links")
+    blank = F.col("n_shingles") == 0
+    out = out.select("doc_id", "n_shingles", F.when(blank, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "class_id", F.when(blank, 0).otherwise(F.col("n_links")).cast("long").alias("n_links"))
+    return out if links else out.drop("n_links")
 
 
 def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -230,4 +305,4 @@ def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text", n: int
 
 
 def op1_ngram_jaccard(spark, sf_dir):
-    return near_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), links=True)
