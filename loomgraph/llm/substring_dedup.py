@@ -9,7 +9,9 @@ symbol carries the words that its making depended on; a window of `window`
 words *owns* the longest symbol (ties: by name) that depends on no word outside
 the window.  Equal windows own equal symbols, so only windows whose symbol
 occurs elsewhere can repeat: shared symbols reveal, and the windows that own
-them are then verified by their whole word sequence.  A window that owns no
+them are then verified by 128 bits of hash of their whole word sequence (two
+hashes of words and windows with seeds of their own, so that among 10^13
+windows the chance of any error is about 10^-13).  A window that owns no
 symbol (inside a long run, say) stands for itself in the same exchange.
 
 Both exchanges send a block's distinct keys to key ranges and get an aligned
@@ -123,12 +125,16 @@ def _pieces(data, offsets, order):
     """Consecutive runs of rows in that order, as (rows, hashes, bounds)."""
     sizes = np.append(0, np.cumsum(np.diff(offsets)[order]))
     for a, b in slices(sizes):
-        rows = order[a:b]
-        part = np.concatenate([data[offsets[r] : offsets[r + 1]] for r in rows]) if b > a else data[:0]
-        hashes, bounds = words(part, sizes[a : b + 1] - sizes[a], False)
+        hashes, bounds = words(*_text(data, offsets, order[a:b]), False)
         yield a, b, hashes, bounds
 
 
+def _text(data, offsets, rows):
+    """The bytes and offsets of some rows."""
+    part = np.concatenate([data[offsets[r] : offsets[r + 1]] for r in rows]) if len(rows) else data[:0]
+    return part, np.append(0, np.cumsum((offsets[1:] - offsets[:-1])[rows]))
+
+
 def _messages(block: int, keys: np.ndarray, lay: exchange.Layout, bits: int, more=()):
     """One row a bucket that the sorted keys reach; `more` are columns aligned with the keys."""
     at = cuts(keys, lay.buckets, bits)
@@ -192,50 +198,61 @@ def _flags(replies: pa.Table, count: int, at: np.ndarray) -> np.ndarray:
 
 
 def _windows(table: pa.Table, replies: pa.Table, lay, window, rounds):
-    """Windows that own a shared name: their keys, row in order, and start; in order of place."""
+    """Windows that own a shared name: their keys, second keys, row in order, and start; in order of place."""
     ids, known, tie, data, offsets, order = _block(table)
     pieces, names = [], []
     for a, b, hashes, bounds in _pieces(data, offsets, order):
         at, name, _ = owners(hashes, bounds, window, rounds, places=False)
         name >>= U(64 - lay.bits)
-        pieces.append((a, bounds, at, name, grams(hashes, window)[at] if len(at) else np.zeros(0, U)))
+        pieces.append((a, b, bounds, at, name, grams(hashes, window)[at] if len(at) else np.zeros(0, U)))
         names.append(np.unique(name))
     names = np.unique(np.concatenate(names)) if names else np.zeros(0, U)
     shared = names[_flags(replies, len(names), cuts(names, lay.buckets, lay.bits))]
-    keys, rows, starts = [], [], []
-    for a, bounds, at, name, key in pieces if len(shared) else ():
+    keys, seconds, rows, starts = [], [], [], []
+    for a, b, bounds, at, name, key in pieces if len(shared) else ():
         hit = shared[np.minimum(np.searchsorted(shared, name), len(shared) - 1)] == name
         at = at[hit]
+        if not len(at):
+            continue
+        seconds.append(grams(words(*_text(data, offsets, order[a:b]), False, 1)[0], window)[at])
         row = np.searchsorted(bounds, at, "right") - 1
         keys.append(key[hit])
         rows.append(row + a)
         starts.append(at - bounds[row])
     join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-    return ids, known, tie, data, offsets, order, join(keys, U), join(rows, np.int64), join(starts, np.int64)
+    return ids, known, tie, data, offsets, order, join(keys, U), join(seconds, U), join(rows, np.int64), join(starts, np.int64)
+
+
+def _distinct(keys: np.ndarray, seconds: np.ndarray):
+    """Where each distinct pair of keys, in their order, stands first."""
+    order = np.lexsort((seconds, keys))
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[order][1:] != keys[order][:-1]) | (seconds[order][1:] != seconds[order][:-1])
+    return order[new]
 
 
-_PLACES_SQL = "bucket int, block int, keys binary, c0 binary, c1 binary, c2 binary"
-_PLACES = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("c0", pa.binary()), ("c1", pa.binary()), ("c2", pa.binary())])
+_PLACES_SQL = "bucket int, block int, keys binary, c0 binary, c1 binary, c2 binary, c3 binary"
+_PLACES = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("c0", pa.binary()), ("c1", pa.binary()), ("c2", pa.binary()), ("c3", pa.binary())])
 
 
 @tidied
 def _send_places(table: pa.Table, replies: pa.Table, lay, window, rounds) -> pa.Table:
     if not table.num_rows:
         return _PLACES.empty_table()
-    ids, known, tie, *_, keys, rows, starts = _windows(table, replies, lay, window, rounds)
-    keys, first = np.unique(keys, return_index=True)
+    ids, known, tie, *_, keys, seconds, rows, starts = _windows(table, replies, lay, window, rounds)
+    first = _distinct(keys, seconds)
     rows, starts = rows[first], starts[first]
-    return pa.table(_messages(table["block"][0].as_py(), keys, lay, 64, [ids[rows], tie[rows], starts.astype(np.uint32)]), schema=_PLACES)
+    return pa.table(_messages(table["block"][0].as_py(), keys[first], lay, 64, [ids[rows], tie[rows], starts.astype(np.uint32), seconds[first]]), schema=_PLACES)
 
 
 @tidied
 def _first_places(table: pa.Table) -> pa.Table:
     parts = [unpack(x) for x in table["keys"].to_pylist()]
     keys = np.concatenate(parts)
-    ids, ties, starts = (np.concatenate([expand(x, kind) for x in table[c].to_pylist()]) for c, kind in (("c0", np.int64), ("c1", np.uint32), ("c2", np.uint32)))
-    order = np.lexsort((starts, ties, ids, keys))
+    ids, ties, starts, seconds = (np.concatenate([expand(x, kind) for x in table[c].to_pylist()]) for c, kind in (("c0", np.int64), ("c1", np.uint32), ("c2", np.uint32), ("c3", U)))
+    order = np.lexsort((starts, ties, ids, seconds, keys))
     lead = np.ones(len(keys), bool)
-    lead[1:] = keys[order][1:] != keys[order][:-1]
+    lead[1:] = (keys[order][1:] != keys[order][:-1]) | (seconds[order][1:] != seconds[order][:-1])
     flags = np.zeros(len(keys), bool)
     flags[order[lead]] = True
     return _answer(table["block"].to_pylist(), table["bucket"][0].as_py(), parts, flags)
@@ -250,9 +267,9 @@ def _cut(table: pa.Table, replies: pa.Table, lay, window, rounds, with_text) ->
     if not table.num_rows:
         return _KEPT.empty_table()
     shares, places = (replies.filter(pa.compute.equal(replies["phase"], k)) for k in (1, 2))
-    ids, known, tie, data, offsets, order, keys, rows, starts = _windows(table, shares, lay, window, rounds)
-    distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
-    stays = _flags(places, len(distinct), cuts(distinct, lay.buckets, 64))
+    ids, known, tie, data, offsets, order, keys, seconds, rows, starts = _windows(table, shares, lay, window, rounds)
+    first = _distinct(keys, seconds)
+    stays = _flags(places, len(first), cuts(keys[first], lay.buckets, 64))
     earliest = np.zeros(len(keys), bool)
     earliest[first] = stays
     rows, starts = rows[~earliest], starts[~earliest]
