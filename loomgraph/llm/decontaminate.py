@@ -4,21 +4,28 @@ Test items are partitioned by size (powers of two of their shingle count).  An
 item's MinHash sketch is its k smallest shingle hashes, where k is one more
 than the shingles that may be missing at the wanted containment: a document
 that holds enough of the item must hold one of those k, so the sketch loses no
-pair.  A document's shingles are looked up in the sketches of the partitions
-that it is long enough for, and a hit is verified by counting the item's
-shingles that the document holds.  DataFrame operations only.
+pair.
+
+1. *Search.*  Documents' shingles are looked up in the sketches, of the
+   partitions that the document is long enough for.  Each hit makes the pair of
+   document and item a candidate.
+2. *Verification.*  Only candidate documents are shingled again, and an item's
+   shingles that they hold are counted, for candidate pairs alone.
+
+DataFrame operations only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.llm.exchange import row_key
+from loomgraph.storage import settle
 
 WORDS = 5
 THRESHOLD = 0.75
-#: Item shingles up to which the index is broadcast (16 bytes each, and overhead); beyond it, the join is shuffled.
+#: Rows up to which item shingles, candidates and repeated ids are broadcast (some 16 bytes each, and overhead); beyond it, joins are shuffled.
 BROADCAST_SHINGLES = 500_000
 
 
@@ -32,6 +39,50 @@ def shingle_hashes(words, n: int = WORDS):
     return F.when(F.size(words) == 0, F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - n, F.lit(0))), one))
 
 
+def item_shingles(items: DataFrame, id: str, text: str, n: int, threshold: float) -> DataFrame:
+    """item_id, h, item_shingles, need (shingles that make a leak) and place (by hash) of the distinct shingles of each item."""
+    own = items.select(F.col(f"`{id}`").alias("item_id"), word_list(F.col(f"`{text}`")).alias("words"))
+    own = own.select("item_id", F.explode(shingle_hashes(F.col("words"), n)).alias("h")).distinct()
+    by_item = Window.partitionBy("item_id")
+    own = own.select("item_id", "h", F.count("*").over(by_item).alias("item_shingles"), F.row_number().over(by_item.orderBy("h")).alias("place"))
+    return own.withColumn("need", F.ceil(F.col("item_shingles") * threshold))
+
+
+def sketches(own: DataFrame, threshold: float) -> DataFrame:
+    """h, item_id and least (words that a document of the item's partition must have) of the k smallest shingles of each item."""
+    partition = F.floor(F.log2("item_shingles"))
+    return own.where(F.col("place") <= F.col("item_shingles") - F.col("need") + 1).select("h", "item_id", F.ceil(F.pow(F.lit(2), partition) * threshold).alias("least"))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_SHINGLES else df
+
+
+def search(docs: DataFrame, sketch: DataFrame, n: int = WORDS) -> DataFrame:
+    """The distinct candidate pairs (doc_id, item_id) of docs (doc_id, text)."""
+    words = docs.select("doc_id", word_list(F.col("text")).alias("words"))
+    size = F.size("words")
+    repeated = docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again"), F.lit(True).alias("repeats"))
+    if not (repeated := settle(repeated)).isEmpty():
+        # rows of one id are one document, whose length no row knows
+        words = words.join(_small(repeated), F.col("doc_id").eqNullSafe(F.col("again")), "left")
+        size = F.when(F.col("repeats"), F.lit(2**31 - 1)).otherwise(size)
+    held = words.select("doc_id", size.alias("n_words"), F.explode(shingle_hashes(F.col("words"), n)).alias("dh"))
+    return held.join(_small(sketch), (F.col("dh") == F.col("h")) & (F.col("n_words") >= F.col("least"))).select("doc_id", "item_id").distinct()
+
+
+def verify(docs: DataFrame, candidates: DataFrame, own: DataFrame, n: int = WORDS) -> DataFrame:
+    """doc_id, item_id, item_shingles and shared of the candidate pairs that share `need` shingles."""
+    pairs = candidates.select(F.col("doc_id").alias("c_doc"), F.col("item_id").alias("c_item"))
+    texts = docs.join(_small(pairs.select("c_doc").distinct()), F.col("doc_id").eqNullSafe(F.col("c_doc")), "left_semi")
+    held = texts.select("doc_id", F.explode(F.array_distinct(shingle_hashes(word_list(F.col("text")), n))).alias("dh"))
+    both = held.join(_small(own.select("h", "item_id", "item_shingles", "need")), F.col("dh") == F.col("h"))
+    met = both.join(_small(pairs), F.col("doc_id").eqNullSafe(F.col("c_doc")) & F.col("item_id").eqNullSafe(F.col("c_item")), "left_semi")
+    counted = met.groupBy("doc_id", "item_id", "item_shingles", "need").agg(F.count_distinct("h").alias("shared"))
+    return counted.where(F.col("shared") >= F.col("need"))
+
+
 def leaks(docs: DataFrame, items: DataFrame, *, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, item_shingles, shared, containment of each pair with shared >= threshold * item_shingles.
 
@@ -39,24 +90,11 @@ def leaks(docs: DataFrame, items: DataFrame, *, id: str = "doc_id", text: str =
     an empty or null one has none and is in no pair.  Rows of one id count as
     one document or item, null ids too.  Repeated rows add nothing.
     """
-    own = items.select(F.col(f"`{item_id}`").alias("item_id"), word_list(F.col(f"`{item_text}`")).alias("words"))
-    own = own.select("item_id", F.explode(shingle_hashes(F.col("words"), n)).alias("h")).distinct()
-    sizes = own.groupBy("item_id").agg(F.count("*").alias("item_shingles"))
-    own = own.join(sizes.withColumnRenamed("item_id", "i"), F.col("item_id").eqNullSafe(F.col("i"))).drop("i")
-    from pyspark.sql import Window
-
-    need = F.ceil(F.col("item_shingles") * threshold)
-    sketch = F.row_number().over(Window.partitionBy("item_id").orderBy("h")) <= F.col("item_shingles") - need + 1
-    partition = F.floor(F.log2("item_shingles"))
-    index = own.select("h", "item_id", "item_shingles", sketch.alias("in_sketch"), F.ceil(F.pow(F.lit(2), partition) * threshold).alias("least"))
-    if index.count() <= BROADCAST_SHINGLES:
-        index = F.broadcast(index)
-    words = docs.select(F.col(f"`{id}`").alias("doc_id"), word_list(F.col(f"`{text}`")).alias("words"))
-    held = words.select("doc_id", F.size("words").alias("n_words"), F.explode(shingle_hashes(F.col("words"), n)).alias("dh"))
-    hits = held.join(index, (F.col("dh") == F.col("h")) & (F.col("n_words") >= F.col("least")))
-    once = hits.groupBy("doc_id", "item_id", "item_shingles", "h").agg(F.max("in_sketch").alias("in_sketch"))
-    found = once.groupBy("doc_id", "item_id", "item_shingles").agg(F.count("*").alias("shared"), F.max("in_sketch").alias("candidate"))
-    return found.where(F.col("candidate") & (F.col("shared") >= F.ceil(F.col("item_shingles") * threshold))).select("doc_id", "item_id", "item_shingles", "shared", (F.col("shared") / F.col("item_shingles")).alias("containment"))
+    own = settle(item_shingles(items, item_id, item_text, n, threshold))
+    rows = docs.select(F.col(f"`{id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    candidates = settle(search(rows, sketches(own, threshold), n))
+    found = verify(rows, candidates, own, n)
+    return found.select("doc_id", "item_id", "item_shingles", "shared", (F.col("shared") / F.col("item_shingles")).alias("containment"))
 
 
 def remove_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
