@@ -9,7 +9,8 @@ labels a naive Bayes span classifier is trained on what a span looks like; it
 decides the spans that no base rule settles.  What the driver handles are
 counts, whose number the features bound.  DataFrame operations only: spans are
 found by splitting and extracting with one pattern, so a position is a sum of
-lengths.
+lengths.  Arrays of n spans are walked in about sqrt(n) pieces of sqrt(n), as
+each step of a fold copies what it appends to: n * sqrt(n) steps, not n * n.
 """
 
 from __future__ import annotations
@@ -52,17 +53,71 @@ CUES = {
     "secret": "token|secret|key|passw|pwd|auth|bearer|api|cred",
 }
 
-_SPAN = "array<struct<kind:string,start:int,end:int,hit:string,before:string,after:string,source:string>>"
+_ONE = "struct<kind:string,start:int,end:int,hit:string,before:string,after:string,source:string>"
+_SPAN = f"array<{_ONE}>"
+
+
+def let(value: Column, f) -> Column:
+    """f(value), where value is evaluated once however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def pieces(array: Column) -> Column:
+    """The array cut into about as many consecutive pieces as each has elements."""
+
+    def cut(a):
+        size = F.greatest(F.ceil(F.sqrt(F.size(a))).cast("int"), F.lit(1))
+        starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(a) / size).cast("int") - 1, F.lit(0)))
+        return let(size, lambda n: F.transform(starts, lambda k: F.slice(a, k * n + 1, n)))
+
+    return let(array, cut)
+
+
+def walk(array: Column, first: Column, kind: str, step) -> Column:
+    """What step(state, element) appends on its way through the array; it gives the next state and an array of `kind` to append."""
+    none = F.array().cast(f"array<{kind}>")
+
+    def inner(acc, x):
+        state, new = step(acc["state"], x)
+        return F.struct(state.alias("state"), F.concat(acc["own"], new).alias("own"))
+
+    # a fold copies its whole state at each step, so a piece is folded on its own and then added
+    def outer(acc, piece):
+        walked = F.aggregate(piece, F.struct(acc["state"].alias("state"), none.alias("own")), inner)
+        return let(walked, lambda w: F.struct(w["state"].alias("state"), F.array_append(acc["done"], w["own"]).alias("done")))
+
+    start = F.struct(first.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("done"))
+    return F.aggregate(pieces(array), start, outer, lambda acc: F.flatten(acc["done"]))
 
 
 def matches(text: Column, pattern: str, kind: str, source: str) -> Column:
     """The leftmost non-overlapping matches with positions in code points and what stands around them."""
-    gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    zipped = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit"), F.slice(gaps, F.lit(2), F.size(hits)).alias("next"))
-    start = lambda acc, x: acc["at"] + F.length(x["gap"])
-    one = lambda acc, x: F.struct(F.lit(kind).alias("kind"), start(acc, x).alias("start"), (start(acc, x) + F.length(x["hit"])).alias("end"), x["hit"].alias("hit"), F.right(x["gap"], F.lit(24)).alias("before"), F.left(x["next"], F.lit(1)).alias("after"), F.lit(source).alias("source"))
-    walked = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")), lambda acc, x: F.struct((start(acc, x) + F.length(x["hit"])).alias("at"), F.array_append(acc["out"], one(acc, x)).alias("out")), lambda acc: acc["out"])
-    return F.when(HINTS[source](text), walked).otherwise(F.array().cast(_SPAN))
+    found = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"))
+    zipped = lambda p: F.arrays_zip(F.slice(p["gaps"], F.lit(1), F.size(p["hits"])).alias("gap"), p["hits"].alias("hit"), F.slice(p["gaps"], F.lit(2), F.size(p["hits"])).alias("next"))
+
+    def step(at, x):
+        end = at + F.length(x["gap"]) + F.length(x["hit"])
+        return end, F.array(end)
+
+    def span(x):
+        return F.struct(F.lit(kind).alias("kind"), (x["end"] - F.length(x["hit"])).alias("start"), x["end"].alias("end"), x["hit"].alias("hit"), F.right(x["gap"], F.lit(24)).alias("before"), F.left(x["next"], F.lit(1)).alias("after"), F.lit(source).alias("source"))
+
+    def placed(rows):
+        return F.transform(F.arrays_zip(rows.alias("row"), walk(rows, F.lit(0), "int", step).alias("end")), lambda x: span({"gap": x["row"]["gap"], "hit": x["row"]["hit"], "next": x["row"]["next"], "end": x["end"]}))
+
+    return F.when(HINTS[source](text), let(let(found, zipped), placed)).otherwise(F.array().cast(_SPAN))
+
+
+def meets(s: Column, groups: Column) -> Column:
+    """Whether a span overlaps one of those that `grouped` cut into pieces."""
+    overlap = lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
+    return F.exists(groups, lambda g: overlap(g) & F.exists(g["spans"], overlap))
+
+
+def grouped(spans: Column) -> Column:
+    """Spans by place in pieces, each with the least start and the greatest end of its spans."""
+    slim = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    return F.transform(pieces(slim), lambda g: F.struct(F.array_min(F.transform(g, lambda s: s["start"])).alias("start"), F.array_max(F.transform(g, lambda s: s["end"])).alias("end"), g.alias("spans")))
 
 
 def _luhn(digits: Column) -> Column:
@@ -84,19 +139,19 @@ def passes(s: Column) -> Column:
 
 
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with `_base`, the spans of the base rules by kind and start, and `_other`, all that must be judged."""
-    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    found = docs
-    for source in PATTERNS:
-        found = found.withColumn(f"_{source}", matches(t, PATTERNS[source], "phone" if source == "local" else source, source))
-    for kind in BASE:
-        found = found.withColumn(f"_{kind}_ok", F.filter(f"_{kind}", passes))
+    """docs with `_base`, the spans of the base rules by kind and start, and `_other`, all that must be judged.
+
+    These replace columns of their names; all others stay, whatever their names.
+    """
+    # the rows go through as one struct, so that no column of theirs can clash
+    found = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("_text"))
+    found = found.select("_row", *[matches(F.col("_text"), PATTERNS[p], "phone" if p == "local" else p, p).alias(p) for p in PATTERNS])
     # a shorter run of digits is no card by any reading
     close = lambda s: ~passes(s) & ((s["source"] != "card") | F.length(F.regexp_replace(s["hit"], "[^0-9]", "")).between(12, 20))
-    other = F.concat(*[F.filter(f"_{k}", close) for k in BASE], F.col("_local"), F.col("_secret"))
-    base = F.concat(*[F.col(f"_{k}_ok") for k in BASE])
-    found = found.withColumn("_base", base).withColumn("_other", F.when(F.size(other) == 0, other).otherwise(F.filter(other, lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))))
-    return found.drop(*[f"_{s}" for s in PATTERNS], *[f"_{k}_ok" for k in BASE])
+    found = found.select("_row", F.concat(*[F.filter(k, passes) for k in BASE]).alias("base"), F.concat(*[F.filter(k, close) for k in BASE], "local", "secret").alias("other"))
+    other = F.when(F.size("other") == 0, F.col("other")).otherwise(let(grouped(F.col("base")), lambda groups: F.filter("other", lambda s: ~meets(s, groups))))
+    found = found.select("_row", F.col("base").alias("_base"), other.alias("_other"))
+    return found.select(*[F.col(f"_row.`{c}`") for c in docs.columns if c not in ("_base", "_other")], "_base", "_other")
 
 
 def votes(s: Column) -> list[Column]:
@@ -176,7 +231,7 @@ def train(found: DataFrame) -> dict[str, float]:
 
 
 def spans(found: DataFrame, weights: dict[str, float]) -> DataFrame:
-    """found with `spans`: the base spans, and other ones that the classifier accepts and that overlap none before them."""
+    """found with `spans`: the base spans, and other ones that the classifier accepts, but those that overlap one accepted before them, by start."""
     # a table of a bounded number of weights, as a literal
     table = F.create_map(*[F.lit(x) for kv in sorted(weights.items()) for x in kv]) if weights else F.create_map(F.lit(""), F.lit(0.0))
     weight = lambda key: F.coalesce(F.try_element_at(table, key), F.lit(0.0))
@@ -187,14 +242,18 @@ def spans(found: DataFrame, weights: dict[str, float]) -> DataFrame:
             score = score + weight(F.concat(s["kind"], F.lit("|"), look))
         return score > 0
 
-    overlap = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    added = F.when(F.size("_other") == 0, F.col("_other")).otherwise(
-        F.aggregate(F.filter("_other", accepted), F.array().cast(_SPAN), lambda acc, s: F.when(F.exists(acc, lambda a: overlap(a, s)), acc).otherwise(F.array_append(acc, s)))
-    )
-    both = F.concat("_base", added)
+    slim = "struct<order:int,start:int,end:int,kind:string>"
+
+    def step(end, s):
+        free = s["start"] >= end
+        return F.when(free, s["end"]).otherwise(end), F.when(free, F.array(F.struct(s["order"].alias("order"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).otherwise(F.array().cast(f"array<{slim}>"))
+
+    # by place, and at one place in the order of kinds
     place = F.create_map(*[x for k, kind in enumerate(KINDS) for x in (F.lit(kind), F.lit(k))])
-    slim = F.transform(both, lambda s: F.struct(place[s["kind"]].alias("order"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
-    return found.withColumn("spans", F.array_sort(slim))
+    by_place = F.array_sort(F.transform(F.filter("_other", accepted), lambda s: F.struct(s["start"].alias("start"), place[s["kind"]].alias("order"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    added = F.when(F.size("_other") == 0, F.array().cast(f"array<{slim}>")).otherwise(walk(by_place, F.lit(0), slim, step))
+    base = F.transform("_base", lambda s: F.struct(place[s["kind"]].alias("order"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    return found.withColumn("spans", F.array_sort(F.concat(base, added)))
 
 
 def joined(array: Column) -> Column:
@@ -206,6 +265,7 @@ def detect(docs: DataFrame, *, text: str = "text", weights: dict[str, float] | N
 
     The classifier is trained on all of docs unless weights are given.  Null
     text is empty.  Rows are judged one by one, so repeated ones get equal spans.
+    No other column is touched, whatever its name.
     """
     found = candidates(docs, text)
     if weights is None:
@@ -224,11 +284,21 @@ def redact(docs: DataFrame, *, text: str = "text", weights: dict[str, float] | N
     found = detect(docs.select(F.struct("*").alias("_row"), F.col(f"`{text}`").alias("_text")), text="_text", weights=weights)
     t = F.col("_text")
     ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    step = lambda acc, s: F.struct(
-        F.greatest(acc["at"], s["end"]).alias("at"),
-        F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(F.substring(t, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))).otherwise(acc["out"]).alias("out"),
-    )
-    clean = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(t, acc["at"] + 1, F.length(t))))
+
+    # what is copied before each stretch of spans, and the kind that replaces the stretch
+    record = "struct<from:int,to:int,kind:string>"
+
+    def step(at, s):
+        new = F.array(F.struct(at.alias("from"), s["start"].alias("to"), s["kind"].alias("kind")))
+        return F.greatest(at, s["end"]), F.when(s["start"] >= at, new).otherwise(F.array().cast(f"array<{record}>"))
+
+    def rewritten(piece):
+        # the piece's part of the text is cut out once, as finding a code point is a walk from the start
+        first, last = F.get(piece, F.lit(0))["from"], F.get(piece, F.size(piece) - 1)["to"]
+        return let(F.substring(t, first + 1, last - first), lambda part: F.array_join(F.transform(piece, lambda r: F.concat(F.substring(part, r["from"] - first + 1, r["to"] - r["from"]), F.lit("["), F.upper(r["kind"]), F.lit("]"))), ""))
+
+    end = F.array_max(F.transform("spans", lambda s: s["end"]))
+    clean = F.concat(F.array_join(F.transform(pieces(walk(ordered, F.lit(0), record, step)), rewritten), ""), F.substring(t, end + 1, F.length(t)))
     new = {text: F.when(t.isNull() | (F.size("spans") == 0), t).otherwise(clean)}
     if "n_chars" in docs.columns and text != "n_chars":
         new["n_chars"] = F.coalesce(F.length(new[text]).cast(dict(docs.dtypes)["n_chars"]), F.col("_row.n_chars"))
