@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from loomgraph.llm.kernel import tidied
 from loomgraph.storage import settle
 
-BLOCK = 2048
+BLOCK = 8192
 TREES = 24
 BITS = 32
 #: The share of neighbours that routing, and each block's candidates, are fitted to hold; and the vectors fitted on.
