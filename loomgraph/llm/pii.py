@@ -21,6 +21,8 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomgraph.functions.arrays import pieces, walk
+from loomgraph.functions.text import let
 from loomgraph.storage import settle
 
 KINDS = ["email", "ip", "card", "phone", "secret"]
@@ -57,39 +59,6 @@ _ONE = "struct<kind:string,start:int,end:int,hit:string,before:string,after:stri
 _SPAN = f"array<{_ONE}>"
 
 
-def let(value: Column, f) -> Column:
-    """f(value), where value is evaluated once however often f uses it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
-def pieces(array: Column) -> Column:
-    """The array cut into about as many consecutive pieces as each has elements."""
-
-    def cut(a):
-        size = F.greatest(F.ceil(F.sqrt(F.size(a))).cast("int"), F.lit(1))
-        starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(a) / size).cast("int") - 1, F.lit(0)))
-        return let(size, lambda n: F.transform(starts, lambda k: F.slice(a, k * n + 1, n)))
-
-    return let(array, cut)
-
-
-def walk(array: Column, first: Column, kind: str, step) -> Column:
-    """What step(state, element) appends on its way through the array; it gives the next state and an array of `kind` to append."""
-    none = F.array().cast(f"array<{kind}>")
-
-    def inner(acc, x):
-        state, new = step(acc["state"], x)
-        return F.struct(state.alias("state"), F.concat(acc["own"], new).alias("own"))
-
-    # a fold copies its whole state at each step, so a piece is folded on its own and then added
-    def outer(acc, piece):
-        walked = F.aggregate(piece, F.struct(acc["state"].alias("state"), none.alias("own")), inner)
-        return let(walked, lambda w: F.struct(w["state"].alias("state"), F.array_append(acc["done"], w["own"]).alias("done")))
-
-    start = F.struct(first.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("done"))
-    return F.aggregate(pieces(array), start, outer, lambda acc: F.flatten(acc["done"]))
-
-
 def matches(text: Column, pattern: str, kind: str, source: str) -> Column:
     """The leftmost non-overlapping matches with positions in code points and what stands around them."""
     found = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"))
