@@ -205,12 +205,29 @@ def test_masks_cover_the_participants_turns(spark):
     assert set(by) == {(1, p, who) for p in (0, None) for who in ("amy", "bob", "unknown")} | {(None, 0, "x"), (3, 0, "a"), (3, 1, "a")}
     r = by[1, 0, "amy"]
     assert r["rendered"].startswith("<|system|>\nbe kind<|end|>\n<|assistant|>\n😀 yo<|end|>\n<|user bob|>\nhi < |end|> é<|end|>\n")
-    cut = [r["rendered"][int(a) : int(b)] for a, b in (s.split(":") for s in r["mask"].split(","))]
+    assert r["start"] == len(by[1, None, "amy"]["rendered"]) > 0 and by[3, 1, "a"]["start"] == len(by[3, 0, "a"]["rendered"])
+    cut = [r["rendered"][int(a) - r["start"] : int(b) - r["start"]] for a, b in (s.split(":") for s in r["mask"].split(","))]
     assert cut == ["😀 yo<|end|>", "same<|end|>", "same<|end|>"] and r["n_target"] == 3 and r["n_turns"] == 6
     assert by[1, 0, "unknown"]["n_target"] == 1 and by[1, None, "bob"]["mask"] == ""
     assert chat.rotate(talk.where("false")).count() == 0
 
 
+def test_a_long_dialogue_is_one_dialogue_in_pieces(spark):
+    rows = [(7, k, ("system", "ann", "ben", "cy")[k % 4 if k else 0], f"turn {k} " + "é" * (k % 3)) for k in range(1000)]
+    talk = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    pieces = {(r["participant"], r["start"]): r for r in chat.rotate(talk).collect()}
+    assert len(pieces) == 12
+    for r in chat.whole(chat.rotate(talk)).collect():
+        who = r["participant"]
+        assert r["n_turns"] == 1000 and r["n_target"] == 250 and r["rendered"].count("<|system|>") == 250
+        assert r["rendered"] == "".join(p["rendered"] for _, p in sorted(((s, p) for (w, s), p in pieces.items() if w == who)))
+        cut = [r["rendered"][int(a) : int(b)] for a, b in (s.split(":") for s in r["mask"].split(","))]
+        assert cut == [f"{t}<|end|>" for _, _, w, t in rows if w == who]
+        # rendering it as one piece gives the same
+        one = chat.rotate(talk, part_turns=10**6).where(F.col("participant") == who).first()
+        assert (one["rendered"], one["mask"], one["start"]) == (r["rendered"], r["mask"], 0)
+
+
 # --- quality ---------------------------------------------------------------
 
 
