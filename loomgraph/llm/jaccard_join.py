@@ -205,11 +205,14 @@ def _count_links(table: pa.Table, percent: int) -> pa.Table:
 def count_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(class, links) of sets (class, component, docs, members): the documents of other classes of the component that a class links with."""
     size = sets.groupBy("component").agg(F.ceil(F.sum(F.length("members")) / PIECE_BYTES).cast("int").alias("pieces"), F.count("*").alias("many")).where("many > 1").select("component", "pieces")
-    dealt = sets.join(size, "component").withColumn("piece", F.pmod(F.xxhash64("class"), F.col("pieces")).cast("int"))
+    salted = sets.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALTS)).cast("int"))
+    dealt = salted.join(_salted(size), ["component", "salt"]).withColumn("piece", F.pmod(F.xxhash64("class"), F.col("pieces")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
     dealt = dealt.select("component", "class", "docs", "members", "piece", other.alias("other"))
-    dealt = dealt.select("component", F.least("piece", "other").alias("lo"), F.greatest("piece", "other").alias("hi"), "class", "docs", "members", "piece")
-    counted = dealt.groupBy("component", "lo", "hi").applyInArrow(lambda t: _count_links(t, percent), "class long, links long")
+    # one struct, so that the pairs of a component are dealt to all tasks
+    pair = F.struct("component", F.least("piece", "other").alias("lo"), F.greatest("piece", "other").alias("hi")).alias("pair")
+    dealt = dealt.select(pair, F.least("piece", "other").alias("lo"), F.greatest("piece", "other").alias("hi"), "class", "docs", "members", "piece")
+    counted = dealt.groupBy("pair").applyInArrow(lambda t: _count_links(t, percent), "class long, links long")
     return counted.groupBy("class").agg(F.sum("links").alias("links"))
 
 
