@@ -25,15 +25,17 @@ class Layout:
     bits: int
 
 
-def layout(docs: DataFrame, text: str = "text", block_chars: int = 4_000_000, bucket_words: int = 1_500_000) -> Layout:
-    """Sizes in proportion to the corpus: a block holds about block_chars, a bucket the keys of bucket_words.
+def key_bits(tokens: int) -> int:
+    """Bits of a hash that leave a chance of 2**-13 that a key equals another one by accident, at any size."""
+    return min(64, max(32, tokens.bit_length() + 13))
+
 
-    bits leave a chance of 2**-13 that a key equals another one by accident, at any size.
-    """
+def layout(docs: DataFrame, text: str = "text", block_chars: int = 4_000_000, bucket_words: int = 1_500_000) -> Layout:
+    """Sizes in proportion to the corpus: a block holds about block_chars, a bucket the keys of bucket_words."""
     chars = docs.agg(F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("c")).first()["c"]
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tokens = chars // 6 + 1
-    return Layout(max(partitions, chars // block_chars + 1), max(partitions, tokens // bucket_words + 1), min(64, max(32, tokens.bit_length() + 13)))
+    return Layout(max(partitions, chars // block_chars + 1), max(partitions, tokens // bucket_words + 1), key_bits(tokens))
 
 
 def blocked(docs: DataFrame, blocks: int, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,26 +1,37 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
-The model is a bigram model with absolute discounting, interpolated with
-add-half unigrams over the training vocabulary and one unknown word:
-
-    p(w | h) = max(c(h, w) - D, 0) / c(h) + D t(h) / c(h) * p(w)
-    p(w) = (c(w) + 1/2) / (N + (V + 1) / 2)
-
-with c(h) the tokens and t(h) the distinct ones that follow h in training
-texts; after an unseen h it is p(w).  It grows with the corpus, so no task ever
-holds it all: contexts are dealt to ranges of their hash, and each range builds
-its part of the trie in a memory-mapped file that it removes when done.
-
-A trie part has two levels.  Contexts and, per context, the successors' ids
-(shifted by the last id of the context before, which makes them monotone) are
-Elias-Fano coded; so are the pointers from contexts to their successors.
-Probabilities are quantised to 256 levels.  A lookup searches its context's
-range of the second level for the successor of (last value before the range +
-1 + id); lookups are sorted, so each coded chunk is opened once.
-
-Counts travel as one message from each block of documents to each range (see
-``exchange``), scores as one message back; n-grams that documents of a block
-share are sent once with the documents that hold them.
+The model is a trigram model with hierarchical Dirichlet smoothing over add-half
+unigrams of the training vocabulary and one unknown word:
+
+    p(w)      = (c(w) + 1/2) / (N + (V + 1) / 2)
+    p(w | v)  = (c(v w) + M p(w)) / (c(v) + M)
+    p(w | uv) = (c(u v w) + M p(w | v)) / (c(u v) + M)
+
+with counts in training texts; a text's first token follows a start mark, and
+has no longer context.  Each adds up to one over the words.  The model grows with
+the corpus, so no task ever holds it all.
+
+1. *Blocks.*  Texts are read once, where they lie, and kept as blocks of a
+   bounded size: the hashes of a block's distinct words and a code for each
+   token.  Everything else reads these.
+2. *Counts.*  A block sends each part of the model one message: its distinct
+   words and n-grams of that part with their counts in training texts.  A part is
+   a range of contexts by a range of successors, so the successors of a
+   frequent context lie in many parts.  Only messages with contents are sent, so
+   there are never more of them than n-grams.
+3. *Tries.*  Each part builds its trie in a memory-mapped file that goes with
+   the task: contexts, pointers from contexts to successors, and successors as
+   context-relative ids (shifted by the last id of the context before, which
+   makes them monotone) are Elias-Fano coded; values are frequencies (a
+   probability times N), exactly up to EXACT and quantised in steps of two
+   millionths beyond.  A lookup searches its context's range for the successor of
+   (last value before the range + 1 + id); lookups are sorted, so each coded
+   chunk is opened once.  The answers go back in the order of the questions.
+4. *Scores.*  A block forms the smoothed probabilities, whose context counts are
+   the frequencies one order below, and adds them up by text.
+
+Words and contexts are told apart by as many bits of a hash as leave a chance
+of 2**-13 that one is taken for another, at any size of the corpus.
 """
 
 from __future__ import annotations
@@ -30,16 +41,36 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from loomgraph.llm import exchange
-from loomgraph.llm.kernel import U, cuts, expand, pack, slices, squeeze, texts, tidied, unpack, words
-
-DISCOUNT = 0.75
+from loomgraph.llm.kernel import U, expand, fold, pack, slices, squeeze, texts, tidied, tidy, unpack, words
+from loomgraph.storage import settle
+
+#: The weight of the lower order's probability, in tokens.
+MASS = 3.0
+#: Bytes of text in a block, and tokens whose n-grams make a part.
+BLOCK_BYTES, PART_TOKENS = 4_000_000, 1_500_000
+#: Counts up to which the tries are exact.
+EXACT = 1 << 20
+_STEP = 2e-6
 _START, _END = U(0x243F6A8885A308D3), U(0x13198A2E03707344)
 _CHUNK = 1 << 14
 
 
+def quantised(count: np.ndarray) -> np.ndarray:
+    """Counts as codes of less than 25 bits."""
+    high = EXACT + np.round(np.log(np.maximum(count, 1) / EXACT) / _STEP)
+    return np.where(count < EXACT, count, high).astype(np.uint32)
+
+
+def frequencies(codes: np.ndarray) -> np.ndarray:
+    """What quantised counts stand for."""
+    return np.where(codes < EXACT, codes, EXACT * np.exp((np.maximum(codes, EXACT) - float(EXACT)) * _STEP))
+
+
 class EliasFano:
     """A monotone sequence: low bytes as they are, high parts as a unary bit vector, in chunks of a fixed number of values."""
 
@@ -99,44 +130,23 @@ class EliasFano:
         return place, equal
 
 
-class Quantised:
-    """Positive numbers as one byte each: the number of a level.
-
-    Levels are the mean logarithms of equally many values each; a value that
-    more than its share of them have is a level of its own.
-    """
-
-    def __init__(self, values: np.ndarray, put):
-        logs = np.log(values)
-        edges = np.unique(np.quantile(logs, np.linspace(0, 1, 129), method="lower")) if len(logs) else logs
-        # a cell holds the values at its lower edge, and another those between two edges
-        cell = 2 * np.searchsorted(edges, logs, "right") - 1 - (np.isin(logs, edges))
-        count = np.bincount(cell, minlength=257)[:257]
-        self.levels = np.bincount(cell, logs, minlength=257)[:257] / np.maximum(count, 1)
-        self.codes = put(cell.astype(np.uint16 if len(cell) and cell.max() > 255 else np.uint8))
-
-    def at(self, places: np.ndarray) -> np.ndarray:
-        return np.exp(self.levels[self.codes[places]])
-
-
 class Trie:
-    """One range's contexts and their successors, from sorted distinct (context, id) pairs with counts over 0."""
+    """One part's contexts, their successors and counts, from sorted distinct (context, successor) pairs with counts over 0."""
 
-    def __init__(self, context: np.ndarray, successor: np.ndarray, count: np.ndarray, discount: float = DISCOUNT):
+    def __init__(self, context: np.ndarray, successor: np.ndarray, count: np.ndarray):
         self.file = tempfile.TemporaryFile()
         new = np.ones(len(context), bool)
         new[1:] = context[1:] != context[:-1]
         first = np.flatnonzero(new)
+        known, ids = np.unique(successor, return_inverse=True)
         ends = np.append(first[1:], len(context)) if len(first) else first
-        total = np.add.reduceat(count, first).astype(float) if len(first) else np.zeros(0)
-        last = successor[ends - 1].astype(U) + U(1) if len(first) else np.zeros(0, U)
+        last = ids[ends - 1].astype(U) + U(1) if len(first) else np.zeros(0, U)
         base = np.cumsum(last) - last
-        group = np.cumsum(new) - 1
+        self.words = EliasFano(known, self._put)
         self.contexts = EliasFano(context[first], self._put)
         self.pointers = EliasFano(np.append(first, len(context)).astype(U), self._put)
-        self.successors = EliasFano(successor.astype(U) + base[group] if len(first) else np.zeros(0, U), self._put)
-        self.probability = Quantised((count - discount) / total[group] if len(first) else np.zeros(0), self._put)
-        self.backoff = Quantised(discount * (ends - first) / total, self._put)
+        self.successors = EliasFano(ids.astype(U) + base[np.cumsum(new) - 1] if len(first) else np.zeros(0, U), self._put)
+        self.counts = self._put(quantised(count))
 
     def _put(self, array: np.ndarray) -> np.ndarray:
         """The array again, mapped from the part's file."""
@@ -147,176 +157,224 @@ class Trie:
         self.file.flush()
         return np.memmap(self.file, array.dtype, "r", at, array.shape)
 
-    def lookup(self, context: np.ndarray, successor: np.ndarray, unigram: np.ndarray) -> np.ndarray:
-        """p(successor | context) of pairs sorted by context and id, whose unigram probabilities are given."""
+    def lookup(self, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
+        """The codes of pairs sorted by context and successor; 0 for unknown ones."""
+        codes = np.zeros(len(context), np.uint32)
+        asked, back = np.unique(successor, return_inverse=True)
+        id, is_word = self.words.successor(asked)
         node, known = self.contexts.successor(context)
-        p = unigram.copy()
+        known &= is_word[back]
         if known.any():
-            node = node[known]
+            node, id = node[known], id[back][known]
             begin = self.pointers.at(node).astype(np.int64)
             shift = np.zeros(len(begin), U)
             inner = begin > 0
             shift[inner] = self.successors.at(begin[inner] - 1) + U(1)
             end = self.pointers.at(node + 1).astype(np.int64)
             # an id past its context's last one is sought right behind it, so that lookups never go down
-            wanted = np.minimum(shift + successor[known].astype(U), self.successors.at(end - 1) + U(1))
-            place, equal = self.successors.successor(wanted)
+            place, equal = self.successors.successor(np.minimum(shift + id.astype(U), self.successors.at(end - 1) + U(1)))
             equal &= place < end
-            own = np.zeros(len(place))
-            own[equal] = self.probability.at(place[equal])
-            p[known] = own + self.backoff.at(node) * unigram[known]
-        return p
+            found = np.zeros(len(place), np.uint32)
+            found[equal] = self.counts[place[equal]]
+            codes[known] = found
+        return codes
 
     def close(self) -> None:
         self.file.close()
 
 
-def _tokens(table: pa.Table):
-    """The block's rows: ids, held-out flags, and for all of them word hashes with an end after each row, and bounds."""
-    ids = table["doc_id"].to_pylist()
-    held = np.array([i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i in ids], bool)
-    data, offsets = texts(table["text"])
-    parts, sizes = [], []
-    for a, b in slices(offsets):
-        hashes, bounds = words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], True)
-        parts.append(np.insert(hashes, bounds[1:], _END))
-        sizes.append(np.diff(bounds) + 1)
-    sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-    return ids, held, np.concatenate(parts) if parts else np.zeros(0, U), np.append(0, np.cumsum(sizes))
-
-
-def _vocabulary(table: pa.Table):
-    ids, held, tokens, bounds = _tokens(table)
-    train = np.repeat(~held, np.diff(bounds))
-    vocabulary, back = np.unique(tokens, return_inverse=True)
-    return ids, held, tokens, bounds, vocabulary, back, np.bincount(back[train], minlength=len(vocabulary))
-
-
-_WORDS = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("count", pa.binary())])
-_WORDS_SQL = "bucket int, block int, keys binary, count binary"
-_REPLY = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("count", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
-_REPLY_SQL = "block int, bucket int, count binary, n long, v long"
-_PAIRS = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("context", pa.binary()), ("successor", pa.binary()), ("unigram", pa.binary()), ("times", pa.binary()), ("docs", pa.binary()), ("held", pa.binary()), ("rows", pa.int32()), ("facts", pa.binary())])
-_PAIRS_SQL = "bucket int, block int, context binary, successor binary, unigram binary, times binary, docs binary, held binary, rows int, facts binary"
-_SUMS = pa.schema([("block", pa.int32()), ("sums", pa.binary()), ("facts", pa.binary())])
-_SUMS_SQL = "block int, sums binary, facts binary"
+_BLOCKS = pa.schema([("block", pa.int64()), ("tokens", pa.int64()), ("ids", pa.binary()), ("known", pa.binary()), ("held", pa.binary()), ("sizes", pa.binary()), ("vocabulary", pa.binary()), ("codes", pa.binary())])
+_BLOCKS_SQL = "block long, tokens long, ids binary, known binary, held binary, sizes binary, vocabulary binary, codes binary"
+_SENT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("words", pa.binary()), ("times", pa.binary()), ("contexts", pa.binary()), ("fan", pa.binary()), ("successors", pa.binary()), ("counts", pa.binary())])
+_SENT_SQL = "bucket long, block long, words binary, times binary, contexts binary, fan binary, successors binary, counts binary"
+_REPLY = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("times", pa.binary()), ("codes", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
+_REPLY_SQL = "block long, bucket long, times binary, codes binary, n long, v long"
 _SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 _SCORES_SQL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-@tidied
-def _send_words(table: pa.Table, buckets: int) -> pa.Table:
-    *_, vocabulary, _, count = _vocabulary(table)
-    at = cuts(vocabulary, buckets, 64)
-    # every bucket gets a message, as every block must learn all totals
-    return pa.table({"bucket": list(range(buckets)), "block": [table["block"][0].as_py()] * buckets, "keys": [pack(vocabulary[a:b]) for a, b in zip(at, at[1:])], "count": [squeeze(count[a:b]) for a, b in zip(at, at[1:])]}, schema=_WORDS)
-
-
-@tidied
-def _count_words(table: pa.Table) -> pa.Table:
-    parts = [unpack(x) for x in table["keys"].to_pylist()]
-    counts = np.concatenate([expand(x, np.int64) for x in table["count"].to_pylist()])
-    _, back = np.unique(np.concatenate(parts), return_inverse=True)
-    total = np.bincount(back, counts).astype(np.int64) if len(back) else np.zeros(0, np.int64)
-    each, ends = total[back], np.append(0, np.cumsum([len(p) for p in parts]))
-    m = len(parts)
-    return pa.table({"block": table["block"], "bucket": table["bucket"], "count": [squeeze(each[a:b]) for a, b in zip(ends, ends[1:])], "n": [int(total.sum())] * m, "v": [int((total > 0).sum())] * m}, schema=_REPLY)
-
+def _held_out(ids: list) -> np.ndarray:
+    return np.array([i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i in ids], bool)
+
+
+def _coded(batches, size: int):
+    """Blocks of (doc_id, text) rows: token codes over the block's own vocabulary."""
+    partition, made = TaskContext.get().partitionId(), 0
+    ids, tokens, sizes, held = [], [], [], 0
+
+    def block():
+        nonlocal made
+        vocabulary, codes = np.unique(np.concatenate(tokens), return_inverse=True)
+        row = {"block": partition << 32 | made, "tokens": len(codes), "ids": squeeze(np.array([i or 0 for i in ids], np.int64)), "known": np.packbits([i is not None for i in ids]).tobytes(), "held": np.packbits(_held_out(ids)).tobytes(), "sizes": squeeze(np.concatenate(sizes).astype(np.int64)), "vocabulary": pack(vocabulary), "codes": squeeze(codes.astype(np.uint32))}
+        made += 1
+        return pa.RecordBatch.from_pylist([row], schema=_BLOCKS)
+
+    for batch in batches:
+        own = batch.column("doc_id").to_pylist()
+        data, offsets = texts(batch.column("text"))
+        for a, b in slices(offsets):
+            hashes, bounds = words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], True)
+            tokens.append(np.insert(hashes, bounds[1:], _END))
+            sizes.append(np.diff(bounds) + 1)
+            ids += own[a:b]
+            held += int(offsets[b] - offsets[a])
+            if held >= size:
+                yield block()
+                ids, tokens, sizes, held = [], [], [], 0
+    if ids:
+        yield block()
+    tidy()
+
+
+def _runs(bucket: np.ndarray) -> dict[int, tuple[int, int]]:
+    """Where the rows of each bucket lie, of rows in the order of their buckets."""
+    own, at = np.unique(bucket, return_index=True)
+    ends = np.append(at[1:], len(bucket))
+    return {b: (x, y) for b, x, y in zip(own.tolist(), at.tolist(), ends.tolist())}
+
+
+class Block:
+    """A block's tokens and its distinct n-grams in the order in which parts are asked for them."""
+
+    def __init__(self, row: dict, parts: tuple[int, int], bits: int):
+        self.sizes = expand(row["sizes"], np.int64)
+        n = len(self.sizes)
+        self.held = np.unpackbits(np.frombuffer(row["held"], np.uint8))[:n].astype(bool)
+        self.vocabulary, self.codes = unpack(row["vocabulary"]), expand(row["codes"], np.uint32)
+        self.first = np.append(0, np.cumsum(self.sizes))[:-1]
+        self.train = np.repeat(~self.held, self.sizes)
+        self.words = _runs(((self.vocabulary >> U(32)) * U(parts[0] * parts[1])) >> U(32))
+        token = self.vocabulary[self.codes]
+        one = np.empty(len(token), U)
+        one[1:] = token[:-1]
+        one[self.first] = _START
+        inner = np.ones(len(token), bool)
+        inner[self.first] = False
+        self.inner = np.flatnonzero(inner)  # tokens that have two before them, the start mark included
+        two = fold(one[self.inner - 1], one[self.inner])
+        short = U(64 - bits)
+        context = np.concatenate([one, two]) >> short
+        successor = np.concatenate([token, token[self.inner]]) >> short
+        # what is asked of each part: sorted by part, context and successor
+        range_of = lambda keys, count: ((keys >> U(bits - 32)) * U(count)) >> U(32)
+        bucket = (range_of(context, parts[0]) * U(parts[1]) + range_of(successor, parts[1])).astype(np.int64)
+        order = np.lexsort((successor, context, bucket) if parts[1] > 1 else (successor, context))
+        bucket, context, successor = bucket[order], context[order], successor[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (context[1:] != context[:-1]) | (successor[1:] != successor[:-1])
+        self.number = np.empty(len(order), np.int64)
+        self.number[order] = np.cumsum(new) - 1
+        self.context, self.successor = context[new], successor[new]
+        self.count = np.bincount(self.number, np.concatenate([self.train, self.train[self.inner]]), minlength=int(new.sum())).astype(np.uint32)
+        self.ngrams = _runs(bucket[new])
+
+
+def _asking(parts: tuple[int, int], bits: int):
+    width = (bits + 7) // 8
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                block = Block(row, parts, bits)
+                times = np.bincount(block.codes[block.train], minlength=len(block.vocabulary))
+                out = {c: [] for c in _SENT.names}
+                for b in sorted(block.ngrams.keys() | block.words.keys()):
+                    lo, hi = block.ngrams.get(b, (0, 0))
+                    x, y = block.words.get(b, (0, 0))
+                    context = block.context[lo:hi]
+                    new = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if hi > lo else np.zeros(0, np.int64)
+                    raw = np.ascontiguousarray(block.successor[lo:hi].view(np.uint8).reshape(-1, 8)[:, :width])
+                    for c, v in zip(out, (b, row["block"], pack(block.vocabulary[x:y]), squeeze(times[x:y].astype(np.uint32)), pack(context[new]), squeeze(np.diff(np.append(new, hi - lo)).astype(np.uint32)), raw.tobytes(), squeeze(block.count[lo:hi]))):
+                        out[c].append(v)
+                yield pa.RecordBatch.from_pydict(out, schema=_SENT)
+        tidy()
+
+    return run
+
+
+def _answering(bits: int):
+    width = (bits + 7) // 8
+
+    def successors(blob):
+        wide = np.zeros((len(blob) // width, 8), np.uint8)
+        wide[:, :width] = np.frombuffer(blob, np.uint8).reshape(-1, width)
+        return wide.view(U).ravel()
+
+    @tidied
+    def run(table: pa.Table) -> pa.Table:
+        column = lambda c: (x.as_py() for x in table[c])
+        vocabularies = [unpack(x) for x in column("words")]
+        _, back = np.unique(np.concatenate(vocabularies), return_inverse=True)
+        total = np.bincount(back, np.concatenate([expand(x, np.uint32) for x in column("times")])).astype(np.int64) if len(back) else np.zeros(0, np.int64)
+        each, ends = total[back], np.append(0, np.cumsum([len(v) for v in vocabularies]))
+        times = [squeeze(each[a:b]) for a, b in zip(ends, ends[1:])]
+        contexts = [np.repeat(unpack(c), expand(f, np.uint32)) for c, f in zip(column("contexts"), column("fan"))]
+        cut = np.append(0, np.cumsum([len(c) for c in contexts]))
+        context, successor = np.concatenate(contexts), np.concatenate([successors(x) for x in column("successors")])
+        count = np.concatenate([expand(x, np.uint32) for x in column("counts")])
+        order = np.lexsort((successor, context))
+        context, successor = context[order], successor[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (context[1:] != context[:-1]) | (successor[1:] != successor[:-1])
+        first = np.flatnonzero(new)
+        summed = np.add.reduceat(count[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+        trie = Trie(context[first][summed > 0], successor[first][summed > 0], summed[summed > 0])
+        codes = np.empty(len(order), np.uint32)
+        codes[order] = trie.lookup(context[first], successor[first])[np.cumsum(new) - 1]
+        trie.close()
+        rest = [0] * (table.num_rows - 1)
+        return pa.table({"block": table["block"], "bucket": table["bucket"], "times": times, "codes": [squeeze(codes[a:b]) for a, b in zip(cut, cut[1:])], "n": [int(total.sum()), *rest], "v": [int((total > 0).sum()), *rest]}, schema=_REPLY)
 
-_UNIGRAM_STEP = 0.04  # of the logarithm to base 10, in which unigram probabilities travel as one byte
+    return run
 
 
 @tidied
-def _send_pairs(table: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
+def _scored(table: pa.Table, replies: pa.Table, parts: tuple[int, int], bits: int, n: int, v: int, mass: float) -> pa.Table:
     if not table.num_rows:
-        return _PAIRS.empty_table()
-    ids, held, tokens, bounds, vocabulary, back, _ = _vocabulary(table)
-    at, count = cuts(vocabulary, buckets, 64), np.zeros(len(vocabulary), np.int64)
-    for bucket, blob in zip(replies["bucket"].to_pylist(), replies["count"].to_pylist()):
-        count[at[bucket] : at[bucket + 1]] = expand(blob, np.int64)
-    n, v = sum(replies["n"].to_pylist()), sum(replies["v"].to_pylist())
-    logs = np.log10((count + 0.5) / (n + 0.5 * (v + 1)))
-    rows = np.arange(len(held))
-    row = np.repeat(rows, np.diff(bounds))
-    base, known = np.add.reduceat(logs[back], bounds[:-1]), np.add.reduceat((count > 0)[back].astype(np.int64), bounds[:-1])
-    facts = pa.table({"doc_id": pa.array(ids, pa.int64()), "held_out": held, "n_tokens": np.diff(bounds), "n_known": known, "train_tokens": np.full(len(held), n), "base_score": base, "score": np.zeros(len(held))}).cast(_SCORES)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, _SCORES) as writer:
-        writer.write_table(facts)
-    context = np.empty(len(tokens), U)
-    context[1:] = tokens[:-1]
-    context[bounds[:-1]] = _START
-    successor = (tokens >> U(32)).astype(np.uint32)
-    order = np.lexsort((row, successor, context))
-    context, successor, row, unigram = context[order], successor[order], row[order].astype(np.uint32), np.clip(np.round(-logs / _UNIGRAM_STEP), 0, 255).astype(np.uint8)[back[order]]
-    new = np.ones(len(context), bool)
-    new[1:] = (context[1:] != context[:-1]) | (successor[1:] != successor[:-1])
-    first = np.flatnonzero(new)
-    times = np.diff(np.append(first, len(context))).astype(np.uint32)
-    context, successor, unigram = context[first], successor[first], unigram[first]
-    at, place = cuts(context, buckets, 64), np.append(first, len(row))
-    flags, block = np.packbits(held).tobytes(), table["block"][0].as_py()
-    out = {c: [] for c in _PAIRS.names}
-    for b, (lo, hi) in enumerate(zip(at, at[1:])):
-        if lo < hi or b == 0:
-            for c, x in zip(out, (b, block, pack(context[lo:hi]), squeeze(successor[lo:hi]), squeeze(unigram[lo:hi]), squeeze(times[lo:hi]), squeeze(row[place[lo] : place[hi]]), flags, len(held), sink.getvalue().to_pybytes() if b == 0 else None)):
-                out[c].append(x)
-    return pa.table(out, schema=_PAIRS)
-
-
-@tidied
-def _score_pairs(table: pa.Table, discount: float) -> pa.Table:
-    get = lambda c, kind: [expand(x, kind) for x in table[c].to_pylist()]
-    contexts, successors, unigrams, times, docs = [unpack(x) for x in table["context"].to_pylist()], get("successor", np.uint32), get("unigram", np.uint8), get("times", np.uint32), get("docs", np.uint32)
-    trained = []
-    for blob, n, own, many in zip(table["held"].to_pylist(), table["rows"].to_pylist(), docs, times):
-        train = ~np.unpackbits(np.frombuffer(blob, np.uint8))[:n].astype(bool)
-        seen = np.append(0, np.cumsum(train[own]))
-        ends = np.cumsum(many.astype(np.int64))
-        trained.append(seen[ends] - seen[ends - many])
-    context, successor, count = np.concatenate(contexts), np.concatenate(successors), np.concatenate(trained)
-    order = np.lexsort((successor, context))
-    context, successor, unigram = context[order], successor[order], 10.0 ** (-_UNIGRAM_STEP * np.concatenate(unigrams)[order])
-    new = np.ones(len(context), bool)
-    new[1:] = (context[1:] != context[:-1]) | (successor[1:] != successor[:-1])
-    first = np.flatnonzero(new)
-    total = np.add.reduceat(count[order], first) if len(first) else np.zeros(0, np.int64)
-    seen = first[total > 0]
-    trie = Trie(context[seen], successor[seen], total[total > 0], discount)
-    p = trie.lookup(context[first], successor[first], unigram[first])
-    trie.close()
-    logs = np.empty(len(context))
-    logs[order] = np.log10(p)[np.cumsum(new) - 1] if len(first) else 0
-    sums, at = [], 0
-    for own, many, n in zip(docs, times, table["rows"].to_pylist()):
-        sums.append(squeeze(np.bincount(own, np.repeat(logs[at : at + len(many)], many), minlength=n).astype(np.float32)))
-        at += len(many)
-    return pa.table({"block": table["block"], "sums": sums, "facts": table["facts"]}, schema=_SUMS)
-
-
-@tidied
-def _add_up(table: pa.Table) -> pa.Table:
-    facts = next(x for x in table["facts"].to_pylist() if x is not None)
-    rows = pa.ipc.open_stream(facts).read_all()
-    score = sum(expand(x, np.float32).astype(float) for x in table["sums"].to_pylist())
-    return rows.set_column(rows.schema.get_field_index("score"), "score", pa.array(score, pa.float64())).cast(_SCORES)
-
-
-def score(docs: DataFrame, *, id: str = "doc_id", text: str = "text", discount: float = DISCOUNT) -> DataFrame:
+        return _SCORES.empty_table()
+    row = table.to_pylist()[0]
+    block = Block(row, parts, bits)
+    times, codes = np.zeros(len(block.vocabulary), np.int64), np.zeros(len(block.context), np.uint32)
+    for b, t, c in zip(replies["bucket"].to_pylist(), replies["times"].to_pylist(), replies["codes"].to_pylist()):
+        if b in block.words:
+            times[slice(*block.words[b])] = expand(t, np.int64)
+        if b in block.ngrams:
+            codes[slice(*block.ngrams[b])] = expand(c, np.uint32)
+    c1 = times[block.codes]
+    found = frequencies(codes)[block.number]
+    c2, c3 = found[: len(c1)], found[len(c1) :]
+    p = (c1 + 0.5) / (n + 0.5 * (v + 1))
+    base = np.add.reduceat(np.log10(p), block.first)
+    before = np.empty(len(c1))
+    before[1:] = c1[:-1]
+    before[block.first] = times[np.searchsorted(block.vocabulary, _END)]  # as many starts as ends
+    p = (c2 + mass * p) / (before + mass)
+    p[block.inner] = (c3 + mass * p[block.inner]) / (c2[block.inner - 1] + mass)
+    count = len(block.sizes)
+    known = np.unpackbits(np.frombuffer(row["known"], np.uint8))[:count].astype(bool)
+    ids = pa.array(expand(row["ids"], np.int64), mask=~known)
+    return pa.table({"doc_id": ids, "held_out": block.held, "n_tokens": block.sizes, "n_known": np.add.reduceat((c1 > 0).astype(np.int64), block.first), "train_tokens": np.full(count, n), "base_score": base, "score": np.add.reduceat(np.log10(p), block.first)}).cast(_SCORES)
+
+
+def score(docs: DataFrame, *, id: str = "doc_id", text: str = "text", mass: float = MASS, block_bytes: int = BLOCK_BYTES, part_tokens: int = PART_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     The model learns from the rows whose crc32(id as text) mod 5 is not 1, null
     ids among them.  Null or blank text is the end token alone.  Repeated rows
     count each.  Other columns are not read.  Without any training row c and N
-    are 0, and score is the base model's.
+    are 0, and score is the base model's.  Ids are whole numbers.
     """
-    lay = exchange.layout(docs, text, bucket_words=3_000_000)
-    blocks = exchange.blocked(docs, lay.blocks, id, text)
-    buckets = lay.buckets
-    counted = blocks.groupBy("block").applyInArrow(lambda t: _send_words(t, buckets), _WORDS_SQL).groupBy("bucket").applyInArrow(_count_words, _REPLY_SQL)
-    pairs = blocks.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(lambda a, b: _send_pairs(a, b, buckets), _PAIRS_SQL)
-    sums = pairs.groupBy("bucket").applyInArrow(lambda t: _score_pairs(t, discount), _SUMS_SQL)
-    return sums.groupBy("block").applyInArrow(_add_up, _SCORES_SQL)
+    rows = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    blocks = settle(rows.mapInArrow(lambda batches: _coded(batches, block_bytes), _BLOCKS_SQL))
+    tokens = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    bits = exchange.key_bits(tokens)
+    wanted = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), tokens // part_tokens + 1)
+    across = int(np.ceil(np.sqrt(wanted)))
+    parts = (-(-wanted // across), across)
+    sent = blocks.mapInArrow(_asking(parts, bits), _SENT_SQL)
+    replies = settle(sent.groupBy("bucket").applyInArrow(_answering(bits), _REPLY_SQL))
+    n, v = replies.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(lambda a, b: _scored(a, b, parts, bits, n, v, mass), _SCORES_SQL)
 
 
 def op5_ngram_score(spark, sf_dir):
