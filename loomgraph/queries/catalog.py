@@ -268,33 +268,19 @@ def meta_entity(t: Tables) -> DataFrame:
     return metadata.entity_metadata(entities, t.from_chunk(), chunks)
 
 
-def _relation_meta(t: Tables, edges: DataFrame) -> DataFrame:
+@query(with_views("v_edges v_from_chunk", """
+select e.rel_id, case when a.idx is null or b.idx < a.idx then b.r else a.r end.dc_title as dc_title, case when a.idx is null or b.idx < a.idx then b.r else a.r end.from_section as from_section
+from v_edges e left join first a on a.entity_id = e.src left join first b on b.entity_id = e.dst
+""", _META.strip() + """,
+first as (select f.entity_id, min(m.idx) as idx, arg_min({'dc_title': m.dc_title, 'from_section': m.from_section}, m.idx) as r from v_from_chunk f join m on m.chunk_id = f.chunk_id group by f.entity_id)
+"""))
+def meta_relation(t: Tables) -> DataFrame:
     none = F.lit(None).cast("string")
-    relations = edges.select("rel_id", "src", "dst", none.alias("dc_title"), none.alias("from_section"))
+    relations = t.edges().select("rel_id", "src", "dst", none.alias("dc_title"), none.alias("from_section"))
     chunks = metadata.chunk_metadata(_chunk_rows(t), _chunk_docs(t))
     return metadata.relation_metadata(relations, t.from_chunk(), chunks).select("rel_id", "dc_title", "from_section")
 
 
-@query(with_views("v_edges v_from_chunk", """
-select e.rel_id, b.r.dc_title as dc_title, b.r.from_section as from_section from v_edges e
-left join (select x.rel_id, arg_min({'dc_title': m.dc_title, 'from_section': m.from_section}, m.idx) as r
-  from (select rel_id, src as entity_id from v_edges union all select rel_id, dst from v_edges) x join v_from_chunk f on f.entity_id = x.entity_id join m on m.chunk_id = f.chunk_id group by x.rel_id) b on b.rel_id = e.rel_id
-where e.rel_type <> 'contains'
-""", _META))
-def meta_relation(t: Tables) -> DataFrame:
-    return _relation_meta(t, t.edges().where("rel_type <> 'contains'"))
-
-
-@query(with_views("v_edges v_from_chunk", """
-select e.rel_id, b.r.dc_title as dc_title, b.r.from_section as from_section from v_edges e
-left join (select x.rel_id, arg_min({'dc_title': m.dc_title, 'from_section': m.from_section}, m.idx) as r
-  from (select rel_id, src as entity_id from v_edges union all select rel_id, dst from v_edges) x join v_from_chunk f on f.entity_id = x.entity_id join m on m.chunk_id = f.chunk_id group by x.rel_id) b on b.rel_id = e.rel_id
-""", _META))
-def meta_relation_whole(t: Tables) -> DataFrame:
-    """meta_relation with the `contains` relations."""
-    return _relation_meta(t, t.edges())
-
-
 @query("""
 with w as (select doc_id, text, regexp_extract(text, '^([^ .]+)', 1) as a, regexp_extract(text, '([^ .]+)[ .]*$', 1) as b from documents),
 s as (select doc_id, text, list_filter(string_split(replace(text, '。', '.'), '.'), lambda x: contains(lower(x), lower(a)) and contains(lower(x), lower(b)))[1] as hit from w)
@@ -473,11 +459,6 @@ def pagerank_cyclic(t: Tables) -> DataFrame:
     return central.pagerank(*t.cyclic()).select("id", F.round(F.col("pagerank") + 1e-9, 6).alias("pagerank"))
 
 
-@query(_pagerank_sql("v_cycw_nodes", "v_cycw_edges", "v_cycw_nodes v_cycw_edges"))
-def pagerank_cyclic_whole(t: Tables) -> DataFrame:
-    return central.pagerank(*t.cyclic_whole()).select("id", F.round(F.col("pagerank") + 1e-9, 6).alias("pagerank"))
-
-
 _WALKS = """
 walk as (select id as src, id as dst, 0 as d, 1.0::double as sigma from {n}
   union all select w.src, e.dst, w.d + 1, sum(w.sigma) from walk w join {e} e on e.src = w.dst where w.d < {bound} group by w.src, e.dst, w.d),
@@ -500,28 +481,16 @@ def closeness(t: Tables) -> DataFrame:
     return central.closeness(nodes, central.shortest_paths(nodes, edges)).select("id", F.round("closeness", 6).alias("closeness"))
 
 
-@query(with_views("v_cyc_nodes v_cyc_edges", _CLOSE.format(n="v_cyc_nodes"), _walks("v_cyc_nodes", "v_cyc_edges", 24), recursive=True))
-def closeness_cyclic(t: Tables) -> DataFrame:
-    nodes, edges = t.cyclic()
-    return central.closeness(nodes, central.shortest_paths(nodes, edges)).select("id", F.round("closeness", 6).alias("closeness"))
-
-
-@query(with_views("v_cyc_nodes v_cyc_edges", _BETWEEN.format(n="v_cyc_nodes"), _walks("v_cyc_nodes", "v_cyc_edges", 24), recursive=True))
-def betweenness(t: Tables) -> DataFrame:
-    nodes, edges = t.cyclic()
-    return central.betweenness(nodes, settle(central.shortest_paths(nodes, edges))).select("id", F.round("betweenness", 6).alias("betweenness"))
-
-
 @query(with_views("v_geo_nodes v_geo_edges", _BETWEEN.format(n="v_geo_nodes"), _walks("v_geo_nodes", "v_geo_edges", 4), recursive=True))
-def betweenness_whole(t: Tables) -> DataFrame:
+def betweenness(t: Tables) -> DataFrame:
     """Of the whole supplier, nation and region view."""
     nodes, edges = t.geography()
     return central.betweenness(nodes, settle(central.shortest_paths(nodes, edges))).select("id", F.round("betweenness", 6).alias("betweenness"))
 
 
-@query(with_views("v_cycw_nodes v_cycw_edges", _CLOSE.format(n="v_cycw_nodes"), _walks("v_cycw_nodes", "v_cycw_edges", 8), recursive=True))
-def closeness_cyclic_whole(t: Tables) -> DataFrame:
-    nodes, edges = t.cyclic_whole()
+@query(with_views("v_cyc_nodes v_cyc_edges", _CLOSE.format(n="v_cyc_nodes"), _walks("v_cyc_nodes", "v_cyc_edges", 8), recursive=True))
+def closeness_cyclic(t: Tables) -> DataFrame:
+    nodes, edges = t.cyclic()
     return central.closeness(nodes, central.shortest_paths(nodes, edges)).select("id", F.round("closeness", 6).alias("closeness"))
 
 
@@ -566,8 +535,8 @@ def template_by_view(t: Tables) -> DataFrame:
 _RANKS = """
 allrank as (select n.id, count(e.src)::double as r from v_nodes n left join v_edges e on e.src = n.id group by n.id),
 cen as (select v.view, n.id as entity_id, a.r as rank, v.view_order from v_nodes n join v_views v on v.label = n.label join allrank a on a.id = n.id where v.view <> 'GEO' or n.label in ('nation', 'region')),
-br as (select x.view, e.entity_id, coalesce((select rank from cen c where c.entity_id = e.entity_id and c.view = x.view), e.first) as rank
-  from (select entity_id, arg_min(rank, view_order) as first from cen group by entity_id) e cross join (select distinct view from v_views) x)
+br as (select x.view, e.entity_id, coalesce(c.rank, e.first) as rank
+  from (select entity_id, arg_min(rank, view_order) as first from cen group by entity_id) e cross join (select distinct view from v_views) x left join cen c on c.entity_id = e.entity_id and c.view = x.view)
 """
 _ORDER = ["SALES", "SUPPLY", "GEO"]
 
@@ -599,15 +568,8 @@ def paths_low(t: Tables) -> DataFrame:
     return _low(t).drop("max_pagerank")
 
 
-@query(with_views("v_nodes v_edges v_views v_templates", "select l.mp_id, greatest(a.rank, b.rank) as max_pagerank from low l left join br a on a.view = l.view and a.entity_id = l.src left join br b on b.view = l.view and b.entity_id = l.dst where l.view <> 'SALES'", _LOW))
-def path_max_rank(t: Tables) -> DataFrame:
-    """Of the two views in which ranks fall back."""
-    return _low(t).where("view <> 'SALES'").select("mp_id", "max_pagerank")
-
-
 @query(with_views("v_nodes v_edges v_views v_templates", "select l.mp_id, greatest(a.rank, b.rank) as max_pagerank from low l left join br a on a.view = l.view and a.entity_id = l.src left join br b on b.view = l.view and b.entity_id = l.dst", _LOW))
-def path_max_rank_whole(t: Tables) -> DataFrame:
-    """path_max_rank of all three views."""
+def path_max_rank(t: Tables) -> DataFrame:
     return _low(t).select("mp_id", "max_pagerank")
 
 
@@ -630,19 +592,16 @@ def paths_mid(t: Tables) -> DataFrame:
 
 
 _LINK = """
-lnk as (select distinct m.anchor_id as mid_anchor, l.rel_id from (select distinct 'S' || l_suppkey as anchor_id, 'SUPPLY' as view from lineitem where l_suppkey < 20) m
+lnk as (select distinct m.anchor_id as mid_anchor, l.rel_id from (select distinct 'S' || l_suppkey as anchor_id, 'SUPPLY' as view from lineitem) m
   join v_from_chunk a on a.entity_id = m.anchor_id
   join v_from_chunk b on b.chunk_id = a.chunk_id
   join (select e.rel_id, unnest([e.src, e.dst]) as entity_id from v_edges e where e.rel_type = 'located_in' and e.src like 'S%') l on l.entity_id = b.entity_id)
 """
 
 
-_LINK_WHOLE = _LINK.replace(" where l_suppkey < 20", "")
-
-
-def _links(t: Tables, which: str = "l_suppkey < 20") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Some suppliers play the anchors; the low paths are the suppliers' nations."""
-    mid = t.lineitem.where(which).select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("anchor_id")).distinct().select(F.col("anchor_id").alias("mp_id"), F.lit("SUPPLY").alias("view"), "anchor_id")
+def _links(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All suppliers play the anchors; the low paths are the suppliers' nations."""
+    mid = t.lineitem.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("anchor_id")).distinct().select(F.col("anchor_id").alias("mp_id"), F.lit("SUPPLY").alias("view"), "anchor_id")
     low = t.edges().where("rel_type = 'located_in' and src like 'S%'").select(F.col("rel_id").alias("mp_id"), F.lit("SUPPLY").alias("view"), "src", "dst")
     return low, mid, paths.link_paths(mid, low, t.from_chunk())
 
@@ -652,22 +611,11 @@ def path_links(t: Tables) -> DataFrame:
     return _links(t)[2]
 
 
-@query(with_views("v_edges v_from_chunk", "select (select count(*) from v_edges where rel_type = 'located_in' and src like 'S%') as low_paths, (select count(distinct l_suppkey) from lineitem where l_suppkey < 20) as mid_paths, (select count(*) from lnk) as has_detail_path", _LINK))
+@query(with_views("v_edges v_from_chunk", "select (select count(*) from v_edges where rel_type = 'located_in' and src like 'S%') as low_paths, (select count(distinct l_suppkey) from lineitem) as mid_paths, (select count(*) from lnk) as has_detail_path", _LINK))
 def path_counts(t: Tables) -> DataFrame:
     return paths.path_counts(*_links(t))
 
 
-@query(with_views("v_edges v_from_chunk", "select mid_anchor as mid_id, rel_id as low_id from lnk", _LINK_WHOLE))
-def path_links_whole(t: Tables) -> DataFrame:
-    """path_links with every supplier as an anchor."""
-    return _links(t, "l_suppkey is not null")[2]
-
-
-@query(with_views("v_edges v_from_chunk", "select (select count(*) from v_edges where rel_type = 'located_in' and src like 'S%') as low_paths, (select count(distinct l_suppkey) from lineitem) as mid_paths, (select count(*) from lnk) as has_detail_path", _LINK_WHOLE))
-def path_counts_whole(t: Tables) -> DataFrame:
-    return paths.path_counts(*_links(t, "l_suppkey is not null"))
-
-
 @query("""
 with q as (select vec_id as query_id, embedding::double[] as q from embeddings where vec_id % 50 = 0),
 s as (select q.query_id, e.vec_id as id, list_cosine_similarity(e.embedding::double[], q.q) as s from q join embeddings e on e.vec_id <> q.query_id)

@@ -77,20 +77,14 @@ class Tables:
         return self.documents.select("doc_id", key).join(first, "k").where("src < doc_id").select("src", F.col("doc_id").alias("dst"))
 
     def geography(self) -> tuple[DataFrame, DataFrame]:
-        """The supplier, nation and region view as (id) and (src, dst)."""
+        """The view GEO as (id) and (src, dst)."""
         from loomgraph.graph.centrality import project
 
-        labels = self.spark.createDataFrame([("supplier",), ("nation",), ("region",)], "label string")
+        labels = self.spark.createDataFrame([(label,) for _, view, label in VIEW_LABELS if view == "GEO"], "label string")
         types = self.spark.createDataFrame([("located_in",), ("in_region",)], "rel_type string")
         return project(self.nodes(), self.edges(), labels, types)
 
     def cyclic(self) -> tuple[DataFrame, DataFrame]:
-        """A small graph with cycles: parts modulo 60 to suppliers modulo 60, of the first orders."""
-        few = self.lineitem.where("l_orderkey < 25")
-        edges = few.select((F.col("l_partkey") % 60).alias("src"), ((F.col("l_suppkey") * 7 + 3) % 60).alias("dst")).where("src <> dst").distinct()
-        return self.spark.range(60).select("id"), edges
-
-    def cyclic_whole(self) -> tuple[DataFrame, DataFrame]:
         """A graph with cycles of all lines: from the node of the part's key to that of the supplier's."""
         edges = self.lineitem.select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst")).where("src <> dst").distinct()
         return self.lineitem.select(F.explode(F.array("l_partkey", "l_suppkey")).alias("id")).distinct(), edges
@@ -109,12 +103,10 @@ SQL = {
     "v_templates(view, subject, relation, object)": f"values {_VALUES(TEMPLATES)}",
     "v_priors(section_role, roles)": "values " + ", ".join(f"('{k}', '{','.join(v)}')" for k, v in PRIORS.items()),
     "v_similar": "select a.doc_id as src, b.doc_id as dst from documents a join documents b on a.text = b.text and a.doc_id < b.doc_id",
-    "v_geo_nodes": "select id from v_nodes where label in ('supplier', 'nation', 'region')",
+    "v_geo_nodes": "select id from v_nodes where label in ('supplier', 'nation', 'region', 'customer')",
     "v_geo_edges": "select src, dst from v_edges where rel_type in ('located_in', 'in_region') and src in (select id from v_geo_nodes) and dst in (select id from v_geo_nodes)",
-    "v_cyc_edges": "select distinct l_partkey % 60 as src, (l_suppkey * 7 + 3) % 60 as dst from lineitem where l_orderkey < 25 and l_partkey % 60 <> (l_suppkey * 7 + 3) % 60",
-    "v_cyc_nodes": "select range as id from range(60)",
-    "v_cycw_edges": "select distinct l_partkey as src, l_suppkey as dst from lineitem where l_partkey <> l_suppkey",
-    "v_cycw_nodes": "select l_partkey as id from lineitem union select l_suppkey from lineitem",
+    "v_cyc_edges": "select distinct l_partkey as src, l_suppkey as dst from lineitem where l_partkey <> l_suppkey",
+    "v_cyc_nodes": "select l_partkey as id from lineitem union select l_suppkey from lineitem",
     "v_degree": "select n.id, count(e.src)::double as degree from v_geo_nodes n left join v_geo_edges e on e.src = n.id group by n.id",
 }
 _NEEDS = {"v_lines": ["v_md"], "v_edges": ["v_edges0"], "v_geo_nodes": ["v_nodes"], "v_geo_edges": ["v_edges", "v_geo_nodes"], "v_degree": ["v_geo_nodes", "v_geo_edges"]}
