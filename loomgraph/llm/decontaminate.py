@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomgraph.functions.text import let
 from loomgraph.llm.exchange import row_key
 from loomgraph.storage import settle
 
@@ -76,7 +77,7 @@ def verify(docs: DataFrame, candidates: DataFrame, own: DataFrame, n: int = WORD
     """doc_id, item_id, item_shingles and shared of the candidate pairs that share `need` shingles."""
     pairs = candidates.select(F.col("doc_id").alias("c_doc"), F.col("item_id").alias("c_item"))
     texts = docs.join(_small(pairs.select("c_doc").distinct()), F.col("doc_id").eqNullSafe(F.col("c_doc")), "left_semi")
-    held = texts.select("doc_id", F.explode(F.array_distinct(shingle_hashes(word_list(F.col("text")), n))).alias("dh"))
+    held = texts.select("doc_id", F.explode(F.array_distinct(let(word_list(F.col("text")), lambda words: shingle_hashes(words, n)))).alias("dh"))
     both = held.join(_small(own.select("h", "item_id", "item_shingles", "need")), F.col("dh") == F.col("h"))
     met = both.join(_small(pairs), F.col("doc_id").eqNullSafe(F.col("c_doc")) & F.col("item_id").eqNullSafe(F.col("c_item")), "left_semi")
     counted = met.groupBy("doc_id", "item_id", "item_shingles", "need").agg(F.count_distinct("h").alias("shared"))
