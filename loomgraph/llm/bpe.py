@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from loomgraph.llm.kernel import slices, texts, tidy
 
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
-#: Words that a worker remembers, in two generations: when the younger one has half of them, it
-#: becomes the older one, and words met again move to the new younger one.
-REMEMBERED = 400_000
+VOCABULARY = "byte_bpe_50k.json"
+#: Words that a worker remembers and their characters, in two generations: when the younger one has half of
+#: either, it becomes the older one, and words met again move to the new younger one.
+REMEMBERED, REMEMBERED_CHARACTERS = 400_000, 40_000_000
 #: Pairs of tokens whose test a worker remembers.
 TESTED = 250_000
 
@@ -68,6 +68,7 @@ class Merges:
         self.begun = {t[:k] for t in self.proposable for k in range(2, len(t) + 1)}
         self.words: dict[str, str] = {}
         self.older: dict[str, str] = {}
+        self.characters = 0
         self.tested: dict[int, bool] = {}
         self.merged = 0
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -185,8 +186,11 @@ class Merges:
         needed = {w for text in cut for found, special in text if not special for w in found}
         unknown = needed - self.words.keys()
         if unknown:
-            if len(self.words) + len(unknown) > REMEMBERED // 2:
-                self.older, self.words, unknown = self.words, {}, needed
+            more = sum(map(len, unknown))
+            if len(self.words) + len(unknown) > REMEMBERED // 2 or self.characters + more > REMEMBERED_CHARACTERS // 2:
+                self.older, self.words, unknown, self.characters = self.words, {}, needed, 0
+                more = sum(map(len, needed))
+            self.characters += more
             again = unknown & self.older.keys()
             self.words.update((w, self.older[w]) for w in again)
             self.learn(unknown - again)
@@ -218,14 +222,21 @@ def _small(batch: pa.RecordBatch, column: str):
         yield piece, [t or "" for t in piece.column(column).to_pylist()]
 
 
-def encode(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABULARY, ids: bool = True, digests: bool = False) -> DataFrame:
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    """Where a public tokenizer's file lies on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def encode(docs: DataFrame, *, text: str = "text", vocabulary: str | None = None, ids: bool = True, digests: bool = False) -> DataFrame:
     """All columns of docs, with n_tokens (long) and, as asked for, ids (array of int) or ids_sha256 and decoded_sha256.
 
-    The vocabulary, a file of fixed size, is read by the driver and sent to the
-    executors.  Special tokens written out in a text become their ids.  Null
+    The vocabulary, the path of a file of fixed size (byte_bpe_50k.json where none
+    is given), is read by the driver and sent to the executors.  Special tokens written out in a text become their ids.  Null
     text is empty: no ids.  New columns replace old ones of the same name.
     """
-    with open(vocabulary, "rb") as f:
+    with open(vocabulary or vocabulary_path(), "rb") as f:
         blob = docs.sparkSession.sparkContext.broadcast(f.read())
     new = {"n_tokens": pa.int64(), **({"ids": pa.list_(pa.int32())} if ids else {}), **({"ids_sha256": pa.string(), "decoded_sha256": pa.string()} if digests else {})}
     sql = {"n_tokens": "long", "ids": "array<int>", "ids_sha256": "string", "decoded_sha256": "string"}

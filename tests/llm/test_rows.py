@@ -138,7 +138,7 @@ def test_redaction(spark):
 def library():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(bpe.VOCABULARY)
+    t = Tokenizer.from_file(bpe.vocabulary_path())
     t.no_truncation()
     t.no_padding()
     return t
@@ -171,7 +171,7 @@ def test_op7_equals_the_library(spark, library):
 
 def test_bpe_forgets_and_goes_on(monkeypatch, library):
     monkeypatch.setattr(bpe, "REMEMBERED", 50)
-    with open(bpe.VOCABULARY, "rb") as f:
+    with open(bpe.vocabulary_path(), "rb") as f:
         merges = bpe.Merges(f.read())
     texts = [t or "" for t in odd_texts()]
     for k in range(0, len(texts), 40):
@@ -181,7 +181,7 @@ def test_bpe_forgets_and_goes_on(monkeypatch, library):
 def test_pair_checks_equal_exact_merging():
     import numpy as np
 
-    with open(bpe.VOCABULARY, "rb") as f:
+    with open(bpe.vocabulary_path(), "rb") as f:
         merges = bpe.Merges(f.read())
     rng = np.random.default_rng(0)
     x, y = rng.integers(0, 50256, 4000), rng.integers(0, 2000, 4000)
