@@ -30,8 +30,11 @@ the corpus, so no task ever holds it all.
 4. *Scores.*  A block forms the smoothed probabilities, whose context counts are
    the frequencies one order below, and adds them up by text.
 
-Words and contexts are told apart by as many bits of a hash as leave a chance
-of 2**-13 that one is taken for another, at any size of the corpus.
+An n-gram is told apart by some bits of its context's hash and some of a hash of
+its last word in that context, as many in all as leave a chance of 2**-13 that
+one is taken for another, at any size of the corpus.  Contexts that agree in
+their bits share a range of successors, which no probability depends on:
+context counts are asked for as n-grams of their own.
 """
 
 from __future__ import annotations
@@ -52,7 +55,7 @@ from loomgraph.storage import settle
 #: The weight of the lower order's probability, in tokens.
 MASS = 3.0
 #: Bytes of text in a block, and tokens whose n-grams make a part.
-BLOCK_BYTES, PART_TOKENS = 4_000_000, 1_500_000
+BLOCK_BYTES, PART_TOKENS = 8_000_000, 1_500_000
 #: Counts up to which the tries are exact.
 EXACT = 1 << 20
 _STEP = 2e-6
@@ -183,16 +186,21 @@ class Trie:
         self.file.close()
 
 
-_BLOCKS = pa.schema([("block", pa.int64()), ("tokens", pa.int64()), ("ids", pa.binary()), ("known", pa.binary()), ("held", pa.binary()), ("sizes", pa.binary()), ("vocabulary", pa.binary()), ("codes", pa.binary())])
-_BLOCKS_SQL = "block long, tokens long, ids binary, known binary, held binary, sizes binary, vocabulary binary, codes binary"
-_SENT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("words", pa.binary()), ("times", pa.binary()), ("contexts", pa.binary()), ("fan", pa.binary()), ("successors", pa.binary()), ("counts", pa.binary())])
-_SENT_SQL = "bucket long, block long, words binary, times binary, contexts binary, fan binary, successors binary, counts binary"
+_BLOCKS = pa.schema([("block", pa.int64()), ("tokens", pa.int64()), ("ids", pa.binary()), ("known", pa.binary()), ("held", pa.binary()), ("sizes", pa.binary()), ("vocabulary", pa.binary()), ("times", pa.binary()), ("codes", pa.binary())])
+_BLOCKS_SQL = "block long, tokens long, ids binary, known binary, held binary, sizes binary, vocabulary binary, times binary, codes binary"
+_SENT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("words", pa.binary()), ("times", pa.binary()), ("ngrams", pa.binary()), ("counts", pa.binary())])
+_SENT_SQL = "bucket long, block long, words binary, times binary, ngrams binary, counts binary"
 _REPLY = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("times", pa.binary()), ("codes", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
 _REPLY_SQL = "block long, bucket long, times binary, codes binary, n long, v long"
 _SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 _SCORES_SQL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
+def _by_count(times: np.ndarray) -> np.ndarray:
+    """The words in the order of their codes."""
+    return np.argsort(-times.astype(np.int64), kind="stable")
+
+
 def _held_out(ids: list) -> np.ndarray:
     return np.array([i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i in ids], bool)
 
@@ -204,8 +212,9 @@ def _coded(batches, size: int):
 
     def block():
         nonlocal made
-        vocabulary, codes = np.unique(np.concatenate(tokens), return_inverse=True)
-        row = {"block": partition << 32 | made, "tokens": len(codes), "ids": squeeze(np.array([i or 0 for i in ids], np.int64)), "known": np.packbits([i is not None for i in ids]).tobytes(), "held": np.packbits(_held_out(ids)).tobytes(), "sizes": squeeze(np.concatenate(sizes).astype(np.int64)), "vocabulary": pack(vocabulary), "codes": squeeze(codes.astype(np.uint32))}
+        vocabulary, codes, times = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+        codes = np.argsort(_by_count(times))[codes]  # small codes for frequent words pack better
+        row = {"block": partition << 32 | made, "tokens": len(codes), "ids": squeeze(np.array([i or 0 for i in ids], np.int64)), "known": np.packbits([i is not None for i in ids]).tobytes(), "held": np.packbits(_held_out(ids)).tobytes(), "sizes": squeeze(np.concatenate(sizes).astype(np.int64)), "vocabulary": pack(vocabulary), "times": squeeze(times.astype(np.uint32)), "codes": squeeze(codes.astype(np.uint32))}
         made += 1
         return pa.RecordBatch.from_pylist([row], schema=_BLOCKS)
 
@@ -233,14 +242,24 @@ def _runs(bucket: np.ndarray) -> dict[int, tuple[int, int]]:
     return {b: (x, y) for b, x, y in zip(own.tolist(), at.tolist(), ends.tolist())}
 
 
+def widths(tokens: int) -> tuple[int, int]:
+    """Bits of an n-gram's context and of its last word.
+
+    Those of the last word suffice among the tokens**0.7 or fewer that may follow one context.
+    """
+    last = min(48, max(32, 13 + -(-tokens.bit_length() * 7 // 10)))
+    return max(16, min(64, exchange.key_bits(tokens) + 2) - last), last
+
+
 class Block:
     """A block's tokens and its distinct n-grams in the order in which parts are asked for them."""
 
-    def __init__(self, row: dict, parts: tuple[int, int], bits: int):
+    def __init__(self, row: dict, parts: tuple[int, int], bits: tuple[int, int]):
         self.sizes = expand(row["sizes"], np.int64)
         n = len(self.sizes)
         self.held = np.unpackbits(np.frombuffer(row["held"], np.uint8))[:n].astype(bool)
-        self.vocabulary, self.codes = unpack(row["vocabulary"]), expand(row["codes"], np.uint32)
+        self.vocabulary = unpack(row["vocabulary"])
+        self.codes = _by_count(expand(row["times"], np.uint32))[expand(row["codes"], np.uint32)]
         self.first = np.append(0, np.cumsum(self.sizes))[:-1]
         self.train = np.repeat(~self.held, self.sizes)
         self.words = _runs(((self.vocabulary >> U(32)) * U(parts[0] * parts[1])) >> U(32))
@@ -252,26 +271,27 @@ class Block:
         inner[self.first] = False
         self.inner = np.flatnonzero(inner)  # tokens that have two before them, the start mark included
         two = fold(one[self.inner - 1], one[self.inner])
-        short = U(64 - bits)
-        context = np.concatenate([one, two]) >> short
-        successor = np.concatenate([token, token[self.inner]]) >> short
+        context = np.concatenate([one, two])
+        # a word's id is relative to its context, so that contexts that share their bits do not share ids
+        successor = fold(context, np.concatenate([token, token[self.inner]])) >> U(64 - bits[1])
+        context >>= U(64 - bits[0])
         # what is asked of each part: sorted by part, context and successor
-        range_of = lambda keys, count: ((keys >> U(bits - 32)) * U(count)) >> U(32)
-        bucket = (range_of(context, parts[0]) * U(parts[1]) + range_of(successor, parts[1])).astype(np.int64)
-        order = np.lexsort((successor, context, bucket) if parts[1] > 1 else (successor, context))
-        bucket, context, successor = bucket[order], context[order], successor[order]
+        bucket = (((context >> U(max(bits[0] - 32, 0))) * U(parts[0])) >> U(min(bits[0], 32))) * U(parts[1])
+        if parts[1] > 1:
+            bucket += ((successor >> U(max(bits[1] - 32, 0))) * U(parts[1])) >> U(min(bits[1], 32))
+        bucket, key = bucket.astype(np.int64), context << U(bits[1]) | successor
+        order = np.lexsort((key, bucket)) if parts[1] > 1 else np.argsort(key, kind="stable")
+        bucket, key = bucket[order], key[order]
         new = np.ones(len(order), bool)
-        new[1:] = (context[1:] != context[:-1]) | (successor[1:] != successor[:-1])
+        new[1:] = key[1:] != key[:-1]
         self.number = np.empty(len(order), np.int64)
         self.number[order] = np.cumsum(new) - 1
-        self.context, self.successor = context[new], successor[new]
+        self.keys = key[new]
         self.count = np.bincount(self.number, np.concatenate([self.train, self.train[self.inner]]), minlength=int(new.sum())).astype(np.uint32)
         self.ngrams = _runs(bucket[new])
 
 
-def _asking(parts: tuple[int, int], bits: int):
-    width = (bits + 7) // 8
-
+def _asking(parts: tuple[int, int], bits: tuple[int, int]):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
@@ -281,10 +301,7 @@ def _asking(parts: tuple[int, int], bits: int):
                 for b in sorted(block.ngrams.keys() | block.words.keys()):
                     lo, hi = block.ngrams.get(b, (0, 0))
                     x, y = block.words.get(b, (0, 0))
-                    context = block.context[lo:hi]
-                    new = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if hi > lo else np.zeros(0, np.int64)
-                    raw = np.ascontiguousarray(block.successor[lo:hi].view(np.uint8).reshape(-1, 8)[:, :width])
-                    for c, v in zip(out, (b, row["block"], pack(block.vocabulary[x:y]), squeeze(times[x:y].astype(np.uint32)), pack(context[new]), squeeze(np.diff(np.append(new, hi - lo)).astype(np.uint32)), raw.tobytes(), squeeze(block.count[lo:hi]))):
+                    for c, v in zip(out, (b, row["block"], pack(block.vocabulary[x:y]), squeeze(times[x:y].astype(np.uint32)), pack(block.keys[lo:hi]), squeeze(block.count[lo:hi]))):
                         out[c].append(v)
                 yield pa.RecordBatch.from_pydict(out, schema=_SENT)
         tidy()
@@ -292,14 +309,7 @@ def _asking(parts: tuple[int, int], bits: int):
     return run
 
 
-def _answering(bits: int):
-    width = (bits + 7) // 8
-
-    def successors(blob):
-        wide = np.zeros((len(blob) // width, 8), np.uint8)
-        wide[:, :width] = np.frombuffer(blob, np.uint8).reshape(-1, width)
-        return wide.view(U).ravel()
-
+def _answering(bits: tuple[int, int]):
     @tidied
     def run(table: pa.Table) -> pa.Table:
         column = lambda c: (x.as_py() for x in table[c])
@@ -308,19 +318,14 @@ def _answering(bits: int):
         total = np.bincount(back, np.concatenate([expand(x, np.uint32) for x in column("times")])).astype(np.int64) if len(back) else np.zeros(0, np.int64)
         each, ends = total[back], np.append(0, np.cumsum([len(v) for v in vocabularies]))
         times = [squeeze(each[a:b]) for a, b in zip(ends, ends[1:])]
-        contexts = [np.repeat(unpack(c), expand(f, np.uint32)) for c, f in zip(column("contexts"), column("fan"))]
-        cut = np.append(0, np.cumsum([len(c) for c in contexts]))
-        context, successor = np.concatenate(contexts), np.concatenate([successors(x) for x in column("successors")])
-        count = np.concatenate([expand(x, np.uint32) for x in column("counts")])
-        order = np.lexsort((successor, context))
-        context, successor = context[order], successor[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (context[1:] != context[:-1]) | (successor[1:] != successor[:-1])
-        first = np.flatnonzero(new)
-        summed = np.add.reduceat(count[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
-        trie = Trie(context[first][summed > 0], successor[first][summed > 0], summed[summed > 0])
-        codes = np.empty(len(order), np.uint32)
-        codes[order] = trie.lookup(context[first], successor[first])[np.cumsum(new) - 1]
+        asked = [unpack(x) for x in column("ngrams")]
+        cut = np.append(0, np.cumsum([len(x) for x in asked]))
+        keys, back = np.unique(np.concatenate(asked), return_inverse=True)
+        summed = np.bincount(back, np.concatenate([expand(x, np.uint32) for x in column("counts")]), minlength=len(keys)).astype(np.int64) if len(keys) else np.zeros(0, np.int64)
+        context, successor = keys >> U(bits[1]), keys & U((1 << bits[1]) - 1)
+        seen = summed > 0
+        trie = Trie(context[seen], successor[seen], summed[seen])
+        codes = trie.lookup(context, successor)[back]
         trie.close()
         rest = [0] * (table.num_rows - 1)
         return pa.table({"block": table["block"], "bucket": table["bucket"], "times": times, "codes": [squeeze(codes[a:b]) for a, b in zip(cut, cut[1:])], "n": [int(total.sum()), *rest], "v": [int((total > 0).sum()), *rest]}, schema=_REPLY)
@@ -329,12 +334,12 @@ def _answering(bits: int):
 
 
 @tidied
-def _scored(table: pa.Table, replies: pa.Table, parts: tuple[int, int], bits: int, n: int, v: int, mass: float) -> pa.Table:
+def _scored(table: pa.Table, replies: pa.Table, parts: tuple[int, int], bits: tuple[int, int], n: int, v: int, mass: float) -> pa.Table:
     if not table.num_rows:
         return _SCORES.empty_table()
     row = table.to_pylist()[0]
     block = Block(row, parts, bits)
-    times, codes = np.zeros(len(block.vocabulary), np.int64), np.zeros(len(block.context), np.uint32)
+    times, codes = np.zeros(len(block.vocabulary), np.int64), np.zeros(len(block.keys), np.uint32)
     for b, t, c in zip(replies["bucket"].to_pylist(), replies["times"].to_pylist(), replies["codes"].to_pylist()):
         if b in block.words:
             times[slice(*block.words[b])] = expand(t, np.int64)
@@ -367,7 +372,7 @@ def score(docs: DataFrame, *, id: str = "doc_id", text: str = "text", mass: floa
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     blocks = settle(rows.mapInArrow(lambda batches: _coded(batches, block_bytes), _BLOCKS_SQL))
     tokens = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    bits = exchange.key_bits(tokens)
+    bits = widths(tokens)
     wanted = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), tokens // part_tokens + 1)
     across = int(np.ceil(np.sqrt(wanted)))
     parts = (-(-wanted // across), across)

@@ -125,9 +125,9 @@ def test_messages_are_no_more_than_ngrams(spark, monkeypatch):
         rows = [(k, " ".join(f"w{(k * 7 + j * j) % 50}" for j in range(20))) for k in range(blocks * 10)]
         made = list(_blocks(spark, rows, 400))
         for parts in ((3, 3), (400, 400)):
-            out = [b for r in made for b in ngram_lm._asking(parts, 40)([r])]
+            out = [b for r in made for b in ngram_lm._asking(parts, (24, 16))([r])]
             sent[blocks, parts[0]] = sum(b.num_rows for b in out)
-            asked = sum(len(ngram_lm.Block(r.to_pylist()[0], parts, 40).context) + len(ngram_lm.Block(r.to_pylist()[0], parts, 40).vocabulary) for r in made)
+            asked = sum(len(b.keys) + len(b.vocabulary) for b in (ngram_lm.Block(r.to_pylist()[0], parts, (24, 16)) for r in made))
             assert sent[blocks, parts[0]] <= min(asked, len(made) * parts[0] * parts[1])
     assert sent[16, 400] <= 5 * sent[4, 400]
 
