@@ -12,27 +12,37 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; a temporary one only where it is unset."""
+    """The folder in spark.checkpoint.dir, which all executors share; a temporary one where it is unset and the master is local."""
     if where := spark.conf.get("spark.checkpoint.dir", None):
         return where
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="loomgraph-")
     return _own[app]
 
 
+#: Shuffle files go when the execution that wrote them ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, and a lost executor costs nothing.
 
-    The files go when the driver's file system closes.  The garbage collection
-    lets Spark's cleaner remove shuffle files that nothing needs any more.
+    The files go when the driver's file system closes, or by `drop_settled`.
+    The shuffle files of the write go with it, as nothing reads them again.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
