@@ -13,39 +13,71 @@ from loomgraph.ontology import SECTION_ALIASES
 
 # Rules in order; the first that matches wins.  Keywords are plain substrings.
 SECTION_RULES = [
-    ("Abstract", "abstract · 摘要 · 概述 · summary · 文摘", None),
-    ("Introduction", "introduction · 引言 · 前言 · 绪论 · 背景 · background · 研究背景 · 概况 · overview", r"^1\."),
-    (
-        "Methods_Materials",
-        "method · material · procedure · experiment · experimental · sampling · analysis · measurement · instrument · equipment · protocol · technique · preparation · 方法 · 材料 · 实验 · 样品 · 检测 · 质量控制 · 质控 · 设备 · 仪器 · 采样 · 分析方法 · 测定 · 试剂 · 操作 · 步骤 · 流程 · 制备 · 处理 · 测试",
-        r"^2\.",
-    ),
-    ("Results", "result · finding · data · table · figure · fig · content · concentration · level · distribution · observation · outcome · 结果 · 数据 · 含量 · 浓度 · 水平 · 分布 · 检出 · 测定结果 · 测量 · 观察 · 表 · 图", r"^3\.(?!\d)"),
-    ("Discussion", "discussion · interpretation · implication · analysis · risk · exposure · assessment · evaluation · impact · health · safety · hazard · 讨论 · 分析 · 评价 · 风险 · 暴露 · 影响 · 健康 · 安全 · 危害 · 机制 · 原因 · 比较", r"^3\.\d+\."),
-    ("Conclusion", "conclusion · summary · closing · outlook · perspective · 结论 · 总结 · 小结 · 展望 · 建议 · 对策", r"^[45]\."),
-    ("References", "reference · bibliography · bibliographies · citation · literature · literature cited · works cited · 参考文献 · 文献 · 引用", None),
+    ("Abstract", [
+        "abstract", "摘要", "概述", "summary", "文摘",
+    ], None),
+    ("Introduction", [
+        "introduction", "引言", "前言", "绪论", "背景", "background", "研究背景", "概况", "overview",
+    ], r"^1\."),
+    ("Methods_Materials", [
+        "method", "material", "procedure", "experiment", "experimental", "sampling", "analysis", "measurement", "instrument", "equipment", "protocol",
+        "technique", "preparation", "方法", "材料", "实验", "样品", "检测", "质量控制", "质控", "设备", "仪器", "采样", "分析方法", "测定", "试剂", "操作", "步骤", "流程", "制备", "处理",
+        "测试",
+    ], r"^2\."),
+    ("Results", [
+        "result", "finding", "data", "table", "figure", "fig", "content", "concentration", "level", "distribution", "observation", "outcome", "结果",
+        "数据", "含量", "浓度", "水平", "分布", "检出", "测定结果", "测量", "观察", "表", "图",
+    ], r"^3\.(?!\d)"),
+    ("Discussion", [
+        "discussion", "interpretation", "implication", "analysis", "risk", "exposure", "assessment", "evaluation", "impact", "health", "safety",
+        "hazard", "讨论", "分析", "评价", "风险", "暴露", "影响", "健康", "安全", "危害", "机制", "原因", "比较",
+    ], r"^3\.\d+\."),
+    ("Conclusion", [
+        "conclusion", "summary", "closing", "outlook", "perspective", "结论", "总结", "小结", "展望", "建议", "对策",
+    ], r"^[45]\."),
+    ("References", [
+        "reference", "bibliography", "bibliographies", "citation", "literature", "literature cited", "works cited", "参考文献", "文献", "引用",
+    ], None),
 ]
 TEXT_RULES = [
-    ("Methods_Materials", "we collected · 我们收集 · we used · 我们使用 · sampling was · 采样 · according to · 根据 · were analyzed · 进行分析 · measured by · 测定"),
-    ("Results", "p< · p = · p value · p<0. · p =0. · significant · 显著 · was found · 发现 · showed · 显示 · indicated · 表明"),
+    ("Methods_Materials", [
+        "we collected", "我们收集", "we used", "我们使用", "sampling was", "采样", "according to", "根据", "were analyzed", "进行分析", "measured by", "测定",
+    ]),
+    ("Results", [
+        "p<", "p =", "p value", "p<0.", "p =0.", "significant", "显著", "was found", "发现", "showed", "显示", "indicated", "表明",
+    ]),
 ]
 WEIGHT_RULES = [
-    (0.85, "significant · p< · p = · p<0. · p<0.0 · 显著 · cause · lead to · result in · 导致 · 产生 · directly · 直接"),
-    (0.7, "associated · correlated · related · linked · 相关 · 关联 · indicate · 表明 · showed · 显示"),
-    (0.4, "may · might · could · possibly · suggest · 可能 · 暗示 · unclear · 不清楚"),
+    (0.85, [
+        "significant", "p<", "p =", "p<0.", "p<0.0", "显著", "cause", "lead to", "result in", "导致", "产生", "directly", "直接",
+    ]),
+    (0.7, [
+        "associated", "correlated", "related", "linked", "相关", "关联", "indicate", "表明", "showed", "显示",
+    ]),
+    (0.4, [
+        "may", "might", "could", "possibly", "suggest", "可能", "暗示", "unclear", "不清楚",
+    ]),
 ]
 DEFAULT_WEIGHT = 0.5
 LABEL_WEIGHTS = [
-    (0.85, "whu_Pollutant mp_Claim whu_DataSet whu_EnvironmentFeature"),
-    (0.75, "whu_Specimen whu_Computational_Experiment whu_BioChemical_Experiment whu_Bio_chemical_Experiment"),
-    (0.6, "whu_Instrument whu_Method mp_Method mp_Statement"),
+    (0.85, [
+        "whu_Pollutant", "mp_Claim", "whu_DataSet", "whu_EnvironmentFeature",
+    ]),
+    (0.75, [
+        "whu_Specimen", "whu_Computational_Experiment", "whu_BioChemical_Experiment", "whu_Bio_chemical_Experiment",
+    ]),
+    (0.6, [
+        "whu_Instrument", "whu_Method", "mp_Method", "mp_Statement",
+    ]),
+]
+EMPHASIS = [
+    "significant", "critical", "primary", "main", "key", "主要", "关键", "重要", "核心",
 ]
-EMPHASIS = "significant · critical · primary · main · key · 主要 · 关键 · 重要 · 核心"
 ROLES = ["Abstract", "Introduction", "Methods_Materials", "Results", "Discussion", "Conclusion", "References", "Other"]
 
 
-def any_of(c: Column, keywords: str) -> Column:
-    return c.rlike("|".join(re.escape(k) for k in keywords.split(" · ")))
+def any_of(c: Column, keywords: list[str]) -> Column:
+    return c.rlike("|".join(re.escape(k) for k in keywords))
 
 
 def section_role(header: Column, text: Column) -> Column:
@@ -97,6 +129,6 @@ def relation_weight(weight: Column, sentence: Column) -> Column:
 
 def node_weight(weight: Column, label: Column, name: Column, text: Column) -> Column:
     """A weight that is there; else by label, 0.1 more (1.0 at most) with an emphasis keyword; null without a name."""
-    by_label = reduce(lambda rest, x: F.when(label.isin(x[1].split()), F.lit(x[0])).otherwise(rest), reversed(LABEL_WEIGHTS), F.lit(DEFAULT_WEIGHT))
+    by_label = reduce(lambda rest, x: F.when(label.isin(x[1]), F.lit(x[0])).otherwise(rest), reversed(LABEL_WEIGHTS), F.lit(DEFAULT_WEIGHT))
     said = F.lower(F.concat(name, F.lit(" "), F.coalesce(text, F.lit(""))))
     return F.when(weight.isNotNull() | name.isNull(), weight).otherwise(F.when(any_of(said, EMPHASIS), F.least(by_label + 0.1, F.lit(1.0))).otherwise(by_label))

@@ -113,7 +113,7 @@ def header_path_asof(t: Tables) -> DataFrame:
     return chunking.chunk_documents(t.markdown().select("doc_id", "md"), text="md", header_paths=True).drop("chunk")
 
 
-_ESC = lambda words: "|".join(rules.re.escape(w).replace("\\ ", " ") for w in words.split(" · ")).replace("'", "''")
+_ESC = lambda words: "|".join(rules.re.escape(w).replace("\\ ", " ") for w in words).replace("'", "''")
 
 
 def _role_sql(header: str, body: str) -> str:
