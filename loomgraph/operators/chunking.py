@@ -89,6 +89,32 @@ def semantic_groups(sentences: DataFrame, *, by: list[str], order: list[str], em
     return broken.withColumn("group", F.sum("is_break").over(place.rowsBetween(Window.unboundedPreceding, 0)))
 
 
+def resplit(chunks: DataFrame, embed: Callable[[list[str]], list[list[float]]], *, doc: str = "filename", text: str = "chunk", threshold: float = 0.72, window: int = 2) -> DataFrame:
+    """chunks (doc, chunk_id, text, ...) cut again where the meaning changes; chunk_id numbers a document's new chunks from 0.
+
+    The sentences of a chunk are embedded in batches on the executors; each that
+    is less like the mean of the `window` before it than the threshold begins a
+    new chunk.  Other columns go with every piece.  A chunk without sentences
+    stays whole.
+    """
+    rest = [c for c in chunks.columns if c not in (text, "chunk_id")]
+    sentences = F.when(F.size(split_sentences(F.col(text))) > 0, split_sentences(F.col(text))).otherwise(F.array(F.col(text)))
+    rows = chunks.select(doc, "chunk_id", F.struct(*rest).alias("_rest"), F.posexplode(sentences).alias("_place", "_sentence"))
+
+    def run(batches: Iterator[pd.DataFrame]):
+        for batch in batches:
+            batch["embedding"] = [[float(x) for x in v] for v in embed(batch["_sentence"].tolist())] if len(batch) else []
+            yield batch[[doc, "chunk_id", "_place", "_sentence", "embedding"]]
+
+    kinds = dict(rows.dtypes)
+    embedded = rows.select(doc, "chunk_id", "_place", "_sentence").mapInPandas(run, f"`{doc}` {kinds[doc]}, chunk_id {kinds['chunk_id']}, _place int, _sentence string, embedding array<float>")
+    found = semantic_groups(embedded, by=[doc, "chunk_id"], order=["_place"], threshold=threshold, window=window)
+    pieces = found.groupBy(doc, "chunk_id", "group").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_place", "_sentence"))), lambda x: x["_sentence"]), " ").alias(text))
+    old = chunks.select(doc, "chunk_id", *[c for c in rest if c != doc])
+    number = F.row_number().over(Window.partitionBy(doc).orderBy("chunk_id", "group")) - 1
+    return pieces.join(old, [doc, "chunk_id"]).withColumn("_new", number.cast(kinds["chunk_id"])).select(*[F.col("_new").alias("chunk_id") if c == "chunk_id" else F.col(c) for c in chunks.columns])
+
+
 def split_sentences(text) -> F.Column:
     """Sentences of a text: pieces that end with . ! ? or their full-width forms, stripped, without empty ones."""
     return F.filter(F.transform(F.split(text, r"(?<=[.!?。！？])\s*"), strip), lambda s: s != "")

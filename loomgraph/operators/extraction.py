@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -45,11 +47,12 @@ def route(chunks: DataFrame, templates: DataFrame, *, doc: str = "filename") ->
     return texts.join(F.broadcast(keyed), "allowed").select(doc, "template_id", "joined").where(F.col("joined") != "")
 
 
-def extract(routed: DataFrame, templates: DataFrame, extractor: Callable[[str, tuple[str, str, str]], str], *, doc: str = "filename", retries: int = 2) -> DataFrame:
+def extract(routed: DataFrame, templates: DataFrame, extractor: Callable[[str, tuple[str, str, str]], str], *, doc: str = "filename", retries: int = 2, transient: tuple[type[Exception], ...] = (Exception,)) -> DataFrame:
     """doc, template_id, output, error: what extractor(text, (subject, relation, object)) gave, as JSON.
 
-    A call that raises is repeated up to `retries` times; then output is null
-    and error has the message, and other calls go on.
+    A call that raises a transient error is repeated up to `retries` times; then,
+    and after any other error at once, output is null and error has the
+    message, and other calls go on.
     """
 
     def run(batches: Iterator[pd.DataFrame]):
@@ -63,6 +66,8 @@ def extract(routed: DataFrame, templates: DataFrame, extractor: Callable[[str, t
                         break
                     except Exception as e:  # noqa: BLE001  whatever a caller's model raises
                         error = f"{type(e).__name__}: {e}"
+                        if not isinstance(e, transient):
+                            break
                 outputs.append(output)
                 errors.append(error)
             yield pd.DataFrame({doc: batch[doc], "template_id": batch["template_id"], "output": outputs, "error": errors})
@@ -71,6 +76,23 @@ def extract(routed: DataFrame, templates: DataFrame, extractor: Callable[[str, t
     return rows.mapInPandas(run, f"{doc} {dict(routed.dtypes)[doc]}, template_id int, output string, error string")
 
 
+def dictionary_extractor(names: dict[str, list[str]]) -> Callable[[str, tuple[str, str, str]], str]:
+    """An extractor by rule: a name that stands in the text, letter case aside, is an entity of its label, and each two that a template joins are related."""
+
+    def held(text: str, label: str) -> list[str]:
+        return [n for n in names.get(label, []) if re.search(rf"(?<!\w){re.escape(n.lower())}(?!\w)", text.lower())]
+
+    def extractor(text: str, triple: tuple[str, str, str]) -> str:
+        subject, relation, obj = triple
+        node = lambda label, n: {"id": f"{label}:{n}", "label": label, "properties": {"WHU_HASNAME": n, "WHU_HASORIGINALTEXT": n}}
+        a, b = held(text, subject), held(text, obj)
+        nodes = {x["id"]: x for x in [*(node(subject, n) for n in a), *(node(obj, n) for n in b)]} if a and b else {}
+        edges = [{"type": relation, "start_node_id": f"{subject}:{x}", "end_node_id": f"{obj}:{y}", "properties": {}} for x in a for y in b if (subject, x) != (obj, y)]
+        return json.dumps({"nodes": list(nodes.values()), "relationships": edges})
+
+    return extractor
+
+
 def parse_outputs(outputs: DataFrame, *, doc: str = "filename", output: str = "output") -> tuple[DataFrame, DataFrame]:
     """Nodes and edges of the JSON contract; local ids get `<doc>|<template_id>|` in front.
 

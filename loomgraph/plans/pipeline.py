@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import threading
 import time
 from collections.abc import Callable
@@ -13,10 +14,11 @@ from loomgraph.functions.text import strip
 from loomgraph.graph.centrality import centrality, project
 from loomgraph.model import DC, KnowledgeGraph
 from loomgraph.ontology import CONTAINER_LABELS, PLAN_LABELS, VIEWS, Ontology, default_ontology, problems
-from loomgraph.operators import chunking, dedup, extraction, metadata, resolve, views
+from loomgraph.operators import chunking, dedup, extraction, metadata, resolve, retrieval, views
 from loomgraph.plans import paths
-from loomgraph.sources.config import Settings
+from loomgraph.sources.config import Settings, callable_named
 from loomgraph.sources.markdown import read_markdown, read_sidecars, select_documents, with_metadata
+from loomgraph.sources.ontology_files import load_ontology, present_files
 from loomgraph.storage import settle
 
 STAGES = ["clear", "build_kg", "subgraph_annotate", "chunk_merge", "entity_merge", "pagerank", "metapath"]
@@ -45,11 +47,25 @@ class Build:
     ask_sentence: Callable[[str], str] | None = None
     embed: Callable[[list[str]], list[list[float]]] | None = None
     listeners: list[Callable[[dict], None]] = field(default_factory=list)
+    #: Errors of the extractor after which a call is repeated; others fail it at once.
+    transient: tuple[type[Exception], ...] = (ConnectionError, TimeoutError, OSError)
 
     def __post_init__(self):
         self._lock, self._cancel, self.events, self.results = threading.Lock(), threading.Event(), [], {}
-        self.graph = KnowledgeGraph.empty(self.spark)
+        self.graph = KnowledgeGraph.load(self.spark, self.settings.graph) if self.settings.graph else KnowledgeGraph.empty(self.spark)
         self.frames = self.ontology.frames(self.spark)
+        self.postings = None
+
+    @classmethod
+    def from_settings(cls, spark, settings: Settings, **given) -> "Build":
+        """A build with the functions and the ontology that the settings name; `given` wins."""
+        named = {k: callable_named(getattr(settings, k)) for k in ("extractor", "ask_role", "ask_sentence", "embed")}
+        if named["extractor"] is None and settings.dictionary:
+            with open(settings.dictionary, encoding="utf-8") as f:
+                named["extractor"] = extraction.dictionary_extractor(json.load(f))
+        if settings.schema_dir:
+            named["ontology"] = load_ontology(spark, settings.schema_dir, default_ontology(), **present_files(spark, settings.schema_dir))
+        return cls(spark, settings, **(named | given))
 
     def cancel(self) -> None:
         self._cancel.set()
@@ -63,10 +79,10 @@ class Build:
     def events_frame(self):
         return self.spark.createDataFrame([tuple(e.values()) for e in self.events], EVENT)
 
-    def run(self, only: list[str] | None = None, skip: list[str] = (), run_id: str | None = None) -> dict:
+    def run(self, only: list[str] | None = None, skip: list[str] = (), run_id: str | None = None, flags: dict[str, bool] | None = None) -> dict:
         """Run the planned stages; the first that fails ends the run and its error goes on.
 
-        A second run while one goes on is a RuntimeError.  Cancelling takes
+        flags switch stages on or off for this run, over those of the settings.  A second run while one goes on is a RuntimeError.  Cancelling takes
         effect before the next stage.
         """
         if not self._lock.acquire(blocking=False):
@@ -74,7 +90,7 @@ class Build:
         try:
             self.run_id, self.events, self.results, began = run_id or f"run-{time.time_ns()}", [], {}, time.time()
             self._cancel.clear()
-            planned = plan_stages(self.settings.stages, only, skip)
+            planned = plan_stages(self.settings.stages | (flags or {}), only, skip)
             if wrong := problems(self.ontology)["errors"]:
                 raise ValueError("; ".join(wrong))
             for k, stage in enumerate(planned, 1):
@@ -113,6 +129,8 @@ class Build:
         docs = select_documents(read_markdown(self.spark, self.settings.data_dir), self.settings.selected_files, self.settings.max_docs)
         docs = with_metadata(docs, read_sidecars(self.spark, self.settings.data_dir))
         chunks = chunking.chunk_documents(docs.select("filename", "text"), chunk_size=self.settings.chunk_size, header_paths=True)
+        if self.embed is not None:
+            chunks = settle(chunking.resplit(chunks, self.embed, threshold=self.settings.similarity_threshold, window=self.settings.semantic_window))
         chunks = chunking.infer_roles(chunks.withColumnRenamed("chunk", "text"), self.ask_role)
         chunks = settle(chunking.view_roles(chunks, self.frames["section_prior"]))
         chunks = chunks.select(F.concat_ws("#", "filename", "chunk_id").alias("chunk_id"), "filename", F.col("chunk_id").alias("index"), "text", "header_path", "section_role", "view_roles")
@@ -121,7 +139,7 @@ class Build:
         status = docs.select("filename").withColumn("ok", F.lit(True))
         if self.extractor is not None:
             routed = extraction.route(chunks, templates)
-            out = settle(extraction.extract(routed, templates, self.extractor, retries=self.settings.doc_max_retries))
+            out = settle(extraction.extract(routed, templates, self.extractor, retries=self.settings.doc_max_retries, transient=self.transient))
             status = out.select("filename", F.col("error").isNull().alias("ok")).unionByName(docs.select("filename").withColumn("ok", F.lit(False)))
             nodes, edges = extraction.conforming(*extraction.parse_outputs(out), templates)
             named = nodes.withColumns({"name": F.try_element_at("props", F.lit("WHU_HASNAME")), "original_text": F.try_element_at("props", F.lit("WHU_HASORIGINALTEXT")), "llm_weight": F.try_element_at("props", F.lit("llm_weight")).try_cast("double")})
@@ -131,6 +149,12 @@ class Build:
             rel = edges.withColumns({"rel_id": F.sha2(F.concat_ws("|", "src", "rel_type", "dst"), 256), "name": F.try_element_at("props", F.lit("WHU_HASNAME")), "original_text": F.try_element_at("props", F.lit("WHU_HASORIGINALTEXT")), "llm_weight": F.try_element_at("props", F.lit("llm_weight")).try_cast("double")}).dropDuplicates(["rel_id"])
             graph = graph.with_(entities=_shaped(graph.entities, entities.withColumn("labels", F.array("label"))), relations=_shaped(graph.relations, rel), from_chunk=held)
         full = _shaped(graph.chunks, chunks)
+        stored, filled = self.graph.chunks.where("filename is null"), 0
+        if not stored.isEmpty():
+            # chunks that another tool stored without their file: they take what the chunks that they hold know
+            nodes = chunks.select(F.xxhash64("chunk_id").alias("ordinal"), "filename", "text", "header_path", "section_role", "view_roles")
+            found, matches = metadata.backfill_chunks(stored, nodes)
+            full, filled = full.unionByName(_shaped(graph.chunks, found)), matches.first()["matches"]
         meta = docs.select("filename", *DC)
         full = settle(metadata.chunk_metadata(full, meta))
         entities = settle(metadata.enhance_entities(metadata.entity_metadata(graph.entities, graph.from_chunk, full)))
@@ -138,7 +162,7 @@ class Build:
         relations = settle(metadata.enhance_relations(relations, entities, graph.from_chunk, full))
         self.graph = graph.with_(chunks=full, entities=entities, relations=relations, from_chunk=settle(graph.from_chunk), next_chunk=settle(dedup.next_chunks(full)))
         counts = status.groupBy("filename").agg(F.max("ok").alias("ok")).agg(F.count("*").alias("documents"), F.count_if("ok").alias("succeeded_docs")).first()
-        return {"documents": counts["documents"], "succeeded_docs": counts["succeeded_docs"], "failed_docs": counts["documents"] - counts["succeeded_docs"], "entities": entities.count(), "relations": relations.count()}
+        return {"documents": counts["documents"], "succeeded_docs": counts["succeeded_docs"], "failed_docs": counts["documents"] - counts["succeeded_docs"], "entities": entities.count(), "relations": relations.count(), "backfilled": filled}
 
     def _subgraph_annotate(self) -> dict:
         self.graph = self.graph.with_(entities=settle(views.checked_views(self.graph.entities, self.frames["view_mapping"])))
@@ -180,6 +204,7 @@ class Build:
 
     def _metapath(self) -> dict:
         g = self.graph
+        cleared = g.metapaths.count()
         nodes, edges = g.entities.select(F.col("entity_id").alias("id"), "label", "name"), g.relations.select("rel_id", "src", "dst", "rel_type")
         paths.preflight(paths.template_counts(self.frames["path_template"], edges, nodes.select("id", "label")), g.centrality)
         ranks = settle(paths.best_rank(g.centrality))
@@ -190,8 +215,22 @@ class Build:
         none = {"query": F.lit(None).cast("string"), "embedding": F.lit(None).cast("array<float>")}
         rows = _shaped(g.metapaths, low.withColumn("path_level", F.lit("low"))).unionByName(_shaped(g.metapaths, mid.withColumn("path_level", F.lit("mid")))).withColumns(none)
         rows = paths.path_embeddings(paths.path_sentences(rows, self.ask_sentence), self.embed)
-        self.graph = g.with_(metapaths=settle(rows), path_hierarchy=links)
-        return counts
+        rows = settle(rows)
+        self.graph = g.with_(metapaths=rows, path_hierarchy=links)
+        self.postings = settle(retrieval.keyword_postings(rows.select("mp_id", F.concat_ws(" ", "query", "text").alias("text")), id="mp_id"))
+        return counts | {"cleared": cleared, "embeddings_written": rows.where("embedding is not null").count()}
+
+    def search_paths(self, words: list[str], k: int = 10):
+        """mp_id (as id), hits, tf of the k paths with most of the words."""
+        if self.postings is None:
+            raise ValueError("the stage metapath has not run")
+        return retrieval.keyword_search(self.postings, words, k)
+
+    def nearest_paths(self, vector: list[float], k: int = 3):
+        """rank, id, score of the k paths whose embedding is nearest to a vector."""
+        asked = self.spark.createDataFrame([("", vector)], "id string, embedding array<float>")
+        rows = self.graph.metapaths.select(F.col("mp_id").alias("id"), "embedding")
+        return retrieval.nearest_by_cosine(rows, asked, k).drop("query_id")
 
     def _groups(self, nodes, edges):
         """Anchors and members: steps of a plan, members of a container."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import json
 import os
 import re
@@ -22,9 +23,26 @@ def substitute(value, environ=None):
     return value
 
 
+def callable_named(name: str | None):
+    """The function that `package.module:function` names; None for None."""
+    if not name:
+        return None
+    module, _, function = name.partition(":")
+    if not function:
+        raise ValueError(f"{name} is not of the form package.module:function")
+    return getattr(importlib.import_module(module), function)
+
+
 @dataclass(frozen=True)
 class Settings:
-    """Secrets have no default: they come from the environment or are missing."""
+    """Secrets have no default: they come from the environment or are missing.
+
+    extractor, ask_role, ask_sentence and embed name functions as
+    `package.module:function`.  dictionary is a JSON file of names by label,
+    {"label": ["name", ...]}, that a rule extracts by where no extractor is
+    named.  schema_dir holds ontology files (see ``ontology_files``), any of
+    which may be missing.  graph is a saved graph that the build starts from.
+    """
 
     data_dir: str = "data/markdown"
     schema_dir: str | None = None
@@ -37,6 +55,12 @@ class Settings:
     doc_max_retries: int = 2
     exact_match_property: str = "name"
     max_exact_nodes: int = 2000
+    extractor: str | None = None
+    dictionary: str | None = None
+    ask_role: str | None = None
+    ask_sentence: str | None = None
+    embed: str | None = None
+    graph: str | None = None
 
 
 def load_settings(path: str, environ=None, **overrides) -> Settings:

@@ -22,6 +22,13 @@ def _named(items) -> dict[str, dict[str, str]]:
     return {x["label"]: {p["name"]: p.get("type", "STRING") for p in x.get("properties", [])} for x in items}
 
 
+def present_files(spark: SparkSession, folder: str) -> dict[str, str | None]:
+    """For each part of an ontology its file's name if the folder has it, else None."""
+    path = lambda name: spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}.json")
+    there = lambda p: p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return {part: f"{part}.json" if there(path(part)) else None for part in ("entities", "relations", "triples", "views", "sections", "paths")}
+
+
 def load_ontology(spark: SparkSession, folder: str, base: Ontology, *, entities="entities.json", relations="relations.json", triples="triples.json", views="views.json", sections="sections.json", paths="paths.json") -> Ontology:
     """base with the parts of those files; a name given as None keeps base's part.
 
