@@ -55,7 +55,7 @@ from loomgraph.storage import settle
 #: The weight of the lower order's probability, in tokens.
 MASS = 3.0
 #: Bytes of text in a block, and tokens whose n-grams make a part.
-BLOCK_BYTES, PART_TOKENS = 8_000_000, 1_500_000
+BLOCK_BYTES, PART_TOKENS = 6_000_000, 1_500_000
 #: Counts up to which the tries are exact.
 EXACT = 1 << 20
 _STEP = 2e-6
