@@ -10,6 +10,9 @@ path.
 
 from __future__ import annotations
 
+from itertools import count
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,34 +36,41 @@ def degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int = 20, damping: float = 0.85, cut: int = 5) -> DataFrame:
-    """Exactly `iterations` rounds, each one join and one aggregation; lineage is cut every `cut` rounds."""
+    """Exactly `iterations` rounds, each one join and one aggregation; ranks are settled every `cut` rounds and at the end."""
+    spark = nodes.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = edges.groupBy("src").agg(F.count("*").alias("n"))
     weighted = settle(edges.groupBy("src", "dst").agg(F.count("*").alias("m")).join(out, "src").select("src", "dst", (F.col("m") / F.col("n")).alias("share")))
+    # the edges stay where their sources' ranks come to, so a round moves ranks and sums alone
+    held = weighted.repartition(parts, "src").persist(StorageLevel.DISK_ONLY)
     base = settle(nodes.select("id"))
     rank = base.withColumn("pagerank", F.lit(1.0 - damping))
     last = None
     for k in range(1, iterations + 1):
-        come = weighted.join(rank, weighted["src"] == rank["id"]).groupBy("dst").agg(F.sum(F.col("share") * F.col("pagerank")).alias("come"))
+        come = held.join(rank, held["src"] == rank["id"]).groupBy("dst").agg(F.sum(F.col("share") * F.col("pagerank")).alias("come"))
         rank = base.join(come, base["id"] == come["dst"], "left").select("id", (F.lit(1.0 - damping) + damping * F.coalesce("come", F.lit(0.0))).alias("pagerank"))
-        if k % cut == 0 and k < iterations:
+        if k % cut == 0 or k == iterations:
             rank = settle(rank)
             if last is not None:
                 drop_settled(last)
             last = rank
+    held.unpersist()
+    drop_settled(weighted)
     return rank
 
 
-def shortest_paths(nodes: DataFrame, edges: DataFrame, sources: DataFrame | None = None, max_depth: int = 10_000) -> DataFrame:
+def shortest_paths(nodes: DataFrame, edges: DataFrame, sources: DataFrame | None = None, max_depth: int | None = None) -> DataFrame:
     """src, dst, d, sigma of all ordered pairs a path joins, src = dst with d 0 among them.
 
     Level by level from all sources together; the state is a row for each pair,
-    so bound the sources where the view is large.
+    so bound the sources where the view is large.  A shortest path of more than
+    max_depth edges, if that is given, is an error.
     """
     adjacent = settle(edges.where(F.col("src") != F.col("dst")).select(F.col("src").alias("at"), F.col("dst").alias("to")).distinct())
     starts = (sources if sources is not None else nodes).select("id").distinct()
     done = settle(starts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0).alias("d"), F.lit(1.0).alias("sigma")))
     levels, frontier = [done], done
-    for depth in range(1, max_depth):
+    for depth in count(1):
         step = frontier.join(adjacent, frontier["dst"] == adjacent["at"]).groupBy("src", "to").agg(F.sum("sigma").alias("sigma")).withColumnRenamed("to", "dst")
         seen = levels[0].select("src", "dst")
         for level in levels[1:]:
@@ -68,6 +78,8 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, sources: DataFrame | None
         frontier = settle(step.join(seen, ["src", "dst"], "left_anti").select("src", "dst", F.lit(depth).alias("d"), "sigma"))
         if frontier.limit(1).count() == 0:
             break
+        if max_depth is not None and depth > max_depth:
+            raise ValueError(f"a shortest path has more than {max_depth} edges")
         levels.append(frontier)
         if len(levels) > 8:  # few files to look at again
             merged = levels[0]
@@ -85,13 +97,10 @@ def closeness(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     return nodes.join(got.withColumnRenamed("dst", "id"), "id", "left").select("id", F.coalesce("closeness", F.lit(0.0)).alias("closeness"))
 
 
-def betweenness(nodes: DataFrame, paths: DataFrame, scale: float = 1.0) -> DataFrame:
-    """The sum over pairs of the share of their shortest paths that pass a node; scale makes up for sampled sources."""
-    first = paths.select("src", F.col("dst").alias("id"), F.col("d").alias("d1"), F.col("sigma").alias("s1")).where("d1 > 0")
-    second = paths.select(F.col("src").alias("id"), F.col("dst").alias("end"), F.col("d").alias("d2"), F.col("sigma").alias("s2")).where("d2 > 0")
-    whole = paths.select("src", F.col("dst").alias("end"), "d", "sigma").where("d > 0")
-    on = first.join(second, "id").join(whole, ["src", "end"]).where(F.col("d1") + F.col("d2") == F.col("d"))
-    got = on.groupBy("id").agg((F.sum(F.col("s1") * F.col("s2") / F.col("sigma")) * scale).alias("betweenness"))
+def betweenness(nodes: DataFrame, edges: DataFrame, paths: DataFrame) -> DataFrame:
+    """The sum over pairs of the share of their shortest paths that pass a node; over the sources that paths has."""
+    adjacent = edges.where(F.col("src") != F.col("dst")).select("src", "dst").distinct()
+    got = passed(adjacent, paths).groupBy("id").agg(F.sum("b").alias("betweenness"))
     return nodes.join(got, "id", "left").select("id", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"))
 
 

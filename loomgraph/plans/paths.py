@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.ontology import VIEWS
+from loomgraph.storage import settle
 
 
 def template_counts(templates: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -103,16 +104,16 @@ def mid_paths(groups: DataFrame, ranks: DataFrame) -> DataFrame:
 def number_by_view(anchors: DataFrame) -> DataFrame:
     """anchors with counter, from 1 in each view by (kind, anchor_id).
 
-    A view may hold most anchors, so they are numbered within pieces of the
-    order (a kind and the first three characters of an id) and offset by the
-    sizes of the pieces before.
+    A view may hold most anchors, so they are dealt to tasks by ranges of the
+    order, numbered there, and offset by what the ranges before hold of a view.
     """
-    keyed = anchors.withColumn("_piece", F.struct("kind", F.left("anchor_id", F.lit(3)).alias("start")))
-    counts = keyed.groupBy("view", "_piece").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy("view").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    inside = F.row_number().over(Window.partitionBy("view", "_piece").orderBy("kind", "anchor_id"))
-    return keyed.withColumn("_inside", inside).join(before, ["view", "_piece"]).withColumn("counter", (F.col("_inside") + F.col("_before")).cast("long")).drop("_piece", "_inside", "_before")
+    order = ["view", "kind", "anchor_id"]
+    ranged = settle(anchors.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    ranged = ranged.withColumn("_range", F.shiftright("_at", 33))
+    sizes = ranged.groupBy("view", "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy("view").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    return ranged.join(before, ["view", "_range"]).withColumn("counter", (F.col("_at") - F.col("_first") + F.col("_before") + 1).cast("long")).drop("_at", "_range", "_first", "_before")
 
 
 def link_paths(mid: DataFrame, low: DataFrame, from_chunk: DataFrame) -> DataFrame:

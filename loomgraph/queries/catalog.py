@@ -9,7 +9,7 @@ from loomgraph import checks
 from loomgraph.functions import rules
 from loomgraph.graph import centrality as central
 from loomgraph.graph.components import connected_components
-from loomgraph.ontology import default_ontology
+from loomgraph.ontology import SECTION_ALIASES, Ontology, default_ontology, problems
 from loomgraph.operators import chunking, dedup, extraction, metadata, resolve, retrieval, views
 from loomgraph.plans import paths
 from loomgraph.queries.views import Tables, with_views
@@ -113,6 +113,18 @@ def header_path_asof(t: Tables) -> DataFrame:
     return chunking.chunk_documents(t.markdown().select("doc_id", "md"), text="md", header_paths=True).drop("chunk")
 
 
+@query(with_views("v_md v_lines", """
+select c.doc_id, c.chunk_id, coalesce(
+  (select arg_max(h.path, h."offset") from v_heads h where h.doc_id = c.doc_id and h."offset" <= m.at),
+  (select arg_min(h.title, h."offset") from v_heads h where h.doc_id = c.doc_id), 'Unknown') as header_path
+from v_chunks c join (select c.doc_id, c.chunk_id, strpos(regexp_replace(m.md, '\\s+', ' ', 'g'), regexp_replace(trim(left(c.chunk, 50), ' ' || chr(9) || chr(10) || chr(13)), '\\s+', ' ', 'g')) - 1 as at from v_chunks c join v_md m on c.doc_id = m.doc_id) m
+  on m.doc_id = c.doc_id and m.chunk_id = c.chunk_id
+""", _FOLD.strip() + ",\n" + _HEADS.strip(), recursive=True))
+def header_path_collapsed(t: Tables) -> DataFrame:
+    """Headings looked up by positions in the text with white space collapsed."""
+    return chunking.chunk_documents(t.markdown().select("doc_id", "md"), text="md", header_paths=True, compat=True).drop("chunk")
+
+
 _ESC = lambda words: "|".join(rules.re.escape(w).replace("\\ ", " ") for w in words).replace("'", "''")
 
 
@@ -147,6 +159,36 @@ def role_prior(t: Tables) -> DataFrame:
     return rows.select("doc_id", "section_role", F.array_join("view_roles", ",").alias("view_roles"))
 
 
+def _alias_sql(name: str) -> str:
+    """Aliases and blank names as CASE."""
+    bare = f"trim({name}, ' ' || chr(9) || chr(10) || chr(13))"
+    known = "".join(f" when lower({bare}) = '{k}' then '{v}'" for k, v in SECTION_ALIASES.items())
+    return f"case when coalesce({bare}, '') = '' then 'Other'{known} else {bare} end"
+
+
+# names in the ways that files spell them, by conversation turn
+_SPELT_SQL = "case turn % 8 when 0 then ' Methods ' when 1 then 'BIBLIOGRAPHY' when 2 then null when 3 then '  ' when 4 then 'abstract' when 5 then 'Results' when 6 then role || ' part' else upper(role) end"
+
+
+@query(f"select conv_id, turn, role, {_alias_sql('said')} as section from (select conv_id, turn, role, {_SPELT_SQL} as said from conversations)")
+def canonical_sections(t: Tables) -> DataFrame:
+    return t.conversations.select("conv_id", "turn", "role", rules.canonical_section(F.expr(_SPELT_SQL)).alias("section"))
+
+
+# free answers of a model about a role
+_ANSWER_SQL = "case doc_id % 6 when 0 then 'Results' when 1 then 'It is the DISCUSSION, I think' when 2 then 'methods_materials or results' when 3 then source when 4 then null else 'see ' || lang || ' references' end"
+
+
+def _answer_role_sql(answer: str) -> str:
+    exact = ", ".join(f"'{r}'" for r in rules.ROLES)
+    return f"case when {answer} in ({exact}) then {answer}" + "".join(f" when contains(lower({answer}), '{r.lower()}') then '{r}'" for r in rules.ROLES) + " else 'Other' end"
+
+
+@query(f"select doc_id, {_answer_role_sql('answer')} as section_role from (select doc_id, {_ANSWER_SQL} as answer from documents)")
+def answered_roles(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", rules.role_from_answer(F.expr(_ANSWER_SQL)).alias("section_role"))
+
+
 @query("""
 select vec_id, label, similarity, is_break, (sum(is_break) over (partition by label order by vec_id))::bigint as "group" from (
   select vec_id, label, round(s, 6) as similarity, case when s < 0.1 then 1 else 0 end as is_break from (
@@ -201,6 +243,17 @@ def gate_violations(t: Tables) -> DataFrame:
     return checks.wrong_cardinality(t.nodes(), t.edges(), "order", "contains", least=2, most=5)
 
 
+@query(with_views("v_nodes v_edges", "select e.src, e.rel_type, e.dst, e.rel_id from v_edges e join v_nodes s on s.id = e.src join v_nodes d on d.id = e.dst where e.rel_type = 'located_in' and s.label = 'customer' and d.label = 'nation'"))
+def gate_forbidden(t: Tables) -> DataFrame:
+    """Customers that are located in a nation, as if that were not allowed."""
+    return checks.forbidden_edges(t.nodes(), t.edges(), "located_in", "customer", "nation").select("src", "rel_type", "dst", "rel_id")
+
+
+@query("select o_orderkey, o_orderstatus from orders where o_orderstatus is not null and o_orderstatus not in ('F', 'O')")
+def gate_values(t: Tables) -> DataFrame:
+    return checks.values_outside(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderstatus", ["F", "O"])
+
+
 _WORDS = [("W1", "article", "the"), ("W2", "place", "in"), ("W3", "article", "der"), ("W4", "place", "les"), ("W5", "verb", "was")]
 
 
@@ -354,6 +407,23 @@ def edge_repoint(t: Tables) -> DataFrame:
     return dedup.repoint_edges(chain, mapping).select("src", "dst")
 
 
+@query(f"""
+with s as (select d.doc_id as node, d.lang, g.survivor from documents d join ({_DUP}) g on g.filename = d.lang and g.text = d.text),
+e as (select doc_id as src, lead(doc_id) over (partition by lang order by doc_id) as dst from documents),
+r as (select e.src as old_src, a.survivor as src, b.survivor as dst, a.node <> a.survivor as src_moved, b.node <> b.survivor as dst_moved, a.node as place_a, b.node as place_b, e.dst as old_dst from e join s a on a.node = e.src join s b on b.node = e.dst),
+k as (select src, dst, old_src, old_dst, (src_moved or dst_moved) as touched_now, greatest(case when src_moved then place_a else -1 end, case when dst_moved then place_b else -1 end) as place,
+  src in (select survivor from s where node <> survivor) or dst in (select survivor from s where node <> survivor) as touched from r),
+kept as (select * from k where not (touched and src = dst))
+select src, dst, arg_max('from ' || old_src, {{'touched': touched, 'place': place, 'src': old_src, 'dst': old_dst}}) as via from kept group by src, dst
+""")
+def edge_props(t: Tables) -> DataFrame:
+    """Of edges that agree after the merge, the last one's property wins."""
+    chunks = t.chunks()
+    chain = dedup.next_chunks(chunks).select("src", "dst", F.lit("NEXT_CHUNK").alias("rel_type"), F.create_map(F.lit("via"), F.concat(F.lit("from "), F.col("src").cast("string"))).alias("props"))
+    mapping = dedup.survivors(chunks).select(F.col("chunk_id").alias("node"), "survivor", F.col("chunk_id").alias("place"))
+    return dedup.repoint_edges(chain, mapping).select("src", "dst", F.try_element_at("props", F.lit("via")).alias("via"))
+
+
 @query("select lang as filename, doc_id as src, dst from (select lang, doc_id, lead(doc_id) over (partition by lang order by doc_id) as dst from documents) where dst is not null")
 def chunk_chain(t: Tables) -> DataFrame:
     return dedup.next_chunks(t.chunks())
@@ -369,6 +439,16 @@ def dedup_verify(t: Tables) -> DataFrame:
     return dedup.merge_report(chunks, kept, dedup.next_chunks(kept))
 
 
+@query(f"""
+select (select count(*) from documents) as chunk_count, (select count(*) from documents) - count(distinct lang) - 1 as next_chunk_relations, (select count(*) from documents) as indexed_chunks,
+  (select count(*) from ({_DUP}) where copies > 1) as duplicate_groups_remaining, false as chain_complete from documents
+""")
+def dedup_unmerged(t: Tables) -> DataFrame:
+    """The checks on chunks that were not merged, whose chain lacks a link."""
+    chain = dedup.next_chunks(t.chunks())
+    return dedup.verify_merge(t.chunks(), chain.where(F.col("src") != chain.agg(F.min("src")).first()[0]))
+
+
 # --- views -----------------------------------------------------------------
 
 
@@ -404,9 +484,18 @@ def view_missing(t: Tables) -> DataFrame:
     return views.mapping_differences(mapping, t.nodes())
 
 
-@query("select id as entity_id from (select 'x' as id) where false")
+@query(with_views("v_nodes v_views", "select id as entity_id from v_nodes where label in (select label from v_views) and label not in (select label from v_views where label <> 'region')"))
 def view_uncovered(t: Tables) -> DataFrame:
-    return views.uncovered(_assigned(t), t.views()).select("entity_id")
+    """Views were assigned before the mapping knew regions."""
+    before = views.assign_views(t.nodes().select(F.col("id").alias("entity_id"), "label"), t.views().where("label <> 'region'"))
+    return views.uncovered(before, t.views()).select("entity_id")
+
+
+@query("""values ('label ghost is in no view'), ('projection GEO: gone is not defined'), ('triple (ghost, moves, nation): moves is not defined'), ('view GEO has nation twice'), ('view SALES has no labels'), ('view label extra is not defined'), ('views are [''GEO'', ''SALES''], not [''EBM'', ''EEM'', ''MPU'']')""".join(["select col0 as problem from (", ")"]))
+def ontology_problems(t: Tables) -> DataFrame:
+    """What is wrong with an ontology that breaks most rules."""
+    broken = Ontology({"ghost": {}, "nation": {}}, ["located_in"], [("ghost", "moves", "nation", ["all"], "low")], [], {"GEO": ["nation", "nation", "extra"], "SALES": []}, {"Other": (None, [])}, {"GEO": (["nation"], ["gone"])})
+    return t.spark.createDataFrame([(x,) for x in problems(broken)["errors"]], "problem string")
 
 
 # --- resolution and centrality ---------------------------------------------
@@ -485,7 +574,7 @@ def closeness(t: Tables) -> DataFrame:
 def betweenness(t: Tables) -> DataFrame:
     """Of the whole supplier, nation and region view."""
     nodes, edges = t.geography()
-    return central.betweenness(nodes, settle(central.shortest_paths(nodes, edges))).select("id", F.round("betweenness", 6).alias("betweenness"))
+    return central.betweenness(nodes, edges, settle(central.shortest_paths(nodes, edges))).select("id", F.round("betweenness", 6).alias("betweenness"))
 
 
 @query(with_views("v_cyc_nodes v_cyc_edges", _CLOSE.format(n="v_cyc_nodes"), _walks("v_cyc_nodes", "v_cyc_edges", 8), recursive=True))
@@ -591,6 +680,31 @@ def paths_mid(t: Tables) -> DataFrame:
     return _mid(t).drop("kind", "max_pagerank")
 
 
+@query(with_views("v_nodes v_edges", "select row_number() over (order by kind, anchor) as counter, kind, anchor as anchor_id, n_members, a.name || ': ' || members as text from one join v_nodes a on a.id = anchor", """
+g as (select case when rel_type = 'in_region' then 1 else 0 end as kind, case when rel_type = 'in_region' then dst else src end as anchor, case when rel_type = 'in_region' then src else dst end as member from v_edges where rel_type in ('supplied_by', 'in_region')),
+one as (select kind, anchor, count(*) as n_members, string_agg(coalesce(n.name, member), ', ' order by n.name, member) as members from g join v_nodes n on n.id = member group by kind, anchor)
+"""))
+def paths_mid_kinds(t: Tables) -> DataFrame:
+    """Parts play the plans and regions the containers of one view, whose counters go on from the plans'."""
+    name = lambda k: t.nodes().select(F.col("id").alias(f"{k}_id"), F.col("name").alias(f"{k}_name"))
+    plans = t.edges().where("rel_type = 'supplied_by'").select(F.lit("SUPPLY").alias("view"), F.lit(0).alias("kind"), F.col("src").alias("anchor_id"), F.col("dst").alias("member_id"))
+    holds = t.edges().where("rel_type = 'in_region'").select(F.lit("SUPPLY").alias("view"), F.lit(1).alias("kind"), F.col("dst").alias("anchor_id"), F.col("src").alias("member_id"))
+    groups = plans.unionByName(holds).join(name("anchor"), "anchor_id").join(name("member"), "member_id")
+    return paths.mid_paths(groups, paths.best_rank(_centrality(t), _ORDER)).select("counter", "kind", "anchor_id", "n_members", "text")
+
+
+@query(with_views("v_nodes v_edges v_views v_templates", "select l.mp_id from low l left join own a on a.view = l.view and a.entity_id = l.src left join own b on b.view = l.view and b.entity_id = l.dst where a.rank is null and b.rank is null", _LOW.rstrip() + ",\nown as (select * from cen where not (view = 'GEO' and entity_id like 'N%'))"))
+def paths_unranked(t: Tables) -> DataFrame:
+    """Low paths without a rank in their own view, where nations have none in GEO: what the check of levels looks for."""
+    own = _centrality(t).where("not (view = 'GEO' and entity_id like 'N%')").select("view", "entity_id", F.col("pagerank").alias("rank"))
+    return paths.low_paths(t.edges(), t.nodes(), t.templates(), own).where("max_pagerank is null").select("mp_id")
+
+
+@query(with_views("v_nodes v_edges v_views v_templates", "select mp_id, 'What is known about: ' || text || '?' as query from low", _LOW))
+def path_queries(t: Tables) -> DataFrame:
+    return paths.path_sentences(_low(t).withColumn("query", F.lit(None).cast("string"))).select("mp_id", "query")
+
+
 _LINK = """
 lnk as (select distinct m.anchor_id as mid_anchor, l.rel_id from (select distinct 'S' || l_suppkey as anchor_id, 'SUPPLY' as view from lineitem) m
   join v_from_chunk a on a.entity_id = m.anchor_id
