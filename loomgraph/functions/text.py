@@ -5,17 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomgraph.functions.arrays import let, walk
+
 
 def record(**fields: Column) -> Column:
     """A struct whose field names hold wherever it is used, also inside lambdas."""
     return F.named_struct(*[x for name, value in fields.items() for x in (F.lit(name), value)])
 
 
-def let(value: Column, body) -> Column:
-    """body(value) with the value worked out once, however often the body uses it, also inside lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def strip(c: Column) -> Column:
     """Without any Unicode white space at the ends."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -42,19 +39,29 @@ def split_by_structure(text: Column, chunk_size: int = 800, heading_size: int =
     chunk is then longer than chunk_size and the line blank, the chunk ends
     without that line.  Lengths count each line's break.
     """
-    state = record(chunks=F.array().cast("array<string>"), buffer=F.array().cast("array<string>"), size=F.lit(0))
+    none = F.array().cast("array<struct<first:int,end:int,next:int>>")
 
     def step(s, line):
-        cut_before = is_heading(line) & (F.size(s["buffer"]) > 0) & (s["size"] > heading_size)
-        cut_after = ~cut_before & (s["size"] + F.length(line) + 1 > chunk_size) & (strip(line) == "")
-        done = F.array_append(s["chunks"], F.array_join(s["buffer"], "\n"))
-        return record(
-            chunks=F.when(cut_before | cut_after, done).otherwise(s["chunks"]),
-            buffer=F.when(cut_before, F.array(line)).when(cut_after, F.array().cast("array<string>")).otherwise(F.array_append(s["buffer"], line)),
-            size=F.when(cut_before, F.length(line) + 1).when(cut_after, F.lit(0)).otherwise(s["size"] + F.length(line) + 1),
+        # a chunk without lines has size 0
+        before = is_heading(line) & (s["size"] > heading_size) & (s["size"] > 0)
+        after = ~before & (s["size"] + F.length(line) + 1 > chunk_size) & (strip(line) == "")
+        following = F.when(before, s["at"]).otherwise(s["at"] + 1)
+        state = record(
+            at=s["at"] + 1,
+            first=F.when(before | after, following).otherwise(s["first"]),
+            size=F.when(before, F.length(line) + 1).when(after, F.lit(0)).otherwise(s["size"] + F.length(line) + 1),
         )
+        return state, F.when(before | after, F.array(record(first=s["first"], end=s["at"], next=following))).otherwise(none)
 
-    return F.aggregate(lines_of(text), state, step, lambda s: F.when(F.size(s["buffer"]) > 0, F.array_append(s["chunks"], F.array_join(s["buffer"], "\n"))).otherwise(s["chunks"]))
+    def joined(lines):
+        def whole(cuts):
+            rest = F.coalesce(F.get(cuts, F.size(cuts) - 1)["next"], F.lit(0))
+            last = F.when(rest < F.size(lines), F.array(record(first=rest, end=F.size(lines), next=F.size(lines)))).otherwise(none)
+            return F.transform(F.concat(cuts, last), lambda c: F.array_join(F.slice(lines, c["first"] + 1, c["end"] - c["first"]), "\n"))
+
+        return let(walk(lines, record(at=F.lit(0), first=F.lit(0), size=F.lit(0)), "struct<first:int,end:int,next:int>", step), whole)
+
+    return F.when(text.isNotNull(), let(lines_of(text), joined))
 
 
 def headings(text: Column) -> Column:
@@ -63,23 +70,19 @@ def headings(text: Column) -> Column:
     The level is the number of `#` that the line itself begins with, so an
     indented heading has level 0, clears the path and keeps its `#`.
     """
-    kind = "array<struct<offset:int,level:int,title:string,path:string>>"
-    entry = "array<struct<level:int,title:string>>"
-    state = record(at=F.lit(0), stack=F.array().cast(entry), out=F.array().cast(kind))
+    kind = "struct<offset:int,level:int,title:string,path:string>"
+    start = record(at=F.lit(0), stack=F.array().cast("array<struct<level:int,title:string>>"))
 
     def step(s, line):
         bare = F.regexp_replace(line, "^#+", "")
         level, title = F.length(line) - F.length(bare), strip(bare)
         stack = F.array_append(F.filter(s["stack"], lambda h: h["level"] < level), record(level=level, title=title))
         path = F.array_join(F.transform(stack, lambda h: h["title"]), " > ")
-        found = record(offset=s["at"], level=level, title=title, path=path)
-        return record(
-            at=s["at"] + F.length(line) + 1,
-            stack=F.when(is_heading(line), stack).otherwise(s["stack"]),
-            out=F.when(is_heading(line), F.array_append(s["out"], found)).otherwise(s["out"]),
-        )
+        found = F.array(record(offset=s["at"], level=level, title=title, path=path))
+        state = record(at=s["at"] + F.length(line) + 1, stack=F.when(is_heading(line), stack).otherwise(s["stack"]))
+        return state, F.when(is_heading(line), found).otherwise(F.array().cast(f"array<{kind}>"))
 
-    return F.aggregate(lines_of(text), state, step, lambda s: s["out"])
+    return F.when(text.isNotNull(), walk(lines_of(text), start, kind, step))
 
 
 def default_title(text: Column) -> Column:
