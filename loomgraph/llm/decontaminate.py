@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgraph.functions.text import let
+from loomgraph.functions.arrays import let
 from loomgraph.llm.exchange import row_key
 from loomgraph.storage import settle
 

@@ -21,8 +21,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.functions.arrays import pieces, walk
-from loomgraph.functions.text import let
+from loomgraph.functions.arrays import let, pieces, walk
 from loomgraph.storage import settle
 
 KINDS = ["email", "ip", "card", "phone", "secret"]
