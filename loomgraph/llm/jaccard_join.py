@@ -226,9 +226,9 @@ def near_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     A text's set holds its distinct shingles of n words (runs of bytes but
     blanks, A-Z lower-cased); a shorter text is one shingle.  Rows link if
     100 * intersection >= percent * union; component_id is the least doc_id
-    that links reach.  Rows of equal sets have one class_id (64 bits of a hash
-    of the set), n_links counts the other rows that a row links with, those of
-    its class included.  Null and blank texts have empty sets and are their own
+    that links reach.  class_id is the least doc_id of the rows with an equal
+    set; n_links counts the other rows that a row links with, those of its class
+    included.  Null and blank texts have empty sets and are their own
     component, without links.  A null id takes part, but is no component_id
     unless its component has no other id.  Repeated rows link like any equal
     texts.
@@ -285,10 +285,10 @@ def near_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
         facts = facts.join(counted, "class", "left").withColumn("n_links", F.col("docs") - 1 + F.coalesce("links", F.lit(0)))
     else:
         facts = facts.withColumn("n_links", F.lit(0))
-    found = local.select("class", "n", "doc_ids", F.pmod(F.xxhash64("doc_ids"), F.lit(SALTS)).cast("int").alias("salt")).join(_salted(facts.select("class", "least", "n_links")), ["class", "salt"])
-    out = found.select(F.explode("doc_ids").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "least", F.col("class").alias("class_id"), "n_links")
+    found = local.select("class", "n", "doc_ids", F.pmod(F.xxhash64("doc_ids"), F.lit(SALTS)).cast("int").alias("salt")).join(_salted(facts.select("class", "least", "own", "n_links")), ["class", "salt"])
+    out = found.select(F.explode("doc_ids").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "least", F.col("own").alias("class_id"), "n_links")
     blank = F.col("n_shingles") == 0
-    out = out.select("doc_id", "n_shingles", F.when(blank, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "class_id", F.when(blank, 0).otherwise(F.col("n_links")).cast("long").alias("n_links"))
+    out = out.select("doc_id", "n_shingles", F.when(blank, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), F.when(blank, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(blank, 0).otherwise(F.col("n_links")).cast("long").alias("n_links"))
     return out if links else out.drop("n_links")
 
 
@@ -309,3 +309,20 @@ def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text", n: int
 
 def op1_ngram_jaccard(spark, sf_dir):
     return near_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), links=True)
+
+
+OP1_SQL = r"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as ws from documents),
+s as (select distinct doc_id, array_to_string(ws[k:k + 4], ' ') as g from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) as k from w where len(ws) > 0)),
+keyed as (select doc_id, count(*) as n, md5(string_agg(g, chr(10) order by g)) as k from s group by doc_id),
+class as (select k, min(doc_id) as id, count(*) as docs, min(n) as n from keyed group by k),
+held as (select c.id, c.n, c.docs, s.g from class c join s on s.doc_id = c.id),
+met as (select a.id as a, b.id as b, a.n as na, b.n as nb, b.docs, count(*) as c from held a join held b on a.g = b.g and a.id <> b.id group by a.id, b.id, a.n, b.n, b.docs),
+link as (select a, b, docs from met where 100 * c >= 75 * (na + nb - c)),
+reach(a, b) as (select id, id from class union select r.a, l.b from reach r join link l on l.a = r.b),
+least as (select a, min(b) as least from reach group by a),
+more as (select a, sum(docs)::bigint as docs from link group by a)
+select d.doc_id, coalesce(k.n, 0)::bigint as n_shingles, coalesce(l.least, d.doc_id) as component_id, coalesce(c.id, d.doc_id) as class_id, coalesce(c.docs - 1 + coalesce(m.docs, 0), 0)::bigint as n_links
+from documents d left join keyed k on k.doc_id = d.doc_id left join class c on c.k = k.k left join least l on l.a = c.id left join more m on m.a = c.id
+"""

@@ -313,3 +313,15 @@ def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", w
 
 def op6_substring_dedup(spark, sf_dir):
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_text=False).drop("kept")
+
+
+OP6_SQL = r"""
+with w as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as ws from documents),
+win as (select doc_id, k, array_to_string(ws[k:k + 19], ' ') as run from (select doc_id, ws, unnest(range(1, len(ws) - 18)) as k from w where len(ws) >= 20)),
+late as (select doc_id, k from (select doc_id, k, row_number() over (partition by run order by doc_id, k) as r from win) where r > 1),
+gone as (select distinct doc_id, k + j as i from late, (select unnest(range(0, 20)) as j)),
+one as (select doc_id, i, ws[i] as word from (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from w)),
+kept as (select o.doc_id, count(*) as n, string_agg(o.word, ' ' order by o.i) as said from one o left join gone g on g.doc_id = o.doc_id and g.i = o.i where g.i is null group by o.doc_id)
+select w.doc_id, len(w.ws)::bigint as n_words, (len(w.ws) - coalesce(k.n, 0))::bigint as n_removed, sha256(coalesce(k.said, '')) as kept_sha256
+from w left join kept k on k.doc_id = w.doc_id
+"""

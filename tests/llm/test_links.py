@@ -7,7 +7,7 @@ from pathlib import Path
 
 import pytest
 
-from loomgraph.llm import jaccard_join
+from loomgraph.llm import jaccard_join, substring_dedup
 
 sys.path.insert(0, str(Path(__file__).parent))
 from test_pairs import SMALL, components, frame, noisy_corpus, rows_of, shingle_set  # noqa: E402
@@ -33,11 +33,15 @@ def test_op1_links_equal_brute_force(spark):
     rows = rows_of(SMALL)
     got = jaccard_join.op1_ngram_jaccard(spark, SMALL).collect()
     assert Counter((r["doc_id"], r["n_links"]) for r in got) == links(rows)
-    sets = {d: shingle_set(t) for d, t in rows}
-    classes = {}
-    for r in got:
-        classes.setdefault(r["class_id"], set()).add(sets[r["doc_id"]])
-    assert all(len(x) == 1 for x in classes.values()) and len(classes) == len(set(sets.values()))
+    sets, first = {d: shingle_set(t) for d, t in rows}, {}
+    for d, s in sorted(sets.items()):
+        first.setdefault(s, d)
+    assert all(r["class_id"] == (first[sets[r["doc_id"]]] if sets[r["doc_id"]] else r["doc_id"]) for r in got)
+
+
+def test_sql_gives_the_same(spark, same):
+    same(spark, jaccard_join.op1_ngram_jaccard, jaccard_join.OP1_SQL, SMALL)
+    same(spark, substring_dedup.op6_substring_dedup, substring_dedup.OP6_SQL, SMALL)
 
 
 def test_a_group_of_many_components(spark):
