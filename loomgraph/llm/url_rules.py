@@ -4,11 +4,13 @@ A host is turned round into labels that each end in a slash (`www.example.org`
 becomes `org/example/www/`; no host holds a slash), so that a rule's host and
 all its subdomains are one interval of the sort order and intervals of
 different rules are nested or apart.  URLs and rules are dealt to ranges of
-(turned host, path, hash of the row), a rule to each range that its interval
-meets, and sorted; one sweep over a range keeps a stack of the hosts whose
-intervals are open.  Each open host has its paths sorted with links to the
-longest shorter path that begins them, so the longest path rule is one
-bisection and a walk.
+(turned host, path, hash of the row), one task a range, a rule to each range
+that its interval meets, and sorted by host; one sweep over a range keeps a
+stack of the hosts whose intervals are open.  A rule for a host and a path is an
+interval in two dimensions, as subdomains lie between the host's own paths, so
+paths are no part of the sweep: each open host has its own sorted with links to
+the longest shorter path that begins them, and the longest path rule is one
+bisection and a walk.  What a URL's length costs is its own comparisons.
 """
 
 from __future__ import annotations
@@ -147,7 +149,7 @@ def judge(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str
     dealt = rows.mapInArrow(deal, schema(rows))
     spread_out = given.mapInArrow(spread, schema(given)).withColumn("_kind", F.lit(0))
     both = dealt.unionByName(spread_out, allowMissingColumns=True)
-    swept = both.repartition(ranges, "_part").sortWithinPartitions("_part", "_turned", "_kind")
+    swept = both.repartitionById(ranges, "_part").sortWithinPartitions("_part", "_turned", "_kind")
     judged = swept.mapInArrow(_sweep(default, ["_row"]), f"_row {dict(rows.dtypes)['_row']}, host string, path string, rule string, verdict string")
     return judged.select("_row.*", *new)
 
