@@ -2,7 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's docs.  All but the last
-return the columns of documents.
+return the columns of documents, and carry other columns of any name along.
+
+Nulls and empty texts are documents like others: they show no sign of bad
+quality, are no copies, hold no benchmark item or personal data, and have no
+tokens.  Repeated rows are kept or dropped together, but for near duplicates,
+where rows equal in id and text stay together.  Empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -38,9 +43,9 @@ def personal_data(spark, docs, sf_dir):
 
 
 def token_ids(spark, docs, sf_dir):
-    """doc_id, lang, source, n_tokens and ids of every document left."""
+    """doc_id, lang and source (where docs has them), n_tokens and ids of every document left."""
     ship(spark)
-    return encode(docs).select("doc_id", "lang", "source", "n_tokens", "ids")
+    return encode(docs).select("doc_id", *[c for c in ("lang", "source") if c in docs.columns], "n_tokens", "ids")
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("personal_data", personal_data), ("token_ids", token_ids)]
