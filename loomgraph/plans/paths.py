@@ -69,12 +69,16 @@ def low_paths(edges: DataFrame, nodes: DataFrame, templates: DataFrame, ranks: D
     edges has rel_id, src, dst, rel_type; nodes id, label, name (an id without a
     name stands for itself); ranks view, entity_id, rank.
     """
-    end = lambda k, label: nodes.select(F.col("id").alias(k), F.col("label").alias(label), F.coalesce("name", "id").alias(f"{k}_name"))
+    # one table of nodes with their ranks by view, met once from each end
+    by_view = ranks.groupBy("entity_id").agg(F.map_from_entries(F.collect_list(F.struct("view", "rank"))).alias("ranks"))
+    known = nodes.join(by_view, nodes["id"] == by_view["entity_id"], "left").select("id", "label", F.coalesce("name", "id").alias("name"), "ranks")
+    end = lambda k, label: known.select(F.col("id").alias(k), F.col("label").alias(label), F.col("name").alias(f"{k}_name"), F.col("ranks").alias(f"{k}_ranks"))
     t = F.broadcast(templates.select("view", "subject", "relation", "object").distinct())
-    hit = edges.join(end("src", "subject"), "src").join(end("dst", "object"), "dst").withColumnRenamed("rel_type", "relation").join(t, ["subject", "relation", "object"])
-    rank = lambda k: ranks.select("view", F.col("entity_id").alias(k), F.col("rank").alias(f"{k}_rank"))
-    ranked = hit.join(rank("src"), ["view", "src"], "left").join(rank("dst"), ["view", "dst"], "left")
-    return ranked.select(F.sha2(F.concat_ws("|", "view", "rel_id"), 256).alias("mp_id"), "view", "rel_id", "src", "dst", F.concat_ws(" ", "src_name", "relation", "dst_name").alias("text"), F.greatest("src_rank", "dst_rank").alias("max_pagerank"))
+    # only edges of a template's type can be in a path
+    types = F.broadcast(templates.select(F.col("relation").alias("rel_type")).distinct())
+    hit = edges.join(types, "rel_type", "left_semi").join(end("src", "subject"), "src").join(end("dst", "object"), "dst").withColumnRenamed("rel_type", "relation").join(t, ["subject", "relation", "object"])
+    rank = lambda k: F.try_element_at(f"{k}_ranks", F.col("view"))
+    return hit.select(F.sha2(F.concat_ws("|", "view", "rel_id"), 256).alias("mp_id"), "view", "rel_id", "src", "dst", F.concat_ws(" ", "src_name", "relation", "dst_name").alias("text"), F.greatest(rank("src"), rank("dst")).alias("max_pagerank"))
 
 
 def mid_paths(groups: DataFrame, ranks: DataFrame) -> DataFrame:
