@@ -232,6 +232,8 @@ def near_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     component, without links.  A null id takes part, but is no component_id
     unless its component has no other id.  Repeated rows link like any equal
     texts.
+    Ids are whole numbers.  A text is worked on whole by one task, in some eight
+    times its size; so are rows equal in id and text, which share a block.
     """
     lay = exchange.layout(docs, text)
     blocks = exchange.blocked(docs, lay.blocks, id, text)

@@ -298,6 +298,8 @@ def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", w
     ordered by a hash of their text, equal rows arbitrarily; a null id counts as
     the smallest.  Null text is empty.  Other columns are not read.  `kept` is
     null unless with_text.
+    Ids are whole numbers.  A text is worked on whole by one task, in some twenty
+    times its size; so are rows equal in id and text, which share a block.
     """
     from pyspark.sql import functions as F
 
