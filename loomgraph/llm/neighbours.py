@@ -250,7 +250,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, id: str = "v
     asked = usable(queries, id, vector).groupBy("vec_id").agg(F.min("vector").alias("vector")).select(size, "vec_id", "vector")
     square = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x * x)
     total, widest = base.agg(F.count("*"), F.max(square)).first()
-    depth = max(0, (-(-total // block) - 1).bit_length())
+    depth = (max(1, -(-total // block)) - 1).bit_length()
     visits, square = 1 << depth, widest or 0.0
     if depth:
         sample = base.orderBy(F.xxhash64("vec_id", F.lit(7)), "vec_id").limit(SAMPLE).collect()
