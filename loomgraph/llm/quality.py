@@ -26,6 +26,7 @@ labelled ones.
 
 from __future__ import annotations
 
+import functools
 import math
 from dataclasses import dataclass
 
@@ -184,29 +185,41 @@ def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "
     """
     rows = labelled(docs, labels, id=id, text=text, limit=limit)
     totals = _totals(rows, times)
-    none = np.zeros(CELLS)
-    if not totals:
-        return Model(none, -np.inf, none)
-    raw, good, bad, raw_times, good_times = (np.concatenate([expand(bytes(r[c]), np.int64) for r in totals]).astype(float) for c in _KINDS)
     n_raw, n_good, n_bad = (sum(r[c] for r in totals) for c in _SUMS)
     if not n_good:
+        none = np.zeros(CELLS, np.float32)
         return Model(none, -np.inf, none)
-    logs = log_ratios(raw_times, good_times, alpha)
-    ratios = np.log((good + prior) / (raw * (n_good / n_raw) + prior))
+    # slot by slot, so that the driver holds no more than the two results
+    counts = lambda r, c: expand(bytes(r[c]), np.int64).astype(float)
+    chance = functools.cache(lambda b, g: _chance(int(b), int(g), n_bad, n_good))
+    ratios = np.concatenate([_rejecting(counts(r, "raw"), counts(r, "good"), counts(r, "bad"), n_good / n_raw, chance, prior, dead) for r in totals])
+    if times:
+        share = sum(counts(r, "good_times").sum() for r in totals) / max(1.0, sum(counts(r, "raw_times").sum() for r in totals))
+        logs = np.concatenate([log_ratios(counts(r, "raw_times"), counts(r, "good_times"), share, alpha).astype(np.float32) for r in totals])
+    else:
+        logs = np.zeros(CELLS, np.float32)
+    del totals
+    tidy()
+    bins = _weights(rows.where(F.col("good").isNotNull()), {"weight": (ratios, features)}, "text").groupBy("good", F.floor(F.col("weight") * 4).alias("bin")).count().collect()
+    return Model(ratios, _best_cut([(r["bin"] / 4, r["good"], r["count"]) for r in bins]), logs)
+
+
+def _rejecting(raw: np.ndarray, good: np.ndarray, bad: np.ndarray, share: float, chance, prior: float, dead: float) -> np.ndarray:
+    """The ratios that reject, of some cells, from document counts; share is that of good documents."""
+    ratios = np.log((good + prior) / (raw * share + prior))
     ratios[ratios > -dead] = 0
-    light = np.log((good + LIGHT) / (raw * (n_good / n_raw) + LIGHT))
+    light = np.log((good + LIGHT) / (raw * share + LIGHT))
     seen = np.flatnonzero((ratios == 0) & (light <= -dead) & (bad > 0))
-    kinds, kind_of = np.unique(np.stack([bad[seen], good[seen]]).astype(int), axis=1, return_inverse=True)
-    rare = np.array([_chance(b, g, n_bad, n_good) < RARE for b, g in kinds.T.tolist()], bool)
-    told = seen[rare[kind_of.ravel()]]
+    told = seen[np.array([chance(b, g) < RARE for b, g in zip(bad[seen], good[seen])], bool)]
     ratios[told] = light[told]
-    bins = _weights(rows.where(F.col("good").isNotNull()), {"weight": (ratios, features)}, "text").groupBy("good", F.floor(F.col("weight") * 4).alias("bin")).count().collect()
-    return Model(ratios, _best_cut([(r["bin"] / 4, r["good"], r["count"]) for r in bins]), logs)
+    return ratios.astype(np.float32)
 
 
-def log_ratios(raw: np.ndarray, target: np.ndarray, alpha: float = ALPHA) -> np.ndarray:
-    """log(p_target / p_raw) by cell from counts of occurrences, where alpha occurrences are added to both, in proportion."""
-    share = target.sum() / raw.sum() if raw.sum() else 1.0
+def log_ratios(raw: np.ndarray, target: np.ndarray, share: float, alpha: float = ALPHA) -> np.ndarray:
+    """log(p_target / p_raw) by cell from counts of occurrences, where alpha occurrences are added to both, in proportion.
+
+    share is that of the target's occurrences in all.
+    """
     return np.log((target + alpha) / (raw * share + alpha))
 
 
