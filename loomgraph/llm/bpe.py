@@ -25,7 +25,7 @@ PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L
 VOCABULARY = "byte_bpe_50k.json"
 #: Words that a worker remembers and their characters, in two generations: when the younger one has half of
 #: either, it becomes the older one, and words met again move to the new younger one.
-REMEMBERED, REMEMBERED_CHARACTERS = 400_000, 40_000_000
+REMEMBERED, REMEMBERED_CHARACTERS = 1_000_000, 40_000_000
 #: Pairs of tokens whose test a worker remembers.
 TESTED = 250_000
 
@@ -48,6 +48,7 @@ class Merges:
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes = {i: t for t, i in self.id.items()} | {i: t.encode() for t, i in self.special.items()}
         self.written = {str(i): t for i, t in self.bytes.items()}
+        self.decimal = {i: str(i) for i in self.bytes}
         size = max(self.bytes) + 1
         self.left, self.right, self.rank = np.full(size, -1), np.full(size, -1), np.full(size, -1)
         # of a pair: its merge's rank, and in the low 20 bits the id that it becomes
@@ -78,19 +79,16 @@ class Merges:
         if len(word) > 400:
             return self._exact_long(word)
         merge, size, never = self.merge.get, self.size, self.never
-        ids = [self.single[b] for b in word]
+        ids = [*map(self.single.__getitem__, word)]
         order = [merge(a * size + b, never) for a, b in zip(ids, ids[1:])]
-        while order:
-            best = min(order)
-            if best == never:
-                break
+        while order and (best := min(order)) != never:
             k = order.index(best)
-            ids[k : k + 2] = [best & 0xFFFFF]
-            del order[k]
+            ids[k] = own = best & 0xFFFFF
+            del ids[k + 1], order[k]
             if k < len(order):
-                order[k] = merge(ids[k] * size + ids[k + 1], never)
+                order[k] = merge(own * size + ids[k + 1], never)
             if k:
-                order[k - 1] = merge(ids[k - 1] * size + ids[k], never)
+                order[k - 1] = merge(ids[k - 1] * size + own, never)
         return ids
 
     def _exact_long(self, word: bytes) -> list[int]:
@@ -167,17 +165,24 @@ class Merges:
     def learn(self, words: set[str]) -> None:
         if len(self.tested) > TESTED:
             self.tested.clear()
-        raw = {w: w.encode() for w in words}
-        guess = {w: self.propose(b) for w, b in raw.items()}
-        new = {x * self.size + y for ids in guess.values() for x, y in zip(ids, ids[1:])} - self.tested.keys()
+        size, propose, written = self.size, self.propose, self.decimal.__getitem__
+        guess, new = [], set()
+        for w in words:
+            raw = w.encode()
+            ids = propose(raw)
+            codes = [x * size + y for x, y in zip(ids, ids[1:])]
+            guess.append((w, raw, ids, codes))
+            new.update(codes)
+        new -= self.tested.keys()
         if new:
             codes = np.fromiter(new, np.int64, len(new))
-            self.tested.update(zip(codes.tolist(), self.compatible(codes // self.size, codes % self.size).tolist()))
-        for w, ids in guess.items():
-            if not all(self.tested[x * self.size + y] for x, y in zip(ids, ids[1:])):
-                ids = self.exact(raw[w])
+            self.tested.update(zip(codes.tolist(), self.compatible(codes // size, codes % size).tolist()))
+        good = self.tested.__getitem__
+        for w, raw, ids, codes in guess:
+            if not all(map(good, codes)):
+                ids = self.exact(raw)
                 self.merged += 1
-            self.words[w] = ",".join(map(str, ids))
+            self.words[w] = ",".join(map(written, ids))
 
     def encode(self, batch: list[str]) -> list[str]:
         """The comma-joined ids of each text."""
