@@ -340,11 +340,11 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: s
 
 
 def op3_quality_resample(spark, sf_dir):
-    """doc_id; weight, key and kept of the rejection; importance, draw_key and drawn of a resample of SAMPLE of all rows."""
+    """doc_id; weight, key and kept of the rejection; importance, draw_key and draws (1 or 0) of a resample of SAMPLE of all rows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), times=True)
     both = _weights(docs, {"weight": (model.ratios, features), "importance": (model.logs, ngrams)}, "text")
     keys = settle(both.select("doc_id", "weight", (F.col("weight") / TEMPERATURE + gumbel("doc_id", "text")).alias("key"), "importance", (F.col("importance") + gumbel("doc_id", "text", 23)).alias("draw_key")))
     sizes = keys.agg(F.count_if(F.col("weight") >= model.cut).alias("good"), F.count("*").alias("all")).first()
     least, drawn = kth_largest(keys, "key", sizes["good"]), kth_largest(keys, "draw_key", round(SAMPLE * sizes["all"]))
-    return keys.withColumn("kept", F.col("key") >= least).withColumn("drawn", F.col("draw_key") >= drawn)
+    return keys.withColumn("kept", F.col("key") >= least).withColumn("draws", (F.col("draw_key") >= drawn).cast("long"))
