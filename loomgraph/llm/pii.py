@@ -278,4 +278,4 @@ def op4_pii(spark, sf_dir):
     found = settle(candidates(docs).drop("text"))
     out = spans(found, train(found))
     count = lambda kind: F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return out.select("doc_id", *[count(k) for k in BASE], F.sha2(joined(F.col("_base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return out.select("doc_id", *[count(k) for k in BASE], F.sha2(joined(F.col("_base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))

@@ -56,4 +56,5 @@ def test_base_digest_equals_brute_force(spark, tmp_path, text):
     row = pii.op4_pii(spark, str(tmp_path)).first()
     want = base_spans(text)
     assert row["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
+    assert row["n_spans"] == len([x for x in row["spans"].split(",") if x])
     assert row["spans"] == "" or set(f"{k}:{a}:{b}" for k, a, b in want) <= set(row["spans"].split(","))
