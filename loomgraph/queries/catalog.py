@@ -351,6 +351,35 @@ def relation_name(t: Tables) -> DataFrame:
     return t.edges().select("rel_id", rules.relation_name(given, F.col("rel_type")).alias("name"))
 
 
+def _weight_sql(sentence: str) -> str:
+    """The keyword rules as CASE."""
+    return "case" + "".join(f" when regexp_matches({sentence}, '{_ESC(words)}') then {w}" for w, words in rules.WEIGHT_RULES) + f" else {rules.DEFAULT_WEIGHT} end"
+
+
+_ENDS = r"regexp_extract(text, '^([^ .]+)', 1) as a, regexp_extract(text, '([^ .]+)[ .]*$', 1) as b"
+
+
+@query(f"""
+with w as (select doc_id, {_ENDS} from documents),
+p as (select w.*, least(w.doc_id, coalesce(e.doc_id, w.doc_id)) as chunk from w left join documents e on e.doc_id = w.doc_id - w.doc_id % 2),
+s as (select p.*, d.text, list_filter(string_split(replace(d.text, '。', '.'), '.'), lambda x: contains(lower(x), lower(a)) and contains(lower(x), lower(b)))[1] as hit from p join documents d on d.doc_id = p.chunk),
+t as (select doc_id, coalesce(nullif(left(trim(hit, ' ' || chr(9) || chr(10) || chr(13)), 300), ''), trim(left(text, 200), ' ' || chr(9) || chr(10) || chr(13)) || '...') as said from s)
+select 'R' || doc_id as rel_id, case when doc_id % 5 = 0 then 'given' else said end as original_text, case when doc_id % 5 = 0 then '' else 'begins with' end as name,
+  case when doc_id % 7 = 0 then 0.9 when doc_id % 5 = 0 then null else {_weight_sql('lower(said)')} end as llm_weight
+from t
+""")
+def meta_writeback(t: Tables) -> DataFrame:
+    """Each document relates its first word to its last, which the document before may mention too."""
+    words = t.documents.select("doc_id", F.regexp_extract("text", r"^([^ .]+)", 1).alias("a"), F.regexp_extract("text", r"([^ .]+)[ .]*$", 1).alias("b"))
+    key = lambda p: F.concat(F.lit(p), F.col("doc_id").cast("string"))
+    entities = words.select(key("A").alias("entity_id"), F.col("a").alias("name")).unionByName(words.select(key("B").alias("entity_id"), F.col("b").alias("name")))
+    held = words.select(key("A").alias("entity_id"), F.col("doc_id").alias("chunk_id")).unionByName(words.select(key("B").alias("entity_id"), (F.col("doc_id") - F.col("doc_id") % 2).alias("chunk_id")))
+    due = F.col("doc_id") % 5 != 0
+    relations = t.documents.select(key("R").alias("rel_id"), key("A").alias("src"), key("B").alias("dst"), F.lit("BEGINS_WITH").alias("rel_type"), F.lit("").alias("name"), F.when(~due, "given").alias("original_text"), F.when(F.col("doc_id") % 7 == 0, F.lit(0.9)).alias("llm_weight"), F.lit(None).cast("string").alias("dcterms_identifier"))
+    chunks = t.documents.select(F.col("doc_id").alias("chunk_id"), F.col("doc_id").cast("int").alias("index"), "text")
+    return metadata.enhance_relations(relations, entities, held, chunks).select("rel_id", "original_text", "name", "llm_weight")
+
+
 _SAID_SQL = "case o_orderkey % 6 when 0 then 'It MAY cause harm' when 1 then 'was linked to' when 2 then 'the mayor said' when 3 then 'nothing' when 4 then '可能 later' else null end"
 
 
@@ -520,9 +549,14 @@ def wcc_masters(t: Tables) -> DataFrame:
     return resolve.master_stats(resolve.component_masters(t.similar()))
 
 
-@query(with_views("v_geo_nodes v_geo_edges", "select 'GEO' as view, (select count(*) from v_geo_nodes) as nodes, (select count(*) from v_geo_edges) as relationships"))
+@query(with_views("v_geo_nodes v_geo_edges", """
+select 'GEO' as view, (select count(*) from v_geo_nodes) as nodes, (select count(*) from v_geo_edges) as relationships
+union all select 'SUPPLY', (select count(*) from v_nodes where label in ('part', 'supplier', 'nation')), (select count(*) from v_edges e join v_nodes s on s.id = e.src join v_nodes d on d.id = e.dst where s.label in ('part', 'supplier', 'nation') and d.label in ('part', 'supplier', 'nation') and e.rel_type in ('supplied_by', 'located_in'))
+"""))
 def proj_counts(t: Tables) -> DataFrame:
-    return central.view_counts({"GEO": t.geography()})
+    labels = t.views().where("view = 'SUPPLY'").select("label")
+    types = t.spark.createDataFrame([("supplied_by",), ("located_in",)], "rel_type string")
+    return central.view_counts({"GEO": t.geography(), "SUPPLY": central.project(t.nodes(), t.edges(), labels, types)})
 
 
 @query(with_views("v_degree", "select id, degree from v_degree"))
