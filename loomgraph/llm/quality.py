@@ -101,9 +101,13 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.concatenate([row, row[inner]]), (np.concatenate([mix(hashes + U(1)), pairs]) % U(CELLS)).astype(np.int64)
 
 
+#: Bytes of text whose n-grams a worker holds at once.
+PIECE_BYTES = 1 << 18
+
+
 def _pieces(column):
     data, offsets = texts(column)
-    for a, b in slices(offsets):
+    for a, b in slices(offsets, PIECE_BYTES):
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 

@@ -102,3 +102,23 @@ def test_hashes_depend_on_bytes_alone():
     upper, _ = kernel.words(*kernel.texts(pa.array(["AB ab"])), True)
     assert upper[0] == upper[1]
     assert kernel.words(data, offsets, False, 1)[0].tolist() != whole.tolist()
+
+
+def test_ngrams_of_a_batch_are_not_held_at_once():
+    import tracemalloc
+
+    texts = pa.array([f"Some words of {k} and {k * k} more, so that pieces end within the batch." * 9 for k in range(1500)])
+
+    def found():
+        for a, _, data, offsets in quality._pieces(texts):
+            row, cell = quality.features(data, offsets)
+            yield from zip((row + a).tolist()[:50], cell.tolist()[:50])
+
+    tracemalloc.start()
+    for _ in quality._pieces(texts):
+        quality.features(_[2], _[3])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32_000_000, peak
+    whole = set(zip(*(x.tolist() for x in quality.features(*quality.texts(texts)))))
+    assert set(found()) <= whole and sum(b - a for a, b, *_ in quality._pieces(texts)) == len(texts)
