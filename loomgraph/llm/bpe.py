@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from loomgraph.llm.kernel import slices, texts, tidy
+from loomgraph.llm.kernel import remembered, slices, texts, tidy
 
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 VOCABULARY = "byte_bpe_50k.json"
@@ -209,14 +209,12 @@ class Merges:
         return b"".join(map(self.written.__getitem__, ids.split(","))).decode("utf-8", "replace") if ids else ""
 
 
-_loaded: dict[str, Merges] = {}
-
-
 def load(blob: bytes) -> Merges:
-    key = hashlib.sha256(blob).hexdigest()
-    if key not in _loaded:
-        _loaded[key] = Merges(blob)
-    return _loaded[key]
+    """The vocabulary and what was learnt with it, for as long as the worker has no other operator's tasks."""
+    loaded, key = remembered("bpe"), hashlib.sha256(blob).hexdigest()
+    if key not in loaded:
+        loaded[key] = Merges(blob)
+    return loaded[key]
 
 
 def _small(batch: pa.RecordBatch, column: str):

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.graph.components import connected_components
 from loomgraph.llm import exchange
-from loomgraph.llm.kernel import U, cuts, expand, grams, mix, pack, slices, squeeze, texts, tidied, tidy, unpack, words
+from loomgraph.llm.kernel import U, cuts, expand, grams, mix, pack, remembered, slices, squeeze, texts, tidied, tidy, unpack, words
 from loomgraph.storage import settle
 
 WORDS = 5
@@ -128,6 +128,7 @@ def _verified(percent: int):
     """Keeps rows (a, b, set_a, set_b) whose sets are similar enough."""
 
     def run(batches):
+        remembered()
         for batch in batches:
             a, b = [], []
             last, right = None, None

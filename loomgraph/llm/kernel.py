@@ -39,12 +39,24 @@ def tidy() -> None:
 
 
 _libc = ctypes.CDLL(None)
+_remembered: dict[str, dict] = {}
+
+
+def remembered(operator: str = "") -> dict:
+    """What an operator keeps in a worker process between its tasks; what others kept there is given back."""
+    others = [k for k in _remembered if k != operator]
+    for k in others:
+        del _remembered[k]
+    if others:
+        tidy()
+    return _remembered.setdefault(operator, {}) if operator else {}
 
 
 def tidied(f):
-    """A function of Arrow tables that tidies up behind itself."""
+    """A function of Arrow tables that tidies up before and behind itself."""
 
     def run(*args):
+        remembered()
         try:
             return f(*args)
         finally:

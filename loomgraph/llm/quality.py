@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.kernel import U, expand, fold, hashed, mix, slices, spans, squeeze, texts, tidied, tidy
+from loomgraph.llm.kernel import U, expand, fold, hashed, mix, remembered, slices, spans, squeeze, texts, tidied, tidy
 from loomgraph.storage import settle
 
 #: Hashed n-grams are counted in so many cells.
@@ -122,6 +122,7 @@ def _counter(times: bool):
     """One partition's counts, cut into slots of cells; occurrences only if asked."""
 
     def run(batches):
+        remembered()
         counts = {c: np.zeros(CELLS, np.int32) for c in _KINDS}
         sums = dict.fromkeys(_SUMS, 0)
         for batch in batches:
@@ -138,9 +139,8 @@ def _counter(times: bool):
                     np.add.at(counts["raw_times"], cell, 1)
                     np.add.at(counts["good_times"], cell[is_good[a:b][row]], 1)
         if sums["n_raw"]:
-            parts = np.array_split(np.arange(CELLS), _SLOTS)
             own = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_pydict({"slot": list(range(_SLOTS)), "part": [own] * _SLOTS, **{c: [squeeze(counts[c][p].astype(np.int64)) for p in parts] for c in _KINDS}, **{c: [n] + [0] * (_SLOTS - 1) for c, n in sums.items()}}, schema=_COUNTS)
+            yield pa.RecordBatch.from_pydict({"slot": list(range(_SLOTS)), "part": [own] * _SLOTS, **{c: [squeeze(x.astype(np.int64)) for x in np.array_split(counts[c], _SLOTS)] for c in _KINDS}, **{c: [n] + [0] * (_SLOTS - 1) for c, n in sums.items()}}, schema=_COUNTS)
         tidy()
 
     return run
@@ -250,6 +250,7 @@ def _weights(df: DataFrame, by: dict, text: str) -> DataFrame:
     kinds = {c: f for c, (_, f) in by.items()}
 
     def run(batches):
+        remembered()
         own = {}
         for c, (cell_of, value) in sent.value.items():
             own[c] = np.zeros(CELLS, np.float32)
