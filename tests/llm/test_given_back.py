@@ -20,3 +20,15 @@ def test_the_tokenizer_is_given_back(begin):
     begin()
     assert held() is None
     assert bpe.load(blob).words == {}
+
+
+def test_a_task_leaves_no_words_behind(spark):
+    with open(bpe.vocabulary_path(), "rb") as f:
+        blob = f.read()
+    bpe.encode(spark.createDataFrame([("some words of a text",)] * 64, "text string").repartition(16)).collect()
+
+    def left(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(bpe.load(blob).words)]})
+
+    assert {r["n"] for r in spark.range(0, 16, 1, 16).mapInArrow(left, "n long").collect()} == {0}
